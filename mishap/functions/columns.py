@@ -5,6 +5,7 @@ Every parse is a ``try_`` form so ANSI mode never raises on dirty input.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -25,16 +26,50 @@ def title_case(c: str | Column) -> Column:
     return F.initcap(F.trim(_col(c)))
 
 
+def shape_regex(fmt: str) -> str | None:
+    """A regex every string that ``fmt`` can parse matches (a superset).
+
+    Built by rule from the pattern letters: a run of ``y`` (>= 4) is an
+    optionally signed run of at least that many ASCII digits, ``MM``, ``dd``,
+    ``HH``, ``mm``, ``ss`` exactly two digits, anything else literal.  None
+    for other letters.
+    """
+    out, i = ["^"], 0
+    while i < len(fmt):
+        j = i
+        while j < len(fmt) and fmt[j] == fmt[i]:
+            j += 1
+        run, ch = j - i, fmt[i]
+        if ch == "y" and run >= 4:
+            out.append(f"[+-]?[0-9]{{{run},}}")
+        elif ch in "MdHms" and run == 2:
+            out.append("[0-9]{2}")
+        elif ch.isalpha():
+            return None
+        else:
+            out.append(re.escape(fmt[i:j]))
+        i = j
+    return "".join(out) + "$"
+
+
 def parse_date(c: str | Column, source_type: T.DataType | None = None,
                formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Date from text: each format tried on the ORIGINAL text, first match wins,
-    then a plain date cast as the last resort.  Dates and timestamps pass through."""
+    then a plain date cast as the last resort.  Dates and timestamps pass through.
+
+    Each format's parser only sees text of its shape: a failed parse costs a
+    Java exception per row and format, a shape check a few character tests.
+    """
     if isinstance(source_type, T.DateType):
         return _col(c)
     if isinstance(source_type, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(_col(c))
     text = _col(c).cast("string")
-    tries = [F.try_to_date(text, fmt) for fmt in formats]
+    tries = []
+    for fmt in formats:
+        shape = shape_regex(fmt)
+        parsed = F.try_to_date(text, fmt)
+        tries.append(parsed if shape is None else F.when(text.rlike(shape), parsed))
     return F.coalesce(*tries, text.try_cast("date"))
 
 
@@ -44,6 +79,9 @@ def parse_hour(c: str | Column, source_type: T.DataType | None = None) -> Column
         return F.hour(_col(c))
     text = _col(c).cast("string")
     strict = F.hour(F.try_to_timestamp(text, F.lit(TIME_FORMAT)))
+    shape = shape_regex(TIME_FORMAT)
+    if shape is not None:
+        strict = F.when(text.rlike(shape), strict)
     loose = F.split(text, ":").getItem(0).try_cast("int")
     return F.coalesce(strict, loose)
 

@@ -25,6 +25,17 @@ def rows() -> Column:
     return F.count(F.lit(1))
 
 
+def sort_small(df: DataFrame, *order) -> DataFrame:
+    """Total order for a result bounded by key cardinality (hours, severities,
+    months, conditions): gather it to one partition and sort there.
+
+    Same order as ``orderBy`` but without the range-partitioning exchange
+    and its sampling job.  Only for results whose size does not grow with
+    the data.
+    """
+    return df.repartition(1).orderBy(*order)
+
+
 def top_k(counts: DataFrame, k: int, by: str, key: str | list[str]) -> DataFrame:
     """Largest ``by`` first, ties to the smallest key; Spark plans TakeOrderedAndProject."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -74,18 +85,18 @@ def top_accident_prone_areas(df: DataFrame, n: int = TOP_AREAS,
 
 def accidents_by_hour(df: DataFrame) -> DataFrame:
     """A3: accidents per hour, in hour order (NULL hour is a group)."""
-    return count_by(df, "hour", "accident_count").orderBy(F.col("hour").asc_nulls_first())
+    return sort_small(count_by(df, "hour", "accident_count"), F.col("hour").asc_nulls_first())
 
 
 def hourly_peaks(df: DataFrame, peak_hours: tuple[int, ...] = PEAK_HOURS) -> DataFrame:
     """Accidents per hour with the rush-hour flag (on the serving frame)."""
     counts = count_by(df.where(F.col("hour").isNotNull()), "hour", "accident_count")
-    return counts.withColumn("is_peak", F.col("hour").isin(list(peak_hours))).orderBy("hour")
+    return sort_small(counts.withColumn("is_peak", F.col("hour").isin(list(peak_hours))), "hour")
 
 
 def accidents_day_night(df: DataFrame, day: str = DAY, night: str = NIGHT) -> DataFrame:
     """Day (6 <= hour < 18) vs Night counts; labels are a parameter."""
-    return count_by(df, period("hour", day, night).alias("period")).orderBy("period")
+    return sort_small(count_by(df, period("hour", day, night).alias("period")), "period")
 
 
 def day_night_dashboard(df: DataFrame) -> DataFrame:
@@ -96,19 +107,19 @@ def day_night_dashboard(df: DataFrame) -> DataFrame:
 def accidents_by_weather(df: DataFrame) -> DataFrame:
     """A5: count and share (%) per weather condition, largest first."""
     counts = with_share(count_by(df, "weather_condition"))
-    return counts.orderBy(F.col("count").desc(), F.col("weather_condition").asc_nulls_first())
+    return sort_small(counts, F.col("count").desc(), F.col("weather_condition").asc_nulls_first())
 
 
 def severity_distribution(df: DataFrame) -> DataFrame:
     """Count and share (%) per severity, largest first."""
     counts = with_share(count_by(df, "severity"))
-    return counts.orderBy(F.col("count").desc(), F.col("severity").asc_nulls_first())
+    return sort_small(counts, F.col("count").desc(), F.col("severity").asc_nulls_first())
 
 
 def monthly_trend(df: DataFrame) -> DataFrame:
     """Accidents per calendar month (first day of the month), in time order."""
     counts = count_by(df, F.trunc("date", "month").alias("month_start"), "accident_count")
-    return counts.orderBy(F.col("month_start").asc_nulls_first())
+    return sort_small(counts, F.col("month_start").asc_nulls_first())
 
 
 def monthly_trend_filtered(df: DataFrame) -> DataFrame:
@@ -123,21 +134,20 @@ def peak_accident_hours(df: DataFrame, top_n: int = TOP_PEAK_HOURS) -> DataFrame
 
 def accidents_by_road_condition(df: DataFrame) -> DataFrame:
     """Accidents per road condition, largest first."""
-    return count_by(df, "road_condition").orderBy(
-        F.col("count").desc(), F.col("road_condition").asc_nulls_first())
+    return sort_small(count_by(df, "road_condition"),
+                      F.col("count").desc(), F.col("road_condition").asc_nulls_first())
 
 
 def yearly_summary(df: DataFrame) -> DataFrame:
     """A10: per year: accidents and mean vehicles involved."""
-    return (df.groupBy("year")
-              .agg(rows().alias("total_accidents"), F.avg("num_vehicles").alias("avg_vehicles"))
-              .orderBy(F.col("year").asc_nulls_first()))
+    counts = df.groupBy("year").agg(rows().alias("total_accidents"), F.avg("num_vehicles").alias("avg_vehicles"))
+    return sort_small(counts, F.col("year").asc_nulls_first())
 
 
 def value_counts(df: DataFrame, key: str) -> DataFrame:
     """Dashboard counts of one column, NULL left out, largest first."""
     counts = count_by(df.where(F.col(key).isNotNull()), key)
-    return counts.orderBy(F.col("count").desc(), F.col(key))
+    return sort_small(counts, F.col("count").desc(), F.col(key))
 
 
 def high_share_by(df: DataFrame, key: str) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mishap.constants import HIGH, HOTSPOT_COLUMNS, MAP_SAMPLE_SEED, MAP_SAMPLE_SIZE
@@ -63,20 +63,28 @@ def hotspot_points(df: DataFrame, n: int = MAP_SAMPLE_SIZE, seed: int = MAP_SAMP
     return points.select(*[c for c in columns if c in df.columns])
 
 
+def grid_cells(step: float = 0.5) -> dict[str, Column]:
+    """Integer cell indices of a ``step``-degree grid (NULL without a coordinate)."""
+    s = F.lit(float(step))
+    return {"cell_lat": F.floor(F.col("latitude") / s).cast("bigint"),
+            "cell_lon": F.floor(F.col("longitude") / s).cast("bigint")}
+
+
+def with_cell_centers(cells: DataFrame, step: float = 0.5) -> DataFrame:
+    s = F.lit(float(step))
+    return cells.withColumns({"lat_center": (F.col("cell_lat") + 0.5) * s,
+                              "lon_center": (F.col("cell_lon") + 0.5) * s})
+
+
 def hotspot_grid(df: DataFrame, step: float = 0.5) -> DataFrame:
     """M3: incidents and High incidents per ``step``-degree grid cell.
 
     A map at scale needs density, not points: one hash aggregate on the cell,
     combined map-side, so a hot cell never gathers in one task.
     """
-    s = F.lit(float(step))
-    cell_lat = F.floor(F.col("latitude") / s).cast("bigint")
-    cell_lon = F.floor(F.col("longitude") / s).cast("bigint")
+    cells = grid_cells(step)
     grid = (with_coordinates(df)
-            .groupBy(cell_lat.alias("cell_lat"), cell_lon.alias("cell_lon"))
+            .groupBy(cells["cell_lat"].alias("cell_lat"), cells["cell_lon"].alias("cell_lon"))
             .agg(F.count(F.lit(1)).alias("incidents"),
                  F.count_if(F.col("severity") == HIGH).alias("high_incidents")))
-    return grid.withColumns({
-        "lat_center": (F.col("cell_lat") + 0.5) * s,
-        "lon_center": (F.col("cell_lon") + 0.5) * s,
-    })
+    return with_cell_centers(grid, step)

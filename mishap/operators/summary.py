@@ -9,33 +9,48 @@ result is still one row: zero totals and shares, NULL modes, hour 0.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mishap.constants import HIGH, NIGHT, TREND_FLAT, TREND_UP
 from mishap.functions.columns import hour_label, mode_of, period, share
 
-DIMENSIONS = ("city", "weather_condition", "hour", "road_condition", "year")
-
-
-def dimension_counts(frame: DataFrame) -> DataFrame:
-    """Counts per value of each dimension, one grouping set per dimension.
-
-    Columns: dim, city, weather_condition, hour, road_condition, year, n,
-    n_high, vehicles_sum, vehicles_n.  The key of the other sets is NULL;
-    ``dim`` tells the sets apart, so a real NULL key stays a group.
+# (label, grouped columns): the sets the headline figures need.
+SUMMARY_SETS: tuple[tuple[str, tuple[str, ...]], ...] = (
+    ("city", ("city",)),
+    ("weather_condition", ("weather_condition",)),
+    ("hour", ("hour",)),
+    ("road_condition", ("road_condition",)),
+    ("year", ("year",)),
+)
+SUMMARY_KEYS = ("city", "weather_condition", "hour", "road_condition", "year")
+
+
+def dimension_counts(frame: DataFrame,
+                     sets: Sequence[tuple[str, Sequence[str]]] = SUMMARY_SETS) -> DataFrame:
+    """Counts per group of each set, in ONE grouping-sets aggregate.
+
+    Columns: dim (the set's label), every key column (NULL where not
+    grouped), n, n_high, vehicles_sum, vehicles_n.  ``dim`` tells the sets
+    apart, so a real NULL key stays a group of its own.  Sets whose columns
+    are absent from ``frame`` are skipped (their figures come out NULL).
     """
-    keys = [k for k in DIMENSIONS if k in frame.columns]
+    present = [(name, tuple(cols)) for name, cols in sets if all(c in frame.columns for c in cols)]
+    keys: list[str] = []
+    for _, cols in present:
+        keys += [c for c in cols if c not in keys]
     dim = F.lit(None).cast("string")
-    for k in reversed(keys):
-        dim = F.when(F.grouping(k) == 0, F.lit(k)).otherwise(dim)
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("severity") == HIGH).alias("n_high")]
+    for name, cols in reversed(present):
+        dim = F.when(F.grouping(cols[0]) == 0, F.lit(name)).otherwise(dim)
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("severity") == HIGH).alias("n_high")]
     if "num_vehicles" in frame.columns:
         aggs += [F.sum("num_vehicles").cast("bigint").alias("vehicles_sum"),
                  F.count("num_vehicles").alias("vehicles_n")]
-    counts = frame.groupingSets([[k] for k in keys], *keys).agg(dim.alias("dim"), *aggs)
-    missing = {k: F.lit(None) for k in DIMENSIONS if k not in keys}
+    counts = frame.groupingSets([list(c) for _, c in present], *keys).agg(dim.alias("dim"), *aggs)
+    all_keys = {c for _, cols in sets for c in cols}
+    missing = {k: F.lit(None) for k in sorted(all_keys - set(keys))}
     if "num_vehicles" not in frame.columns:
         missing.update(vehicles_sum=F.lit(None).cast("bigint"), vehicles_n=F.lit(0).cast("bigint"))
     return counts.withColumns(missing) if missing else counts
@@ -45,24 +60,24 @@ def _in(dim: str) -> Column:
     return F.col("dim") == dim
 
 
-def summary(frame: DataFrame) -> DataFrame:
-    """One row with every headline figure and insight value of ``frame``."""
-    c = dimension_counts(frame)
+def _top_count(dim: str) -> Column:
+    return F.coalesce(F.max(F.when(_in(dim) & F.col(dim).isNotNull(), F.col("n"))), F.lit(0)).cast("bigint")
+
+
+def summary_from_counts(c: DataFrame) -> DataFrame:
+    """One row with every headline figure and insight value, from ``dimension_counts``."""
     total = F.coalesce(F.sum(F.when(_in("city"), F.col("n"))), F.lit(0)).cast("bigint")
     high = F.coalesce(F.sum(F.when(_in("city"), F.col("n_high"))), F.lit(0)).cast("bigint")
     night = F.coalesce(F.sum(F.when(_in("hour") & (period("hour") == NIGHT), F.col("n"))), F.lit(0))
     years = _in("year") & F.col("year").isNotNull()
     one = c.agg(
-        total.alias("total"),
-        high.alias("high"),
-        night.alias("night"),
-        mode_of("city", "n", _in("city")).alias("top_city"),
-        F.max(F.when(_in("city") & F.col("city").isNotNull(), F.col("n"))).alias("top_city_count"),
+        total.alias("total"), high.alias("high"), night.alias("night"),
+        mode_of("city", "n", _in("city")).alias("top_city"), _top_count("city").alias("top_city_count"),
         mode_of("weather_condition", "n", _in("weather_condition")).alias("top_weather"),
-        F.max(F.when(_in("weather_condition") & F.col("weather_condition").isNotNull(), F.col("n"))).alias("top_weather_count"),
+        _top_count("weather_condition").alias("top_weather_count"),
         mode_of("road_condition", "n", _in("road_condition")).alias("top_road"),
-        F.max(F.when(_in("road_condition") & F.col("road_condition").isNotNull(), F.col("n"))).alias("top_road_count"),
-        mode_of("hour", "n", _in("hour")).alias("peak_hour"),
+        _top_count("road_condition").alias("top_road_count"),
+        F.coalesce(mode_of("hour", "n", _in("hour")), F.lit(0)).alias("peak_hour"),
         F.count(F.when(years, F.col("year"))).alias("n_years"),
         F.min_by("n", F.when(years, F.col("year"))).alias("first_year_count"),
         F.max_by("n", F.when(years, F.col("year"))).alias("last_year_count"),
@@ -70,11 +85,8 @@ def summary(frame: DataFrame) -> DataFrame:
         F.sum(F.when(_in("city"), F.col("vehicles_n"))).alias("vehicles_n"),
     )
     return one.select(
-        "total", "high", "night", "top_city",
-        F.coalesce("top_city_count", F.lit(0)).cast("bigint").alias("top_city_count"),
-        "top_weather", F.coalesce("top_weather_count", F.lit(0)).cast("bigint").alias("top_weather_count"),
-        "top_road", F.coalesce("top_road_count", F.lit(0)).cast("bigint").alias("top_road_count"),
-        F.coalesce("peak_hour", F.lit(0)).alias("peak_hour"),
+        "total", "high", "night", "top_city", "top_city_count", "top_weather", "top_weather_count",
+        "top_road", "top_road_count", "peak_hour",
         F.coalesce(share("high", "total", 1), F.lit(0.0)).alias("high_pct"),
         F.coalesce(share("night", "total", 1), F.lit(0.0)).alias("night_pct"),
         F.when((F.col("n_years") >= 2) & (F.col("last_year_count") > F.col("first_year_count")),
@@ -84,17 +96,17 @@ def summary(frame: DataFrame) -> DataFrame:
     )
 
 
-def kpis(frame: DataFrame) -> DataFrame:
-    """K1-K5, K7: total, most dangerous city (+count), commonest weather,
-    High share (%, 1 decimal), peak hour (+ ``HH:00`` label).  Always one row."""
-    s = summary(frame)
+def summary(frame: DataFrame) -> DataFrame:
+    """One row with every headline figure and insight value of ``frame``."""
+    return summary_from_counts(dimension_counts(frame))
+
+
+def kpis_from_summary(s: DataFrame) -> DataFrame:
     return s.select("total", "top_city", "top_city_count", "top_weather", "high_pct",
                     "peak_hour", hour_label("peak_hour").alias("peak_hour_label"))
 
 
-def insights(frame: DataFrame) -> DataFrame:
-    """I1-I8 as eight (insight, subject, value) rows; sentences are the caller's."""
-    s = summary(frame)
+def insights_from_summary(s: DataFrame) -> DataFrame:
     def row(name: str, subject: Column, value: Column) -> Column:
         return F.struct(F.lit(name).alias("insight"), subject.cast("string").alias("subject"),
                         value.cast("double").alias("value"))
@@ -111,6 +123,17 @@ def insights(frame: DataFrame) -> DataFrame:
     return s.select(F.inline(rows))
 
 
+def kpis(frame: DataFrame) -> DataFrame:
+    """K1-K5, K7: total, most dangerous city (+count), commonest weather,
+    High share (%, 1 decimal), peak hour (+ ``HH:00`` label).  Always one row."""
+    return kpis_from_summary(summary(frame))
+
+
+def insights(frame: DataFrame) -> DataFrame:
+    """I1-I8 as eight (insight, subject, value) rows; sentences are the caller's."""
+    return insights_from_summary(summary(frame))
+
+
 def dataset_info(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Rows, distinct cities, first and last date of the unfiltered frame."""
     distinct = (F.approx_count_distinct("city") if approximate else F.count_distinct("city"))

@@ -1,8 +1,15 @@
 """The dashboard's data (everything but drawing), as lazy DataFrames.
 
-Serving frame (C14) -> selection (F1, or the first view F4) -> headline
-figures, insights, the dashboard counts, the map sample and the explorer
-projection.  Nothing is collected: the caller shows or writes each frame.
+Serving frame (C14) -> selection (F1, or the opening view F4) -> headline
+figures, insights, the dashboard counts, the map sample and grid, and the
+explorer projection.  Nothing is collected: the caller shows or writes each
+frame.
+
+``fused=True`` (default) computes every count of the selection in ONE
+grouping-sets pass (city, severity, month, hour, weather, road, year and
+map cell), stores that small table once in the shared folder and rolls
+each dashboard table up from it.  Only the map sample (a row-level top-k)
+and the explorer (the rows themselves) read the selection again.
 """
 
 from __future__ import annotations
@@ -10,12 +17,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from mishap.constants import DASHBOARD_DAY, DASHBOARD_NIGHT, PEAK_HOURS, TOP_CITIES_DASHBOARD
+from mishap.functions.columns import period
 from mishap.operators import aggregates as A
 from mishap.operators.cleaning import serving_frame
 from mishap.operators.filters import apply_filters, default_view, explorer, filter_options
-from mishap.operators.hotspots import hotspot_grid, hotspot_points
-from mishap.operators.summary import dataset_info, insights, kpis
+from mishap.operators.hotspots import grid_cells, hotspot_grid, hotspot_points, with_cell_centers
+from mishap.operators.summary import (
+    SUMMARY_SETS, dataset_info, dimension_counts, insights, insights_from_summary, kpis,
+    kpis_from_summary, summary_from_counts,
+)
+from mishap.plans.materialize import store
+
+DASHBOARD_SETS = SUMMARY_SETS + (
+    ("severity", ("severity",)),
+    ("month_start", ("month_start",)),
+    ("cell", ("cell_lat", "cell_lon")),
+)
 
 
 def selection(clean_df: DataFrame, cities: Sequence[str] | None = None,
@@ -28,15 +48,64 @@ def selection(clean_df: DataFrame, cities: Sequence[str] | None = None,
     return apply_filters(frame, cities, severities, date_range)
 
 
-def dashboard(clean_df: DataFrame, **selection_args) -> dict[str, DataFrame]:
+def dashboard_counts(view: DataFrame, step: float = 0.5) -> DataFrame:
+    """Every dashboard count of a selection, one grouping-sets pass (see module doc)."""
+    extra = {"month_start": F.trunc("date", "month")}
+    if "latitude" in view.columns and "longitude" in view.columns:
+        extra.update(grid_cells(step))
+    return dimension_counts(view.withColumns(extra), DASHBOARD_SETS)
+
+
+def _counts(c: DataFrame, dim: str, key: str, name: str = "count") -> DataFrame:
+    return c.where((F.col("dim") == dim) & F.col(key).isNotNull()).select(key, F.col("n").alias(name))
+
+
+def dashboard_from_counts(c: DataFrame, step: float = 0.5) -> dict[str, DataFrame]:
+    """The count-based dashboard tables rolled up from ``dashboard_counts``."""
+    s = summary_from_counts(c)
+    hours = _counts(c, "hour", "hour", "accident_count")
+    cells = (c.where((F.col("dim") == "cell") & F.col("cell_lat").isNotNull() & F.col("cell_lon").isNotNull())
+              .select("cell_lat", "cell_lon", F.col("n").alias("incidents"), F.col("n_high").alias("high_incidents")))
+    day_night = (c.where(F.col("dim") == "hour")
+                  .groupBy(period("hour", DASHBOARD_DAY, DASHBOARD_NIGHT).alias("period"))
+                  .agg(F.sum("n").alias("count")))
+    return {
+        "kpis": kpis_from_summary(s),
+        "insights": insights_from_summary(s),
+        "city_top12": A.top_k(_counts(c, "city", "city", "accident_count"), TOP_CITIES_DASHBOARD,
+                              "accident_count", "city"),
+        "severity_filtered": A.sort_small(_counts(c, "severity", "severity"), F.col("count").desc(), "severity"),
+        "monthly_trend_filtered": A.sort_small(_counts(c, "month_start", "month_start", "accident_count"),
+                                               "month_start"),
+        "hourly_peaks": A.sort_small(hours.withColumn("is_peak", F.col("hour").isin(list(PEAK_HOURS))), "hour"),
+        "by_weather_filtered": A.sort_small(_counts(c, "weather_condition", "weather_condition"),
+                                            F.col("count").desc(), "weather_condition"),
+        "by_road_filtered": A.sort_small(_counts(c, "road_condition", "road_condition"),
+                                         F.col("count").desc(), "road_condition"),
+        "day_night_dashboard": A.sort_small(day_night, "period"),
+        "hotspot_grid": with_cell_centers(cells, step),
+    }
+
+
+def dashboard(clean_df: DataFrame, fused: bool = True, step: float = 0.5,
+              **selection_args) -> dict[str, DataFrame]:
     """Every dashboard table for one selection of the clean frame."""
     if not selection_args:
         selection_args = {"first_view": True}
     view = selection(clean_df, **selection_args)
-    return {
+    common = {
         "filter_options": filter_options(clean_df),
         "dataset_info": dataset_info(clean_df),
+        "hotspot_points": hotspot_points(view),
+        "explorer": explorer(view),
+    }
+    if fused:
+        counts = store(dashboard_counts(view, step), "dashboard")
+        return {**common, **dashboard_from_counts(counts, step)}
+    return {
+        **common,
         "kpis": kpis(view),
+        "insights": insights(view),
         "city_top12": A.city_top12(view),
         "severity_filtered": A.value_counts(view, "severity"),
         "monthly_trend_filtered": A.monthly_trend_filtered(view),
@@ -44,8 +113,5 @@ def dashboard(clean_df: DataFrame, **selection_args) -> dict[str, DataFrame]:
         "by_weather_filtered": A.value_counts(view, "weather_condition"),
         "by_road_filtered": A.value_counts(view, "road_condition"),
         "day_night_dashboard": A.day_night_dashboard(view),
-        "hotspot_points": hotspot_points(view),
-        "hotspot_grid": hotspot_grid(view),
-        "insights": insights(view),
-        "explorer": explorer(view),
+        "hotspot_grid": hotspot_grid(view, step),
     }

@@ -79,25 +79,25 @@ def report_from_fused(fused: DataFrame) -> dict[str, DataFrame]:
     return {
         "by_city": A.top_k(by_city, TOP_CITIES, "accident_count", "city"),
         "top_areas": A.top_k(areas, TOP_AREAS, "total", "city"),
-        "by_hour": by_hour.orderBy(F.col("hour").asc_nulls_first()),
-        "day_night": hours.groupBy(period("hour").alias("period"))
-                          .agg(F.sum("accidents").alias("count")).orderBy("period"),
-        "by_weather": A.with_share(_roll(fused, "weather_severity", "weather_condition"))
-                        .orderBy(F.col("count").desc(), F.col("weather_condition").asc_nulls_first()),
-        "severity_distribution": A.with_share(_roll(fused, "weather_severity", "severity"))
-                        .orderBy(F.col("count").desc(), F.col("severity").asc_nulls_first()),
-        "monthly_trend": months.select(F.try_to_date("month_year", "yyyy-MM").alias("month_start"),
-                                       "accident_count").orderBy(F.col("month_start").asc_nulls_first()),
+        "by_hour": A.sort_small(by_hour, F.col("hour").asc_nulls_first()),
+        "day_night": A.sort_small(hours.groupBy(period("hour").alias("period"))
+                                  .agg(F.sum("accidents").alias("count")), "period"),
+        "by_weather": A.sort_small(A.with_share(_roll(fused, "weather_severity", "weather_condition")),
+                                   F.col("count").desc(), F.col("weather_condition").asc_nulls_first()),
+        "severity_distribution": A.sort_small(A.with_share(_roll(fused, "weather_severity", "severity")),
+                                              F.col("count").desc(), F.col("severity").asc_nulls_first()),
+        "monthly_trend": A.sort_small(months.select(F.try_to_date("month_year", "yyyy-MM").alias("month_start"),
+                                                    "accident_count"), F.col("month_start").asc_nulls_first()),
         "peak_hours": A.top_k(hours.select("hour", F.col("accidents").alias("count")),
                               TOP_PEAK_HOURS, "count", "hour"),
-        "by_road": _set(fused, "road").select("road_condition", F.col("accidents").alias("count"))
-                        .orderBy(F.col("count").desc(), F.col("road_condition").asc_nulls_first()),
-        "yearly": yearly.orderBy(F.col("year").asc_nulls_first()),
+        "by_road": A.sort_small(_set(fused, "road").select("road_condition", F.col("accidents").alias("count")),
+                                F.col("count").desc(), F.col("road_condition").asc_nulls_first()),
+        "yearly": A.sort_small(yearly, F.col("year").asc_nulls_first()),
         "high_severity_by_city": A.top_k(high_city, TOP_HIGH_SEVERITY_CITIES, "high_severity_count", "city"),
-        "weather_severity_cross": _set(fused, "weather_severity")
-                        .select("weather_condition", "severity", F.col("accidents").alias("count"))
-                        .orderBy(F.col("weather_condition").asc_nulls_first(), F.col("severity").asc_nulls_first()),
-        "monthly_high": ms.orderBy(F.col("month_year").asc_nulls_first()),
+        "weather_severity_cross": A.sort_small(
+            _set(fused, "weather_severity").select("weather_condition", "severity", F.col("accidents").alias("count")),
+            F.col("weather_condition").asc_nulls_first(), F.col("severity").asc_nulls_first()),
+        "monthly_high": A.sort_small(ms, F.col("month_year").asc_nulls_first()),
     }
 
 

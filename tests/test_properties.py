@@ -117,3 +117,16 @@ def test_hotspot_sample_smaller_than_n(spark):
 def test_hotspot_grid_counts_points(clean_small):
     pts = clean_small.dropna(subset=["latitude", "longitude"]).count()
     assert hotspot_grid(clean_small).agg(F.sum("incidents")).first()[0] == pts
+
+
+@pytest.mark.parametrize("selection", [
+    {"first_view": True},
+    {"cities": ["City 1", "City 7"], "severities": ["High", "Medium"], "date_range": ("2021-05-01", "2023-02-28")},
+])
+def test_fused_dashboard_equals_operators(clean_small, selection):
+    from mishap.plans.dashboard import dashboard
+    fused = dashboard(clean_small, fused=True, **selection)
+    separate = dashboard(clean_small, fused=False, **selection)
+    assert set(fused) == set(separate)
+    for name in separate:
+        _same(separate[name], fused[name])
