@@ -11,7 +11,7 @@ broadcast), so the source is scanned once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mishap.constants import (
@@ -48,12 +48,16 @@ def count_by(df: DataFrame, key: str | Column, name: str = "count") -> DataFrame
 
 
 def with_share(counts: DataFrame, count_col: str = "count", name: str = "percentage",
-               digits: int = 2) -> DataFrame:
+               digits: int = 2, single_partition: bool = False) -> DataFrame:
     """Add ``count / total * 100`` where total is the sum of the (small) aggregate.
 
     The total is a one-row aggregate of the aggregate, joined by broadcast:
     bounded size, and the plan reuses the aggregate's exchange (one scan).
+    ``single_partition=True`` is for input already in one partition (a
+    stored small table): the total is then a window over that partition.
     """
+    if single_partition:
+        return counts.withColumn(name, share(count_col, F.sum(count_col).over(Window.partitionBy()), digits))
     total = counts.agg(F.sum(count_col).alias("_total"))
     return (counts.crossJoin(F.broadcast(total))
                   .withColumn(name, share(count_col, "_total", digits))

@@ -56,6 +56,12 @@ def dashboard_counts(view: DataFrame, step: float = 0.5) -> DataFrame:
     return dimension_counts(view.withColumns(extra), DASHBOARD_SETS)
 
 
+
+def _ordered(df: DataFrame, *order) -> DataFrame:
+    """Order a roll-up of the stored small table.  Read back as one partition,
+    it needs no exchange; on any other input this is a plain ``orderBy``."""
+    return df.orderBy(*order)
+
 def _counts(c: DataFrame, dim: str, key: str, name: str = "count") -> DataFrame:
     return c.where((F.col("dim") == dim) & F.col(key).isNotNull()).select(key, F.col("n").alias(name))
 
@@ -74,15 +80,15 @@ def dashboard_from_counts(c: DataFrame, step: float = 0.5) -> dict[str, DataFram
         "insights": insights_from_summary(s),
         "city_top12": A.top_k(_counts(c, "city", "city", "accident_count"), TOP_CITIES_DASHBOARD,
                               "accident_count", "city"),
-        "severity_filtered": A.sort_small(_counts(c, "severity", "severity"), F.col("count").desc(), "severity"),
-        "monthly_trend_filtered": A.sort_small(_counts(c, "month_start", "month_start", "accident_count"),
+        "severity_filtered": _ordered(_counts(c, "severity", "severity"), F.col("count").desc(), "severity"),
+        "monthly_trend_filtered": _ordered(_counts(c, "month_start", "month_start", "accident_count"),
                                                "month_start"),
-        "hourly_peaks": A.sort_small(hours.withColumn("is_peak", F.col("hour").isin(list(PEAK_HOURS))), "hour"),
-        "by_weather_filtered": A.sort_small(_counts(c, "weather_condition", "weather_condition"),
+        "hourly_peaks": _ordered(hours.withColumn("is_peak", F.col("hour").isin(list(PEAK_HOURS))), "hour"),
+        "by_weather_filtered": _ordered(_counts(c, "weather_condition", "weather_condition"),
                                             F.col("count").desc(), "weather_condition"),
-        "by_road_filtered": A.sort_small(_counts(c, "road_condition", "road_condition"),
+        "by_road_filtered": _ordered(_counts(c, "road_condition", "road_condition"),
                                          F.col("count").desc(), "road_condition"),
-        "day_night_dashboard": A.sort_small(day_night, "period"),
+        "day_night_dashboard": _ordered(day_night, "period"),
         "hotspot_grid": with_cell_centers(cells, step),
     }
 
@@ -100,7 +106,7 @@ def dashboard(clean_df: DataFrame, fused: bool = True, step: float = 0.5,
         "explorer": explorer(view),
     }
     if fused:
-        counts = store(dashboard_counts(view, step), "dashboard")
+        counts = store(dashboard_counts(view, step), "dashboard", small=True)
         return {**common, **dashboard_from_counts(counts, step)}
     return {
         **common,

@@ -17,12 +17,23 @@ from pyspark.sql import DataFrame
 from mishap.session import shared_dir
 
 
-def store(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and return a frame reading it."""
+def store(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
+          small: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and return a frame reading it.
+
+    ``small=True`` is for results bounded by key cardinality (the fused
+    report and dashboard counts: hundreds to thousands of rows, whatever the
+    data volume).  They are written as one file and read back as ONE
+    partition, so every roll-up, sort and share over them plans no exchange
+    and runs as a single short task.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/mishap/{name}-{uuid.uuid4().hex}"
+    if small:
+        df = df.coalesce(1)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    back = spark.read.parquet(path)
+    return back.coalesce(1) if small else back
