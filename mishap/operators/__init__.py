@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators (cleaning, filters, aggregates, summary, hotspots, profile)."""

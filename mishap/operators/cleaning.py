@@ -131,14 +131,18 @@ def cast_numerics(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def clean(df: DataFrame) -> DataFrame:
+def clean(df: DataFrame, strict: bool = False) -> DataFrame:
     """The whole cleaning chain, lazily.
 
     standardize -> dedup -> drop critical NULLs -> fill -> normalise ->
-    parse date/hour/calendar -> cast numerics.
+    parse date/hour/calendar -> cast numerics.  Optional columns that are
+    absent are skipped (as the original does); ``strict=True`` instead
+    requires the whole column contract (C13) right after the renaming.
     """
-    return (df.transform(standardize_column_names)
-              .transform(drop_duplicates)
+    df = standardize_column_names(df)
+    if strict:
+        require_columns(df)
+    return (df.transform(drop_duplicates)
               .transform(handle_nulls)
               .transform(normalize_categoricals)
               .transform(parse_datetime)

@@ -1,0 +1 @@
+"""Sinks: CSV and Parquet writers (distributed by default)."""

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The rebuilt system is batch only.  Its "real-time" filters are interactive
+re-queries of a stored table (``mishap.plans.dashboard``), not a stream:
+there are no watermarks, event-time windows, state or late data to model.
+A caller who wants continuous ingestion can run the batch operators inside
+Structured Streaming's ``foreachBatch``; nothing here needs its own
+streaming operator.
+"""

@@ -141,3 +141,10 @@ def test_observed_counts_without_extra_jobs(spark):
 def test_stage_names(spark):
     with pytest.raises(KeyError):
         C.stage(raw(spark, []), "nope")
+
+
+def test_strict_contract(spark):
+    df = spark.createDataFrame([("a", "2021-01-01", "low")], ["city", "date", "severity"])
+    assert C.clean(df).count() == 1  # optional columns absent: steps skipped
+    with pytest.raises(ValueError, match="missing required"):
+        C.clean(df, strict=True)
