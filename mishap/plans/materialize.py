@@ -12,21 +12,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from mishap.session import shared_dir
 
 
-def store(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
-          small: bool = False) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and return a frame reading it.
-
-    ``small=True`` is for results bounded by key cardinality (the fused
-    report and dashboard counts: hundreds to thousands of rows, whatever the
-    data volume).  They are written as one file and read back as ONE
-    partition, so every roll-up, sort and share over them plans no exchange
-    and runs as a single short task.
-    """
+def store_path(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
+               small: bool = False) -> str:
+    """Write ``df`` as Parquet under a fresh folder of the shared folder; return the path."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/mishap/{name}-{uuid.uuid4().hex}"
     if small:
@@ -35,5 +28,28 @@ def store(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    return path
+
+
+def load(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+         small: bool = False) -> DataFrame:
+    """Read a stored table (columns in the given order; one partition if ``small``)."""
     back = spark.read.parquet(path)
+    if columns:
+        back = back.select(*columns)
     return back.coalesce(1) if small else back
+
+
+def store(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
+          small: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and return a frame reading it
+    (same column order as ``df``; partition columns are not moved to the end).
+
+    ``small=True`` is for results bounded by key cardinality (the fused
+    report and dashboard counts: hundreds to thousands of rows, whatever the
+    data volume).  They are written as one file and read back as ONE
+    partition, so every roll-up, sort and share over them plans no exchange
+    and runs as a single short task.
+    """
+    path = store_path(df, name, partition_by, small)
+    return load(df.sparkSession, path, df.columns, small)
