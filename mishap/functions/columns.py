@@ -21,6 +21,23 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def present(df_or_types, *cols: str) -> Column:
+    """True when every column is non-NULL (and not NaN for float columns).
+
+    The same rows ``dropna(subset=cols)`` keeps, written as ``IS NOT NULL``
+    conjunctions so the null checks reach a Parquet scan as pushed filters.
+    """
+    types = dict((f.name, f.dataType) for f in df_or_types.schema.fields) \
+        if hasattr(df_or_types, "schema") else dict(df_or_types)
+    cond = None
+    for c in cols:
+        ok = F.col(c).isNotNull()
+        if isinstance(types.get(c), (T.FloatType, T.DoubleType)):
+            ok = ok & ~F.isnan(F.col(c))
+        cond = ok if cond is None else cond & ok
+    return F.lit(True) if cond is None else cond
+
+
 def title_case(c: str | Column) -> Column:
     """Trim, then capitalise the first letter of every blank-separated word."""
     return F.initcap(F.trim(_col(c)))

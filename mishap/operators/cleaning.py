@@ -18,7 +18,7 @@ from mishap.constants import (
     CATEGORICAL_COLUMNS, CATEGORICAL_FILL_COLUMNS, COLUMN_ALIASES, CRITICAL_COLUMNS,
     DEFAULT_VEHICLES, MONTH_FORMAT, REQUIRED_COLUMNS, UNKNOWN,
 )
-from mishap.functions.columns import parse_date, parse_hour, title_case
+from mishap.functions.columns import parse_date, parse_hour, present, title_case
 from mishap.schema import NUMERIC_TARGETS
 
 
@@ -65,7 +65,7 @@ def drop_critical_nulls(df: DataFrame) -> DataFrame:
     missing = [c for c in CRITICAL_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"critical columns absent: {missing}")
-    return df.dropna(subset=list(CRITICAL_COLUMNS))
+    return df.where(present(df, *CRITICAL_COLUMNS))
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mishap.constants import DEFAULT_VIEW_CITIES, EXPLORER_COLUMNS
+from mishap.functions.columns import present
 
 DateLike = str | dt.date
 
@@ -83,8 +84,8 @@ def high_severity(df: DataFrame) -> DataFrame:
 
 
 def with_coordinates(df: DataFrame) -> DataFrame:
-    """rows with both coordinates."""
-    return df.dropna(subset=["latitude", "longitude"])
+    """rows with both coordinates (NULL checks pushed to the scan)."""
+    return df.where(present(df, "latitude", "longitude"))
 
 
 def explorer(df: DataFrame, columns: Sequence[str] = EXPLORER_COLUMNS) -> DataFrame:

@@ -4,12 +4,22 @@ Read as text with the header the files carry (names vary; the cleaning
 step standardises them).  Schema inference is opt-in: it costs a full pass
 and guesses types per file (a ``time`` column can become a timestamp of
 today).  ``multiLine`` is opt-in too: it makes each file one split.
+
+Spark names the columns from the first file's header.  By default it then
+ignores the headers of the other files, so a folder mixing header layouts
+would be silently misaligned; here every file's header is checked against
+those names (``enforceSchema=false``) and a mismatch fails the read.
+Folders with several layouts go through ``read_incident_layouts``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from mishap.operators.cleaning import standardize_column_names
+
 
 def read_incidents_csv(spark: SparkSession, path: str | list[str], infer_schema: bool = False,
                        multi_line: bool = False, **options) -> DataFrame:
@@ -18,12 +28,24 @@ def read_incidents_csv(spark: SparkSession, path: str | list[str], infer_schema:
     A missing path raises Spark's PATH_NOT_FOUND error (any file system).
     """
     reader = (spark.read.option("header", True).option("escape", '"')
-              .option("inferSchema", infer_schema).option("multiLine", multi_line))
+              .option("inferSchema", infer_schema).option("multiLine", multi_line)
+              .option("enforceSchema", False))
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.csv(path)
 
 
+def read_incident_layouts(spark: SparkSession, layouts: Sequence[str | list[str]], **options) -> DataFrame:
+    """Files in several header layouts: one read per layout (files sharing a
+    header), headers standardised, then a union by column name; a column a
+    layout lacks is NULL there.  No data moves: the union is a plan node."""
+    frames = [standardize_column_names(read_incidents_csv(spark, paths, **options)) for paths in layouts]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """A clean table written by ``sinks.write_clean`` (Parquet, year partitions)."""
     return spark.read.parquet(path)

@@ -148,3 +148,9 @@ def test_strict_contract(spark):
     assert C.clean(df).count() == 1  # optional columns absent: steps skipped
     with pytest.raises(ValueError, match="missing required"):
         C.clean(df, strict=True)
+
+
+def test_present_matches_dropna(spark):
+    from mishap.functions.columns import present
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, "c"), (2.0, None)], "x double, s string")
+    assert sorted(df.where(present(df, "x", "s")).collect()) == sorted(df.dropna(subset=["x", "s"]).collect())

@@ -65,3 +65,25 @@ def test_write_report(clean_small, tmp):
     assert set(paths) == set(report)
     back = read_incidents_csv(clean_small.sparkSession, paths["by_road"], infer_schema=True)
     assert back.count() == report["by_road"].count()
+
+
+OTHER_LAYOUT = """accident_severity,place,date,time,weather_condition,road_condition,num_vehicles,id
+LOW,boston,2022-02-02,09:15,snow,icy,3,10
+"""
+
+
+def test_mixed_header_layouts(spark, tmp):
+    from mishap.sources.csv import read_incident_layouts
+    a, b = os.path.join(tmp, "a"), os.path.join(tmp, "b")
+    os.makedirs(a), os.makedirs(b)
+    with open(os.path.join(a, "1.csv"), "w") as fh:
+        fh.write(CSV)
+    with open(os.path.join(b, "2.csv"), "w") as fh:
+        fh.write(OTHER_LAYOUT)
+    # One read over both layouts fails instead of misaligning columns.
+    with pytest.raises(Exception):
+        read_incidents_csv(spark, [os.path.join(a, "1.csv"), os.path.join(b, "2.csv")]).collect()
+    both = clean(read_incident_layouts(spark, [a, b]))
+    out = {r.id: r for r in both.collect()}
+    assert set(out) == {1, 2, 3, 10}
+    assert (out[10].city, out[10].severity, out[10].hour, out[10].latitude) == ("Boston", "Low", 9, None)

@@ -59,3 +59,12 @@ def test_share_scans_once(stored_clean):
 def test_fused_report_is_one_scan(stored_clean):
     text = plan(report_grouping_sets(stored_clean))
     assert "Expand" in text and text.count("Scan parquet") == 1
+
+
+def test_registry_stores_clean_once(spark):
+    from mishap.plans import registry as R
+    a = R.stored_clean(spark, SF_SMALL)
+    b = R.stored_clean(spark, SF_SMALL)
+    assert a.inputFiles() == b.inputFiles()
+    assert a.columns == R.clean(spark, SF_SMALL).columns
+    assert a.count() == 981
