@@ -53,11 +53,15 @@ def apply_filters(df: DataFrame, cities: Sequence[str] | None = None,
 
 
 def filter_options(df: DataFrame) -> DataFrame:
-    """the sorted distinct non-NULL cities and severities, as (field, value) rows."""
-    cities = df.select(F.lit("city").alias("field"), F.col("city").alias("value"))
-    sevs = df.select(F.lit("severity").alias("field"), F.col("severity").alias("value"))
-    return (cities.unionByName(sevs).where(F.col("value").isNotNull())
-                  .distinct().orderBy("field", "value"))
+    """the sorted distinct non-NULL cities and severities, as (field, value) rows.
+
+    One scan of the two columns; the distinct values (a dimension, bounded
+    by the number of places and levels) are sorted in one partition.
+    """
+    pairs = F.array(F.struct(F.lit("city").alias("field"), F.col("city").alias("value")),
+                    F.struct(F.lit("severity").alias("field"), F.col("severity").alias("value")))
+    options = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
+    return options.repartition(1).orderBy("field", "value")
 
 
 def default_cities(df: DataFrame, n: int = DEFAULT_VIEW_CITIES) -> DataFrame:

@@ -23,7 +23,7 @@ from mishap.constants import DASHBOARD_DAY, DASHBOARD_NIGHT, PEAK_HOURS, TOP_CIT
 from mishap.functions.columns import period
 from mishap.operators import aggregates as A
 from mishap.operators.cleaning import serving_frame
-from mishap.operators.filters import apply_filters, default_view, explorer, filter_options
+from mishap.operators.filters import apply_filters, default_cities, default_view, explorer, filter_options
 from mishap.operators.hotspots import grid_cells, hotspot_grid, hotspot_points, with_cell_centers
 from mishap.operators.summary import (
     SUMMARY_SETS, dataset_info, dimension_counts, insights, insights_from_summary, kpis,
@@ -40,9 +40,19 @@ DASHBOARD_SETS = SUMMARY_SETS + (
 
 def selection(clean_df: DataFrame, cities: Sequence[str] | None = None,
               severities: Sequence[str] | None = None, date_range=None,
-              first_view: bool = False) -> DataFrame:
-    """The filtered serving frame; ``first_view`` gives the dashboard's opening selection."""
+              first_view: bool = False, resolve: bool = False) -> DataFrame:
+    """The filtered serving frame; ``first_view`` gives the dashboard's opening selection.
+
+    ``resolve=True`` (used by ``dashboard``) looks the opening view's city
+    list up once -- at most ``DEFAULT_VIEW_CITIES`` names, a bounded fetch --
+    and filters on it as a literal ``IN`` list: every later scan of the
+    selection then gets it as a pushed Parquet filter, instead of repeating
+    a semi-join subquery per consumer.
+    """
     frame = serving_frame(clean_df)
+    if first_view and resolve:
+        names = [r["city"] for r in default_cities(frame).collect()]
+        return frame.where(F.col("date").isNotNull() & F.col("city").isin(names))
     if first_view:
         return default_view(frame)
     return apply_filters(frame, cities, severities, date_range)
@@ -98,7 +108,7 @@ def dashboard(clean_df: DataFrame, fused: bool = True, step: float = 0.5,
     """Every dashboard table for one selection of the clean frame."""
     if not selection_args:
         selection_args = {"first_view": True}
-    view = selection(clean_df, **selection_args)
+    view = selection(clean_df, resolve=True, **selection_args)
     common = {
         "filter_options": filter_options(clean_df),
         "dataset_info": dataset_info(clean_df),
