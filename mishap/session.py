@@ -50,12 +50,15 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a scratch one only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach (HDFS, S3, ...); it is read from the session and never replaced.
-    Only when it is unset (local tests) a fresh temporary folder is used.
+    reach (HDFS, S3, ...); it is read from the session and never replaced,
+    and a cluster session without it is an error.  Only a local session
+    without it (tests) gets a fresh temporary folder.
     """
     current = shared_dir(spark, required=False)
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="mishap-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
