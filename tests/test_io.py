@@ -87,3 +87,25 @@ def test_mixed_header_layouts(spark, tmp):
     out = {r.id: r for r in both.collect()}
     assert set(out) == {1, 2, 3, 10}
     assert (out[10].city, out[10].severity, out[10].hour, out[10].latitude) == ("Boston", "Low", 9, None)
+
+
+def test_command_line_report(spark, tmp):
+    from mishap.__main__ import main
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as fh:
+        fh.write(CSV)
+    summary = main(["report", "--input", src, "--output", os.path.join(tmp, "out")])
+    assert summary["rows"] == {"raw_rows": 4, "duplicates_removed": 1, "dedup_rows": 3, "clean_rows": 3}
+    back = read_incidents_csv(spark, summary["tables"]["top_areas"], infer_schema=True)
+    assert back.count() == 3 and set(back.columns) == {"city", "High", "Low", "Medium", "total"}
+    dash = main(["dashboard", "--input", src, "--output", os.path.join(tmp, "dash"), "--severity", "High"])
+    kp = read_incidents_csv(spark, dash["tables"]["kpis"], infer_schema=True).first()
+    assert kp.total == 1 and kp.top_city == "New York"
+
+
+def test_free_form_sql_on_registered_view(clean_small):
+    from mishap.plans.sql import register_view
+    name = register_view(clean_small, "accidents_test")
+    got = clean_small.sparkSession.sql(f"SELECT count(*) AS n FROM {name} WHERE severity = 'High'").first().n
+    assert got == clean_small.where("severity = 'High'").count()
