@@ -23,7 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from mishap.operators.filters import apply_filters, default_view  # noqa: E402
 from mishap.operators.cleaning import serving_frame  # noqa: E402
 from mishap.plans.dashboard import dashboard  # noqa: E402
-from mishap.plans.materialize import store  # noqa: E402
+from mishap.plans.materialize import store_clean  # noqa: E402
 from mishap.plans.registry import FILTER_CITIES, FILTER_DATES, FILTER_SEVERITIES, clean  # noqa: E402
 from mishap.plans.report import run_report  # noqa: E402
 from mishap.session import local_session, shared_dir  # noqa: E402
@@ -52,7 +52,7 @@ def main() -> None:
     timed("warmup", lambda: spark.read.parquet(f"{sf_dir}/events.parquet").count())
 
     def flow(tag: str) -> None:
-        stored = timed(f"{tag}clean_store", lambda: store(clean(spark, sf_dir), "bench-clean", ["year"]))
+        stored = timed(f"{tag}clean_store", lambda: store_clean(clean(spark, sf_dir), "bench-clean"))
         rows["clean"] = stored.count()
 
         def report():

@@ -18,7 +18,7 @@ from mishap.operators.hotspots import hotspot_grid, hotspot_points  # noqa: F401
 from mishap.operators.profile import profile  # noqa: F401
 from mishap.operators.summary import dataset_info, insights, kpis  # noqa: F401
 from mishap.plans.dashboard import dashboard, selection  # noqa: F401
-from mishap.plans.materialize import store  # noqa: F401
+from mishap.plans.materialize import store, store_clean  # noqa: F401
 from mishap.plans.report import report_grouping_sets, run_report  # noqa: F401
 from mishap.plans.sql import high_severity_by_city, monthly_high, register_view, weather_severity_cross  # noqa: F401
 from mishap.sinks.writers import write_clean, write_csv, write_filtered_csv, write_report  # noqa: F401

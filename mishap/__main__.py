@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from mishap.operators.cleaning import clean_observed
 from mishap.plans.dashboard import dashboard
-from mishap.plans.materialize import store
+from mishap.plans.materialize import store_clean
 from mishap.plans.report import run_report
 from mishap.session import ensure_shared_dir
 from mishap.sinks.writers import write_clean, write_report
@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> dict:
     spark = SparkSession.builder.appName(f"mishap-{args.command}").getOrCreate()
     ensure_shared_dir(spark)
     cleaned, metrics = clean_observed(read_incident_layouts(spark, args.input))
-    table = store(cleaned, "clean", ["year"])
+    table = store_clean(cleaned)
     counts = metrics.as_dict()
     out = args.output.rstrip("/")
     if args.export_clean:

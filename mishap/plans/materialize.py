@@ -18,12 +18,20 @@ from mishap.session import shared_dir
 
 
 def store_path(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
-               small: bool = False) -> str:
-    """Write ``df`` as Parquet under a fresh folder of the shared folder; return the path."""
+               small: bool = False, cluster_by: Sequence[str] | None = None) -> str:
+    """Write ``df`` as Parquet under a fresh folder of the shared folder; return the path.
+
+    ``cluster_by`` sorts each write task's rows (after the partition
+    columns) so every file's row groups cover narrow ranges of those columns:
+    Parquet min/max statistics then skip most row groups for filters on
+    them.  The sort is task-local (no shuffle) and spills if needed.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/mishap/{name}-{uuid.uuid4().hex}"
     if small:
         df = df.coalesce(1)
+    if cluster_by:
+        df = df.sortWithinPartitions(*(list(partition_by or []) + list(cluster_by)))
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -41,7 +49,7 @@ def load(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
 
 
 def store(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
-          small: bool = False) -> DataFrame:
+          small: bool = False, cluster_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return a frame reading it
     (same column order as ``df``; partition columns are not moved to the end).
 
@@ -51,5 +59,17 @@ def store(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
     partition, so every roll-up, sort and share over them plans no exchange
     and runs as a single short task.
     """
-    path = store_path(df, name, partition_by, small)
+    path = store_path(df, name, partition_by, small, cluster_by)
     return load(df.sparkSession, path, df.columns, small)
+
+
+# How the clean table is laid out: year folders (pruned by date ranges),
+# rows clustered by place then date inside each file (skipped by IN / range
+# filters through Parquet statistics).
+CLEAN_PARTITIONS = ("year",)
+CLEAN_CLUSTERING = ("city", "date")
+
+
+def store_clean(clean_df: DataFrame, name: str = "clean") -> DataFrame:
+    """Store the clean table in the shared folder with the layout above."""
+    return store(clean_df, name, CLEAN_PARTITIONS, cluster_by=CLEAN_CLUSTERING)

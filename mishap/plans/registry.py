@@ -22,7 +22,7 @@ from mishap.operators.hotspots import hotspot_grid, hotspot_points
 from mishap.operators.profile import profile
 from mishap.operators.summary import dataset_info, insights, kpis
 from mishap.plans import sql as Q
-from mishap.plans.materialize import load, store_path
+from mishap.plans.materialize import CLEAN_CLUSTERING, CLEAN_PARTITIONS, load, store_path
 from mishap.plans.report import report_grouping_sets
 from mishap.session import ensure_shared_dir
 from mishap.sources.fixture import raw_incidents
@@ -68,7 +68,7 @@ def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         except AnalysisException:
             _STORED.pop(key, None)
     df = clean(spark, sf_dir)
-    _STORED[key] = (store_path(df, "clean", ["year"]), df.columns)
+    _STORED[key] = (store_path(df, "clean", CLEAN_PARTITIONS, cluster_by=CLEAN_CLUSTERING), df.columns)
     return load(spark, *_STORED[key])
 
 

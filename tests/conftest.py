@@ -26,9 +26,9 @@ def clean_small(spark):
 @pytest.fixture(scope="session")
 def stored_clean(spark):
     """The sf0.01 clean table written once to the shared folder, year-partitioned."""
-    from mishap.plans.materialize import store
+    from mishap.plans.materialize import store_clean
     from mishap.plans.registry import clean
-    return store(clean(spark, SF_MID), "test-clean", ["year"])
+    return store_clean(clean(spark, SF_MID), "test-clean")
 
 
 def rows(df, order=None):

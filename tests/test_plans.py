@@ -68,3 +68,11 @@ def test_registry_stores_clean_once(spark):
     assert a.inputFiles() == b.inputFiles()
     assert a.columns == R.clean(spark, SF_SMALL).columns
     assert a.count() == 981
+
+
+def test_stored_clean_is_clustered_by_city_then_date(stored_clean):
+    import pyarrow.parquet as pq
+    path = stored_clean.inputFiles()[0]
+    table = pq.read_table(path.replace("file://", ""), columns=["city", "date"]).to_pylist()
+    keys = [(r["city"], r["date"]) for r in table]
+    assert keys == sorted(keys, key=lambda k: (k[0] is not None, k[0] or "", k[1] is not None, k[1]))
