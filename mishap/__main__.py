@@ -15,13 +15,11 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import SparkSession
-
 from mishap.operators.cleaning import clean_observed
 from mishap.plans.dashboard import dashboard
 from mishap.plans.materialize import store_clean
 from mishap.plans.report import run_report
-from mishap.session import ensure_shared_dir
+from mishap.session import ensure_shared_dir, get_session
 from mishap.sinks.writers import write_clean, write_report
 from mishap.sources.csv import read_incident_layouts
 
@@ -40,7 +38,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--export-clean", action="store_true", help="also write the clean table (W3)")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"mishap-{args.command}").getOrCreate()
+    spark = get_session(f"mishap-{args.command}")
     ensure_shared_dir(spark)
     cleaned, metrics = clean_observed(read_incident_layouts(spark, args.input))
     table = store_clean(cleaned)

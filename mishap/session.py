@@ -29,6 +29,18 @@ SCALE_CONF: dict[str, str] = {
 }
 
 
+def get_session(app_name: str = "mishap", extra: dict[str, str] | None = None) -> SparkSession:
+    """The session for a job: master, memory and shuffle width come from
+    the launcher (``spark-submit``); only the scale settings above are added
+    (AQE sizes the shuffles at run time).  Log level ERROR."""
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in {**SCALE_CONF, **(extra or {})}.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
 def local_session(app_name: str = "mishap", cores: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "8g", extra: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the bench (UI off, shared dir set if unset)."""
