@@ -76,3 +76,14 @@ def test_stored_clean_is_clustered_by_city_then_date(stored_clean):
     table = pq.read_table(path.replace("file://", ""), columns=["city", "date"]).to_pylist()
     keys = [(r["city"], r["date"]) for r in table]
     assert keys == sorted(keys, key=lambda k: (k[0] is not None, k[0] or "", k[1] is not None, k[1]))
+
+
+def test_shuffle_sizing(spark):
+    from mishap.plans.registry import raw
+    from mishap.plans.sizing import partitions_for, plan_bytes, size_shuffles
+    assert partitions_for(100 * 2**40, 8) == 524288          # 100 TiB at 200 MiB per partition
+    assert partitions_for(10, 8) == 8
+    df = raw(spark, SF_SMALL)
+    assert plan_bytes(df) > 0
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert size_shuffles(df) == before                       # small input: explicit width kept
