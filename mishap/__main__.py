@@ -18,7 +18,7 @@ import json
 from mishap.operators.cleaning import clean_observed
 from mishap.plans.dashboard import dashboard
 from mishap.plans.materialize import store_clean
-from mishap.plans.report import run_report
+from mishap.plans.report import run_report, summary_tables
 from mishap.plans.sizing import size_shuffles
 from mishap.session import ensure_shared_dir, get_session
 from mishap.sinks.writers import write_clean, write_report
@@ -51,6 +51,7 @@ def main(argv: list[str] | None = None) -> dict:
         write_clean(table, f"{out}/clean")
     if args.command == "report":
         frames = run_report(table, fused=True)
+        frames.update({f"summaries/{k}": v for k, v in summary_tables(frames).items()})
     else:
         selection = {"cities": args.city, "severities": args.severity,
                      "date_range": (args.start, args.end) if args.start and args.end else None}

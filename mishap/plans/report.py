@@ -131,3 +131,21 @@ def run_report(clean_df: DataFrame, fused: bool = False) -> dict[str, DataFrame]
         "weather_severity_cross": Q.weather_severity_cross(clean_df),
         "monthly_high": Q.monthly_high(clean_df),
     }
+
+
+# --- fixed values: names and key columns of the six published summary tables ---
+SUMMARY_TABLES: dict[str, tuple[str, str, str]] = {
+    # table name: (report key, key column, count column in the report)
+    "accidents_by_city": ("by_city", "city", "accident_count"),
+    "hourly_distribution": ("by_hour", "hour", "accident_count"),
+    "monthly_trend": ("monthly_high", "month_year", "accidents"),
+    "road_conditions": ("by_road", "road_condition", "count"),
+    "severity_distribution": ("severity_distribution", "severity", "count"),
+    "weather_breakdown": ("by_weather", "weather_condition", "count"),
+}
+
+
+def summary_tables(report: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The six published summary tables, (key, count) each, from a report."""
+    return {name: report[key].select(col, F.col(cnt).alias("count"))
+            for name, (key, col, cnt) in SUMMARY_TABLES.items()}

@@ -130,3 +130,26 @@ def test_fused_dashboard_equals_operators(clean_small, selection):
     assert set(fused) == set(separate)
     for name in separate:
         _same(separate[name], fused[name])
+
+
+def test_dashboard_on_an_empty_selection(clean_small):
+    from mishap.plans.dashboard import dashboard
+    board = dashboard(clean_small, cities=["Nowhere"])
+    k = board["kpis"].collect()
+    assert len(k) == 1 and k[0].total == 0 and k[0].top_city is None and k[0].peak_hour_label == "00:00"
+    assert board["insights"].count() == 8
+    for name in ("city_top12", "hourly_peaks", "hotspot_points", "hotspot_grid", "explorer", "monthly_trend_filtered"):
+        assert board[name].count() == 0, name
+    assert board["filter_options"].count() > 0  # options come from the unfiltered table
+
+
+def test_published_summary_tables(clean_small):
+    from mishap.plans.report import summary_tables
+    tables = summary_tables(run_report(clean_small))
+    assert set(tables) == {"accidents_by_city", "hourly_distribution", "monthly_trend", "road_conditions",
+                           "severity_distribution", "weather_breakdown"}
+    total = clean_small.count()
+    for name, df in tables.items():
+        assert len(df.columns) == 2 and df.columns[1] == "count"
+        if name != "accidents_by_city":  # a top-15 list
+            assert df.agg(F.sum("count")).first()[0] == total, name
