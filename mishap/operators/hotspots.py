@@ -6,7 +6,9 @@ whatever the partitioning, and never a driver-side sample.  A plain
 task (n x 800k partitions on a 100 TB scan), so the sample first counts
 rows per hash bucket (2^20 buckets, a bounded table), finds the bucket
 where the running count reaches n, and keeps only rows at or below it; the
-final top-k then sees about n rows.  The result is exact, not approximate.
+final top-k then sees n rows plus at most one bucket's population (about
+N / 2^20: ~1M rows for N = 10^12, spread over all input tasks, each of
+which forwards at most n).  The result is exact, not approximate.
 """
 
 from __future__ import annotations
