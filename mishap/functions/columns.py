@@ -5,7 +5,6 @@ Every parse is a ``try_`` form so ANSI mode never raises on dirty input.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mishap.constants import (
-    DATE_FORMATS, DAY, DAY_START_HOUR, NIGHT, NIGHT_START_HOUR, TIME_FORMAT,
+    DATE_FORMATS, DAY, DAY_START_HOUR, NIGHT, NIGHT_START_HOUR,
 )
 
 
@@ -43,30 +42,58 @@ def title_case(c: str | Column) -> Column:
     return F.initcap(F.trim(_col(c)))
 
 
-def shape_regex(fmt: str) -> str | None:
-    """A regex every string that ``fmt`` can parse matches (a superset).
+_FIXED_WIDTH = {"MM": 2, "dd": 2, "HH": 2, "mm": 2, "ss": 2}
 
-    Built by rule from the pattern letters: a run of ``y`` (>= 4) is an
-    optionally signed run of at least that many ASCII digits, ``MM``, ``dd``,
-    ``HH``, ``mm``, ``ss`` exactly two digits, anything else literal.  None
-    for other letters.
-    """
-    out, i = ["^"], 0
+
+def _tokens(fmt: str) -> list[tuple[str, int | None]] | None:
+    """Pattern -> [(literal, 1) | (field, width or None if variable)]; None if unsupported."""
+    out, i = [], 0
     while i < len(fmt):
         j = i
         while j < len(fmt) and fmt[j] == fmt[i]:
             j += 1
-        run, ch = j - i, fmt[i]
-        if ch == "y" and run >= 4:
-            out.append(f"[+-]?[0-9]{{{run},}}")
-        elif ch in "MdHms" and run == 2:
-            out.append("[0-9]{2}")
-        elif ch.isalpha():
-            return None
+        run = fmt[i:j]
+        if run[0].isalpha():
+            if run in _FIXED_WIDTH:
+                out.append((run, _FIXED_WIDTH[run]))
+            elif set(run) == {"y"} and len(run) >= 4:
+                out.append((run, None))
+            else:
+                return None
         else:
-            out.append(re.escape(fmt[i:j]))
+            out += [(ch, 1) for ch in run]
         i = j
-    return "".join(out) + "$"
+    return out
+
+
+def shape_guard(text: Column, fmt: str) -> Column | None:
+    """A cheap test every string ``fmt`` can parse passes (a superset).
+
+    Built by rule from the pattern: each literal character must sit where
+    the pattern puts it, counted from the start when the fields before it
+    have fixed width (``MM``, ``dd``, ``HH``, ``mm``, ``ss``), else from the
+    end when the fields after it do (a ``yyyy`` field has variable width).
+    A few character tests instead of a parse attempt that raises and
+    catches an exception on every non-matching row.  None when no literal
+    can be placed.
+    """
+    toks = _tokens(fmt)
+    if toks is None:
+        return None
+    cond = None
+    for i, (tok, width) in enumerate(toks):
+        if tok[0].isalpha():
+            continue
+        before, after = toks[:i], toks[i + 1:]
+        if all(w is not None for _, w in before):
+            pos = sum(w for _, w in before) + 1
+        elif all(w is not None for _, w in after):
+            pos = -(sum(w for _, w in after) + 1)
+        else:
+            continue
+        test = F.substring(text, pos, 1) == F.lit(tok)
+        cond = test if cond is None else cond & test
+    return cond
 
 
 def parse_date(c: str | Column, source_type: T.DataType | None = None,
@@ -74,8 +101,7 @@ def parse_date(c: str | Column, source_type: T.DataType | None = None,
     """Date from text: each format tried on the ORIGINAL text, first match wins,
     then a plain date cast as the last resort.  Dates and timestamps pass through.
 
-    Each format's parser only sees text of its shape: a failed parse costs a
-    Java exception per row and format, a shape check a few character tests.
+    Each format's parser only sees text of its shape (``shape_guard``).
     """
     if isinstance(source_type, T.DateType):
         return _col(c)
@@ -84,23 +110,25 @@ def parse_date(c: str | Column, source_type: T.DataType | None = None,
     text = _col(c).cast("string")
     tries = []
     for fmt in formats:
-        shape = shape_regex(fmt)
+        guard = shape_guard(text, fmt)
         parsed = F.try_to_date(text, fmt)
-        tries.append(parsed if shape is None else F.when(text.rlike(shape), parsed))
+        tries.append(parsed if guard is None else F.when(guard, parsed))
     return F.coalesce(*tries, text.try_cast("date"))
 
 
 def parse_hour(c: str | Column, source_type: T.DataType | None = None) -> Column:
-    """Hour of an ``HH:mm`` time; otherwise the integer before the first ``:``."""
+    """Hour of an ``HH:mm`` time; otherwise the integer before the first ``:``.
+
+    The two rules give one result: a strict ``HH:mm`` parse succeeds only on
+    exactly two digits, a colon and two digits (hour <= 23, minute <= 59),
+    and then its hour IS the integer before the colon.  So the integer
+    before the first ``:`` is computed directly, without a timestamp parse
+    per row (tests check the equivalence against the two-rule form).
+    """
     if isinstance(source_type, (T.TimestampType, T.TimestampNTZType)):
         return F.hour(_col(c))
     text = _col(c).cast("string")
-    strict = F.hour(F.try_to_timestamp(text, F.lit(TIME_FORMAT)))
-    shape = shape_regex(TIME_FORMAT)
-    if shape is not None:
-        strict = F.when(text.rlike(shape), strict)
-    loose = F.split(text, ":").getItem(0).try_cast("int")
-    return F.coalesce(strict, loose)
+    return F.split(text, ":").getItem(0).try_cast("int")
 
 
 def period(hour: str | Column, day: str = DAY, night: str = NIGHT) -> Column:

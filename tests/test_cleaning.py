@@ -154,3 +154,36 @@ def test_present_matches_dropna(spark):
     from mishap.functions.columns import present
     df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, "c"), (2.0, None)], "x double, s string")
     assert sorted(df.where(present(df, "x", "s")).collect()) == sorted(df.dropna(subset=["x", "s"]).collect())
+
+
+def _strings():
+    import random
+    rnd = random.Random(7)
+    alphabet = "0123456789-/: +.aT"
+    hand = ["2021-03-05", "03/05/2021", "05-03-2021", "2021/03/05", "2021-3-5", "3/5/2021", "+12021-03-05",
+            "12021-03-05", "2021-02-30", "2021-13-01", " 2021-03-05", "2021-03-05 ", "", "-", "--", "//", "2021-03-05T10:00",
+            "05-03-21", "0005-03-2021", "99/99/9999", "2021/3/05", "08:30", "8:30", "24:00", "23:59:59", "noon",
+            ":30", "08:", " 08:30", "+8:30", "-1:00", "08.30", "0830", "12:75", "1:2:3"]
+    rand = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    return hand + rand
+
+
+def test_guarded_date_parse_equals_unguarded(spark):
+    from pyspark.sql import functions as F
+    from mishap.constants import DATE_FORMATS
+    from mishap.functions.columns import parse_date
+    df = spark.createDataFrame([(s,) for s in _strings()], "s string")
+    plain = F.coalesce(*[F.try_to_date(F.col("s"), f) for f in DATE_FORMATS], F.col("s").try_cast("date"))
+    diff = df.where(~parse_date("s").eqNullSafe(plain)).collect()
+    assert diff == []
+    assert df.where(plain.isNotNull()).count() > 20
+
+
+def test_hour_rule_equals_strict_then_loose(spark):
+    from pyspark.sql import functions as F
+    from mishap.functions.columns import parse_hour
+    df = spark.createDataFrame([(s,) for s in _strings()], "s string")
+    two_rules = F.coalesce(F.hour(F.try_to_timestamp(F.col("s"), F.lit("HH:mm"))),
+                           F.split(F.col("s"), ":").getItem(0).try_cast("int"))
+    assert df.where(~parse_hour("s").eqNullSafe(two_rules)).collect() == []
+    assert df.where(two_rules.isNotNull()).count() > 20
