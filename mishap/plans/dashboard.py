@@ -8,8 +8,10 @@ frame.
 ``fused=True`` (default) computes every count of the selection in ONE
 grouping-sets pass (city, severity, month, hour, weather, road, year and
 map cell), stores that small table once in the shared folder and rolls
-each dashboard table up from it.  Only the map sample (a row-level top-k)
-and the explorer (the rows themselves) read the selection again.
+each dashboard table up from it.  The sidebar (filter options, dataset
+info) is one more pass over the unfiltered table.  Only the map sample (a
+row-level top-k) and the explorer (the rows themselves) read the selection
+again.
 """
 
 from __future__ import annotations
@@ -103,6 +105,29 @@ def dashboard_from_counts(c: DataFrame, step: float = 0.5) -> dict[str, DataFram
     }
 
 
+def table_overview(clean_df: DataFrame) -> DataFrame:
+    """One pass over the unfiltered table for the sidebar: rows, first and
+    last date per city and per severity (sets ``city`` and ``severity``).
+    Bounded by the number of places and levels."""
+    dim = F.when(F.grouping("city") == 0, F.lit("city")).otherwise(F.lit("severity"))
+    return (clean_df.groupingSets([["city"], ["severity"]], "city", "severity")
+            .agg(dim.alias("dim"), F.count(F.lit(1)).alias("n"),
+                 F.min("date").alias("min_date"), F.max("date").alias("max_date")))
+
+
+def sidebar_from_overview(o: DataFrame) -> dict[str, DataFrame]:
+    """F2 options and K6 dataset info rolled up from ``table_overview``."""
+    cities = o.where(F.col("dim") == "city")
+    levels = o.where(F.col("dim") == "severity")
+    options = (cities.select(F.lit("city").alias("field"), F.col("city").alias("value"))
+               .unionByName(levels.select(F.lit("severity").alias("field"), F.col("severity").alias("value")))
+               .where(F.col("value").isNotNull()))
+    info = cities.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_records"),
+                      F.count("city").alias("cities"), F.min("min_date").alias("min_date"),
+                      F.max("max_date").alias("max_date"))
+    return {"filter_options": _ordered(options, "field", "value"), "dataset_info": info}
+
+
 def dashboard(clean_df: DataFrame, fused: bool = True, step: float = 0.5,
               **selection_args) -> dict[str, DataFrame]:
     """Every dashboard table for one selection of the clean frame."""
@@ -110,15 +135,16 @@ def dashboard(clean_df: DataFrame, fused: bool = True, step: float = 0.5,
         selection_args = {"first_view": True}
     view = selection(clean_df, resolve=True, **selection_args)
     common = {
-        "filter_options": filter_options(clean_df),
-        "dataset_info": dataset_info(clean_df),
         "hotspot_points": hotspot_points(view),
         "explorer": explorer(view),
     }
     if fused:
+        sidebar = sidebar_from_overview(store(table_overview(clean_df), "overview", small=True))
         counts = store(dashboard_counts(view, step), "dashboard", small=True)
-        return {**common, **dashboard_from_counts(counts, step)}
+        return {**sidebar, **common, **dashboard_from_counts(counts, step)}
     return {
+        "filter_options": filter_options(clean_df),
+        "dataset_info": dataset_info(clean_df),
         **common,
         "kpis": kpis(view),
         "insights": insights(view),
