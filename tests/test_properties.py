@@ -153,3 +153,20 @@ def test_published_summary_tables(clean_small):
         assert len(df.columns) == 2 and df.columns[1] == "count"
         if name != "accidents_by_city":  # a top-15 list
             assert df.agg(F.sum("count")).first()[0] == total, name
+
+
+def test_shares_round_half_up(spark):
+    # Spark's round is HALF_UP on the decimal form; Python's round(6.25, 1) would give 6.2.
+    from mishap.functions.columns import share
+    r = spark.range(1).select(share(F.lit(1), F.lit(16), 1).alias("a"), share(F.lit(1), F.lit(8), 2).alias("b"),
+                              share(F.lit(1), F.lit(0), 2).alias("c")).first()
+    assert (r.a, r.b, r.c) == (6.3, 12.5, None)
+
+
+def test_pivot_levels_are_fixed(spark):
+    # A severity outside High/Low/Medium counts in total only; absent levels are 0 columns.
+    df = spark.createDataFrame([("A", "High"), ("A", "Critical"), ("A", "Critical"), ("B", "Low")],
+                               "city string, severity string")
+    rows = {r.city: r.asDict() for r in A.top_accident_prone_areas(df).collect()}
+    assert rows["A"] == {"city": "A", "High": 1, "Low": 0, "Medium": 0, "total": 3}
+    assert rows["B"] == {"city": "B", "High": 0, "Low": 1, "Medium": 0, "total": 1}
