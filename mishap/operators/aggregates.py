@@ -5,8 +5,8 @@ one shuffle on the group key), so a hot key -- one city holding a third of
 all rows -- is combined map-side and never lands whole in one task.  Top-k
 results use ``orderBy(...).limit(k)``, which Spark plans as a bounded
 ``TakeOrderedAndProject``; ties break on the group key so results are
-deterministic.  Shares divide by the sum of the aggregate itself (one row,
-broadcast), so the source is scanned once.
+deterministic.  Shares divide by the sum of the aggregate itself (a scalar
+subquery reusing the aggregate's exchange), so the source is scanned once.
 """
 
 from __future__ import annotations
@@ -51,17 +51,16 @@ def with_share(counts: DataFrame, count_col: str = "count", name: str = "percent
                digits: int = 2, single_partition: bool = False) -> DataFrame:
     """Add ``count / total * 100`` where total is the sum of the (small) aggregate.
 
-    The total is a one-row aggregate of the aggregate, joined by broadcast:
-    bounded size, and the plan reuses the aggregate's exchange (one scan).
-    ``single_partition=True`` is for input already in one partition (a
-    stored small table): the total is then a window over that partition.
+    The total is a scalar subquery over the aggregate itself: computed once,
+    and its plan reuses the aggregate's exchange, so the source is scanned
+    once.  ``single_partition=True`` is for input already in one partition
+    (a stored small table): the total is then a window over that partition.
     """
     if single_partition:
-        return counts.withColumn(name, share(count_col, F.sum(count_col).over(Window.partitionBy()), digits))
-    total = counts.agg(F.sum(count_col).alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-                  .withColumn(name, share(count_col, "_total", digits))
-                  .drop("_total"))
+        total = F.sum(count_col).over(Window.partitionBy())
+    else:
+        total = counts.agg(F.sum(count_col)).scalar()
+    return counts.withColumn(name, share(count_col, total, digits))
 
 
 def accidents_by_city(df: DataFrame, top_n: int = TOP_CITIES) -> DataFrame:

@@ -28,12 +28,12 @@ def main(ks: list[int]) -> None:
     spark = local_session("scaling", shuffle_partitions=16)
     events = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
     for k in ks:
-        # The copy index is the partitioned side (like a large input arriving in
-        # many splits); the 2.6 MB events table is the broadcast side.
-        copies = spark.range(0, k, 1, numPartitions=min(k, spark.sparkContext.defaultParallelism))
-        big = (copies.withColumnRenamed("id", "copy").crossJoin(F.broadcast(events))
+        # k copies of every row, spread over the cores by event id (like a
+        # large input arriving in many splits).
+        big = (events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
                      .withColumn("event_id", F.col("event_id") + F.col("copy") * 1_000_000_000)
-                     .select(*events.columns))
+                     .select(*events.columns)
+                     .repartition(spark.sparkContext.defaultParallelism, "event_id"))
         raw = raw_incidents_from_events(big)
         for attempt in range(2):  # second attempt is the warm one
             size_shuffles(raw)

@@ -22,7 +22,8 @@ def skewed_raw(spark):
     base = raw(spark, SF_SMALL)
     n = base.count()
     # one exact raw row repeated as many times as half the table ...
-    dup = base.where(F.col("id") == 7).limit(1).crossJoin(spark.range(n // 2).select()).select(*base.columns)
+    dup = (base.where(F.col("id") == 7).limit(1)
+               .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(n // 2)))).select(*base.columns))
     # ... and a third of all distinct rows moved to one city
     hot = base.select(*[F.lit("  hot city ").alias(c) if c == "accident_location" else
                         (F.col("id") + 10_000_000).alias(c) if c == "id" else F.col(c) for c in base.columns])
