@@ -57,7 +57,9 @@ def main() -> None:
     out = ["# PLANS", "",
            f"Physical plans (`explain(\"formatted\")`, tree and scan details) at `{sf_dir}`, over the clean table",
            "stored once in the shared folder (year partitions), except the first. Generated by",
-           "`scripts/show_plans.py`; expression ids removed.", ""]
+           "`scripts/show_plans.py`; expression ids removed. These are plans before execution: a scan listed",
+           "under a scalar subquery (the share totals) is replaced at run time by a `ReusedExchange` of the main",
+           "aggregate's shuffle (checked in `tests/test_plans.py`).", ""]
     for title, df in cases:
         out += [f"## {title}", "", "```", condensed(df), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
