@@ -101,7 +101,10 @@ def test_command_line_report(spark, tmp):
     assert back.count() == 3 and set(back.columns) == {"city", "High", "Low", "Medium", "total"}
     sev = read_incidents_csv(spark, summary["tables"]["summaries/severity_distribution"], infer_schema=True)
     assert sorted((r.severity, r["count"]) for r in sev.collect()) == [("High", 1), ("Low", 1), ("Medium", 1)]
-    dash = main(["dashboard", "--input", src, "--output", os.path.join(tmp, "dash"), "--severity", "High"])
+    dash = main(["dashboard", "--input", src, "--output", os.path.join(tmp, "dash"), "--severity", "High",
+                 "--export-clean"])
+    exported = read_clean(spark, os.path.join(tmp, "dash", "clean"))
+    assert exported.count() == 3 and "year" in exported.columns
     kp = read_incidents_csv(spark, dash["tables"]["kpis"], infer_schema=True).first()
     assert kp.total == 1 and kp.top_city == "New York"
 

@@ -170,3 +170,13 @@ def test_pivot_levels_are_fixed(spark):
     rows = {r.city: r.asDict() for r in A.top_accident_prone_areas(df).collect()}
     assert rows["A"] == {"city": "A", "High": 1, "Low": 0, "Medium": 0, "total": 3}
     assert rows["B"] == {"city": "B", "High": 0, "Low": 1, "Medium": 0, "total": 1}
+
+
+def test_dataset_info_exact_and_approximate(clean_small):
+    from mishap.operators.summary import dataset_info
+    exact = dataset_info(clean_small).first()
+    approx = dataset_info(clean_small, approximate=True).first()
+    assert exact.total_records == clean_small.count() == approx.total_records
+    assert exact.cities == clean_small.select("city").distinct().count()
+    assert abs(approx.cities - exact.cities) <= max(1, exact.cities // 20)   # HLL, 5 % default error
+    assert (approx.min_date, approx.max_date) == (exact.min_date, exact.max_date)
