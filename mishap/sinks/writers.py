@@ -23,15 +23,23 @@ def write_filtered_csv(view: DataFrame, path: str, single_file: bool = False) ->
     return write_csv(explorer(view), path, single_file)
 
 
-def write_report(report: Mapping[str, DataFrame], directory: str, fmt: str = "csv") -> dict[str, str]:
-    """One folder per report table (small aggregates: one file each)."""
+# Tables whose size grows with the data (the selected rows themselves): never
+# funnelled into one file.
+ROW_LEVEL_TABLES = frozenset({"explorer"})
+
+
+def write_report(report: Mapping[str, DataFrame], directory: str, fmt: str = "csv",
+                 row_level: frozenset[str] = ROW_LEVEL_TABLES) -> dict[str, str]:
+    """One folder per table.  Aggregates (bounded by key cardinality) are
+    written as one file each; row-level tables are written by every task."""
     paths = {}
     for name, frame in report.items():
         path = f"{directory.rstrip('/')}/{name}"
+        single = name not in row_level
         if fmt == "csv":
-            write_csv(frame, path, single_file=True)
+            write_csv(frame, path, single_file=single)
         else:
-            frame.coalesce(1).write.mode("overwrite").format(fmt).save(path)
+            (frame.coalesce(1) if single else frame).write.mode("overwrite").format(fmt).save(path)
         paths[name] = path
     return paths
 

@@ -114,3 +114,13 @@ def test_free_form_sql_on_registered_view(clean_small):
     name = register_view(clean_small, "accidents_test")
     got = clean_small.sparkSession.sql(f"SELECT count(*) AS n FROM {name} WHERE severity = 'High'").first().n
     assert got == clean_small.where("severity = 'High'").count()
+
+
+def test_row_level_tables_are_not_funnelled(clean_small, tmp):
+    from mishap.plans.dashboard import dashboard
+    board = dashboard(clean_small)
+    paths = write_report({"explorer": board["explorer"].repartition(4), "kpis": board["kpis"]},
+                         os.path.join(tmp, "dash"))
+    parts = lambda p: [f for f in os.listdir(p) if f.endswith(".csv")]
+    assert len(parts(paths["kpis"])) == 1
+    assert len(parts(paths["explorer"])) == 4
