@@ -29,7 +29,9 @@ def store_path(df: DataFrame, name: str, partition_by: Sequence[str] | None = No
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/mishap/{name}-{uuid.uuid4().hex}"
     if small:
-        df = df.coalesce(1)
+        # repartition, not coalesce: coalesce(1) would pull the producing
+        # aggregate's final stage into one task; this moves only its result.
+        df = df.repartition(1)
     if cluster_by:
         df = df.sortWithinPartitions(*(list(partition_by or []) + list(cluster_by)))
     writer = df.write.mode("errorifexists")

@@ -12,8 +12,9 @@ from mishap.operators.filters import explorer
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
-    """CSV with a header line."""
-    out = df.coalesce(1) if single_file else df
+    """CSV with a header line.  ``single_file`` moves the finished rows to one
+    task (``repartition(1)``: the plan producing them keeps its parallelism)."""
+    out = df.repartition(1) if single_file else df
     out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
@@ -39,7 +40,7 @@ def write_report(report: Mapping[str, DataFrame], directory: str, fmt: str = "cs
         if fmt == "csv":
             write_csv(frame, path, single_file=single)
         else:
-            (frame.coalesce(1) if single else frame).write.mode("overwrite").format(fmt).save(path)
+            (frame.repartition(1) if single else frame).write.mode("overwrite").format(fmt).save(path)
         paths[name] = path
     return paths
 
