@@ -19,7 +19,7 @@ from mishap.operators.cleaning import clean_observed
 from mishap.plans.dashboard import dashboard
 from mishap.plans.materialize import store_clean
 from mishap.plans.report import run_report, summary_tables
-from mishap.plans.sizing import size_shuffles
+from mishap.plans.sizing import load_shuffle_width
 from mishap.session import ensure_shared_dir, get_session
 from mishap.sinks.writers import write_clean, write_report
 from mishap.sources.csv import read_incident_layouts
@@ -42,9 +42,9 @@ def main(argv: list[str] | None = None) -> dict:
     spark = get_session(f"mishap-{args.command}")
     ensure_shared_dir(spark)
     raw = read_incident_layouts(spark, args.input)
-    size_shuffles(raw)
     cleaned, metrics = clean_observed(raw)
-    table = store_clean(cleaned)
+    with load_shuffle_width(raw):
+        table = store_clean(cleaned)
     counts = metrics.as_dict()
     out = args.output.rstrip("/")
     if args.export_clean:

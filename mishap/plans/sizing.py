@@ -10,6 +10,8 @@ statistics (file sizes, adjusted for projections): no job runs.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
@@ -25,15 +27,24 @@ def partitions_for(nbytes: int, cores: int, target: int = TARGET_PARTITION_BYTES
     return max(cores, math.ceil(nbytes / target))
 
 
-def size_shuffles(df: DataFrame, target: int = TARGET_PARTITION_BYTES) -> int:
-    """Set ``spark.sql.shuffle.partitions`` for a load of ``df``; never lowers an explicit setting.
+@contextmanager
+def load_shuffle_width(df: DataFrame, target: int = TARGET_PARTITION_BYTES) -> Iterator[int]:
+    """Within the block, ``spark.sql.shuffle.partitions`` fits a load of ``df``;
+    the previous value is restored on exit.
 
-    Returns the width in force afterwards.
+    Scoped because the width only suits the full-row dedup: the later
+    aggregates shuffle partial results (thousands of rows per task), and a
+    100 TB-sized width there would make every map task write hundreds of
+    thousands of near-empty partition segments.  Never lowers an explicit
+    setting.  Run the load's action (e.g. ``store_clean``) inside the block.
     """
     spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
     want = partitions_for(plan_bytes(df), spark.sparkContext.defaultParallelism, target)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if want > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(want))
-        return want
-    return current
+    width = max(want, int(before))
+    spark.conf.set(key, str(width))
+    try:
+        yield width
+    finally:
+        spark.conf.set(key, before)

@@ -19,7 +19,7 @@ from mishap.operators.cleaning import clean  # noqa: E402
 from mishap.plans.dashboard import dashboard  # noqa: E402
 from mishap.plans.materialize import store_clean  # noqa: E402
 from mishap.plans.report import run_report  # noqa: E402
-from mishap.plans.sizing import size_shuffles  # noqa: E402
+from mishap.plans.sizing import load_shuffle_width  # noqa: E402
 from mishap.session import local_session  # noqa: E402
 from mishap.sources.fixture import raw_incidents_from_events  # noqa: E402
 
@@ -36,9 +36,9 @@ def main(ks: list[int]) -> None:
                      .repartition(spark.sparkContext.defaultParallelism, "event_id"))
         raw = raw_incidents_from_events(big)
         for attempt in range(2):  # second attempt is the warm one
-            size_shuffles(raw)
             t0 = time.perf_counter()
-            table = store_clean(clean(raw), f"scale-{k}")
+            with load_shuffle_width(raw):
+                table = store_clean(clean(raw), f"scale-{k}")
             t1 = time.perf_counter()
             for v in run_report(table, fused=True).values():
                 v.collect()

@@ -83,10 +83,14 @@ def test_stored_clean_is_clustered_by_city_then_date(stored_clean):
 
 def test_shuffle_sizing(spark):
     from mishap.plans.registry import raw
-    from mishap.plans.sizing import partitions_for, plan_bytes, size_shuffles
+    from mishap.plans.sizing import load_shuffle_width, partitions_for, plan_bytes
     assert partitions_for(100 * 2**40, 8) == 524288          # 100 TiB at 200 MiB per partition
     assert partitions_for(10, 8) == 8
     df = raw(spark, SF_SMALL)
     assert plan_bytes(df) > 0
-    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert size_shuffles(df) == before                       # small input: explicit width kept
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with load_shuffle_width(df) as width:                    # small input: explicit width kept
+        assert width == int(before)
+    with load_shuffle_width(df, target=1024) as width:       # tiny target: widened inside the block only
+        assert width > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(width)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
