@@ -42,3 +42,9 @@ def test_entry_smoke(spark):
     out = df.collect()
     assert 0 < len(out) <= 5
     assert all(r.total >= r.High + r.Low + r.Medium for r in out)
+
+
+def test_entry_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
