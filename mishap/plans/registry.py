@@ -49,7 +49,8 @@ _STORED: dict[tuple, tuple[str, list[str]]] = {}
 
 def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table of ``sf_dir``, written once to the shared folder (year
-    partitions) and read back; later calls reuse it.
+    folders, rows clustered by city and date) and read back; later calls
+    reuse it.
 
     This is how the operators are meant to run: clean once, query the stored
     table.  Filters then reach the Parquet scan and prune year folders,
