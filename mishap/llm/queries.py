@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from mishap.llm import sharding, url_filter, warc_fixity
+from mishap.llm import packing, sharding, url_filter, warc_fixity
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_warc_fixity": warc_fixity.op2_warc_fixity,
+    "op3_packing": packing.op3_packing,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
