@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from mishap.llm import packing, sharding, simhash_dedup, url_filter, warc_fixity
+from mishap.llm import (
+    decontamination,
+    packing,
+    sharding,
+    simhash_dedup,
+    url_filter,
+    warc_fixity,
+)
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_warc_fixity": warc_fixity.op2_warc_fixity,
     "op3_packing": packing.op3_packing,
+    "op7_decontamination": decontamination.op7_decontamination,
     "op8_simhash_dedup": simhash_dedup.op8_simhash_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
 }
