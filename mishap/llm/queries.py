@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from mishap.llm import (
     decontamination,
+    language_id,
     packing,
     sharding,
     simhash_dedup,
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_warc_fixity": warc_fixity.op2_warc_fixity,
     "op3_packing": packing.op3_packing,
+    "op6_language_id": language_id.op6_language_id,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_simhash_dedup": simhash_dedup.op8_simhash_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
