@@ -6,6 +6,7 @@ from mishap.llm import (
     decontamination,
     language_id,
     packing,
+    quality,
     sharding,
     simhash_dedup,
     url_filter,
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_language_id": language_id.op6_language_id,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_simhash_dedup": simhash_dedup.op8_simhash_dedup,
+    "op9_quality": quality.op9_quality,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
