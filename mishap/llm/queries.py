@@ -9,6 +9,7 @@ from mishap.llm import (
     quality,
     sharding,
     simhash_dedup,
+    surrogates,
     url_filter,
     warc_fixity,
 )
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_warc_fixity": warc_fixity.op2_warc_fixity,
     "op3_packing": packing.op3_packing,
+    "op4_surrogates": surrogates.op4_surrogates,
     "op6_language_id": language_id.op6_language_id,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_simhash_dedup": simhash_dedup.op8_simhash_dedup,
