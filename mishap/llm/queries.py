@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from mishap.llm import (
     decontamination,
+    hilbert_ann,
     language_id,
     packing,
     quality,
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_warc_fixity": warc_fixity.op2_warc_fixity,
     "op3_packing": packing.op3_packing,
     "op4_surrogates": surrogates.op4_surrogates,
+    "op5_hilbert_ann": hilbert_ann.op5_hilbert_ann,
     "op6_language_id": language_id.op6_language_id,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_simhash_dedup": simhash_dedup.op8_simhash_dedup,
