@@ -2,70 +2,60 @@
 
 from __future__ import annotations
 
+import json
 import os
-import re
 from collections.abc import Mapping
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from mishap.llm.common import Batches, chunks, map_batches, table, with_positions
 
 WINDOW = 2048
 END_ID = 1
 CHUNK_BYTES = 4 * 1024 * 1024
-KEPT_WORDS = 300_000
-LONGEST_KEPT = 48
 
-# A white-space character before a space: such a space may belong to a longer run.
-_RUN = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
+def _byte_values() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: visible
+    Latin-1 characters stand for themselves, the others for characters from U+0100 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {**{chr(b): b for b in seen}, **{chr(256 + k): b for k, b in enumerate(hidden)}}
 
 
-class Words:
-    """Token ids of texts, by way of the ids of their words.
+class Ids:
+    """Token ids of a byte-level vocabulary file, as the tokenizers library gives them.
 
-    The tokenizer never merges across a space that follows a visible character,
-    so a text's ids are those of its pieces between such spaces, end to end,
-    and each distinct piece is tokenized once as long as it is remembered.
+    The file's vocabulary is merged by tiktoken, which gives the same ids some
+    times faster; a text it can't split (very long runs of white space) goes to
+    the tokenizers library itself.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        if _RUN.search(text):
-            return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
-
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(pieces), 5000):
-            found = self.tokenizer.encode_batch(pieces[at:at + 5000], add_special_tokens=False)
-            out += [np.array(e.ids, "<u4").tobytes() for e in found]
-        return out
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        cut = [self.pieces(t) for t in texts]
-        new = list(set().union(*cut) - self.known.keys())
-        here = dict(zip(new, self.encode(new), strict=True))
-        self.known.update((k, v) for k, v in here.items() if len(k) <= LONGEST_KEPT)
-        long = {k: v for k, v in here.items() if len(k) > LONGEST_KEPT}
-        find = {**self.known, **long}.__getitem__ if long else self.known.__getitem__
-        return [b"".join(map(find, p)) for p in cut]
-
-
-_WORDS: dict[str, Words] = {}
+        with open(path, encoding="utf-8") as file:
+            found = json.load(file)
+        special = {t["content"]: t["id"] for t in found["added_tokens"]}
+        value = _byte_values()
+        ranks = {bytes(value[c] for c in token): k for token, k in found["model"]["vocab"].items() if token not in special}
+        self.merger = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                        special_tokens=special)
+        self.path = path
+
+    def of(self, text: str) -> np.ndarray:
+        try:
+            return self.merger.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            return np.array(Tokenizer.from_file(self.path).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+_IDS: dict[str, Ids] = {}
 
 
 def tokenize(docs: DataFrame, path: str | None = None, window: int = WINDOW, key: str = "doc_id",
@@ -77,21 +67,20 @@ def tokenize(docs: DataFrame, path: str | None = None, window: int = WINDOW, key
     empty text is the end id alone.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    end = np.array([END_ID], "<u4").tobytes()
     schema = T.StructType([docs.schema[key], T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                            T.StructField("doc_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Batches) -> Batches:
-        words = _WORDS.get(path) or _WORDS.setdefault(path, Words(path))
+        ids = _IDS.get(path) or _IDS.setdefault(path, Ids(path))
         for b in chunks(batches, text, CHUNK_BYTES):
             rows, starts, totals, parts = [], [], [], []
-            for i, ids in enumerate(words.ids([t or "" for t in b.column(1).to_pylist()])):
-                ids += end
-                for at in range(0, len(ids), 4 * window):
+            for i, t in enumerate(b.column(1).to_pylist()):
+                own = np.append(ids.of(t or ""), END_ID).astype("<u4")
+                for at in range(0, len(own), window):
                     rows.append(i)
-                    starts.append(at // 4)
-                    totals.append(len(ids) // 4)
-                    parts.append(ids[at:at + 4 * window])
+                    starts.append(at)
+                    totals.append(len(own))
+                    parts.append(own[at:at + window].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(rows, pa.int32())), pa.array(starts, pa.int64()),
                  pa.array([len(p) // 4 for p in parts], pa.int64()), pa.array(totals, pa.int64()),
