@@ -37,12 +37,12 @@ DEFAULT_VEHICLES = 1
 
 # --- fixed values: date formats, tried in this order on the original text ---
 DATE_FORMATS: tuple[str, ...] = ("yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy", "yyyy/MM/dd")
-TIME_FORMAT = "HH:mm"
 MONTH_FORMAT = "yyyy-MM"
 
 # --- fixed values: severities and periods ---
 HIGH = "High"
 SEVERITY_LEVELS: tuple[str, ...] = ("High", "Low", "Medium")
+OTHER_LEVEL = "Other"
 DAY_START_HOUR = 6
 NIGHT_START_HOUR = 18
 DAY, NIGHT = "Day", "Night"

@@ -1,5 +1 @@
 """Column expressions of the incident model (all JVM-side, codegen-friendly)."""
-
-from mishap.functions.columns import (  # noqa: F401
-    hour_label, mode_of, parse_date, parse_hour, period, share, title_case,
-)

@@ -11,27 +11,27 @@ subquery reusing the aggregate's exchange), so the source is scanned once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mishap.constants import (
-    DASHBOARD_DAY, DASHBOARD_NIGHT, DAY, HIGH, NIGHT, PEAK_HOURS, SEVERITY_LEVELS,
+    DASHBOARD_DAY, DASHBOARD_NIGHT, DAY, NIGHT, OTHER_LEVEL, PEAK_HOURS, SEVERITY_LEVELS,
     TOP_AREAS, TOP_CITIES, TOP_CITIES_DASHBOARD, TOP_PEAK_HOURS,
 )
 from mishap.functions.columns import period, share
 
+
 def rows() -> Column:
     """count(*)"""
     return F.count(F.lit(1))
 
 
 def sort_small(df: DataFrame, *order) -> DataFrame:
-    """Total order for a result bounded by key cardinality (hours, severities,
-    months, conditions): gather it to one partition and sort there.
+    """Total order for a result keyed by hour, period, month or year: gather it
+    to one partition and sort there, without the sampling job of ``orderBy``.
 
-    Same order as ``orderBy`` but without the range-partitioning exchange
-    and its sampling job.  Only for results whose size does not grow with
-    the data.
+    Only for keys that the calendar bounds; results keyed by free text (place,
+    weather, road, severity) or grid cell use ``orderBy``.
     """
     return df.repartition(1).orderBy(*order)
 
@@ -48,18 +48,14 @@ def count_by(df: DataFrame, key: str | Column, name: str = "count") -> DataFrame
 
 
 def with_share(counts: DataFrame, count_col: str = "count", name: str = "percentage",
-               digits: int = 2, single_partition: bool = False) -> DataFrame:
+               digits: int = 2) -> DataFrame:
     """Add ``count / total * 100`` where total is the sum of the (small) aggregate.
 
     The total is a scalar subquery over the aggregate itself: computed once,
     and its plan reuses the aggregate's exchange, so the source is scanned
-    once.  ``single_partition=True`` is for input already in one partition
-    (a stored small table): the total is then a window over that partition.
+    once.
     """
-    if single_partition:
-        total = F.sum(count_col).over(Window.partitionBy())
-    else:
-        total = counts.agg(F.sum(count_col)).scalar()
+    total = counts.agg(F.sum(count_col)).scalar()
     return counts.withColumn(name, share(count_col, total, digits))
 
 
@@ -75,15 +71,22 @@ def city_top12(df: DataFrame, top_n: int = TOP_CITIES_DASHBOARD) -> DataFrame:
 
 def top_accident_prone_areas(df: DataFrame, n: int = TOP_AREAS,
                              levels: tuple[str, ...] = SEVERITY_LEVELS) -> DataFrame:
-    """A2: per city one count per severity level (a pivot), ``total`` of all rows, top n.
+    """A2: per city one count per severity level (a pivot), ``Other`` for all
+    further levels, ``total`` of all rows, top n.
 
     The pivot is expressed as conditional counts in a single aggregate: one
-    pass, fixed output schema, no second pivot stage.  Severities outside
-    ``levels`` count in ``total`` only.
+    pass, fixed output schema, no second pivot stage, no level lost.
     """
     aggs = [F.count_if(F.col("severity") == lvl).alias(lvl) for lvl in levels]
-    counts = df.groupBy("city").agg(*aggs, rows().alias("total"))
-    return top_k(counts, n, "total", "city")
+    return top_k(with_other(df.groupBy("city").agg(*aggs, rows().alias("total")), levels), n, "total", "city")
+
+
+def with_other(areas: DataFrame, levels: tuple[str, ...] = SEVERITY_LEVELS) -> DataFrame:
+    """Add the rows of all levels that have no column of their own."""
+    rest = F.col("total")
+    for lvl in levels:
+        rest = rest - F.col(lvl)
+    return areas.select("city", *levels, rest.alias(OTHER_LEVEL), "total")
 
 
 def accidents_by_hour(df: DataFrame) -> DataFrame:
@@ -110,13 +113,13 @@ def day_night_dashboard(df: DataFrame) -> DataFrame:
 def accidents_by_weather(df: DataFrame) -> DataFrame:
     """A5: count and share (%) per weather condition, largest first."""
     counts = with_share(count_by(df, "weather_condition"))
-    return sort_small(counts, F.col("count").desc(), F.col("weather_condition").asc_nulls_first())
+    return counts.orderBy(F.col("count").desc(), F.col("weather_condition").asc_nulls_first())
 
 
 def severity_distribution(df: DataFrame) -> DataFrame:
     """Count and share (%) per severity, largest first."""
     counts = with_share(count_by(df, "severity"))
-    return sort_small(counts, F.col("count").desc(), F.col("severity").asc_nulls_first())
+    return counts.orderBy(F.col("count").desc(), F.col("severity").asc_nulls_first())
 
 
 def monthly_trend(df: DataFrame) -> DataFrame:
@@ -137,8 +140,7 @@ def peak_accident_hours(df: DataFrame, top_n: int = TOP_PEAK_HOURS) -> DataFrame
 
 def accidents_by_road_condition(df: DataFrame) -> DataFrame:
     """Accidents per road condition, largest first."""
-    return sort_small(count_by(df, "road_condition"),
-                      F.col("count").desc(), F.col("road_condition").asc_nulls_first())
+    return count_by(df, "road_condition").orderBy(F.col("count").desc(), F.col("road_condition").asc_nulls_first())
 
 
 def yearly_summary(df: DataFrame) -> DataFrame:
@@ -150,9 +152,4 @@ def yearly_summary(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, key: str) -> DataFrame:
     """Dashboard counts of one column, NULL left out, largest first."""
     counts = count_by(df.where(F.col(key).isNotNull()), key)
-    return sort_small(counts, F.col("count").desc(), F.col(key))
-
-
-def high_share_by(df: DataFrame, key: str) -> DataFrame:
-    """Count and High-severity count per key (shared by the SQL-style reports)."""
-    return df.groupBy(key).agg(rows().alias("accidents"), F.count_if(F.col("severity") == HIGH).alias("high_count"))
+    return counts.orderBy(F.col("count").desc(), F.col(key))

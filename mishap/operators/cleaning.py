@@ -8,9 +8,10 @@ plan is built (``df.columns``), never by running a job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,61 +125,88 @@ def parse_datetime(df: DataFrame) -> DataFrame:
     return add_calendar_fields(parse_hours(parse_dates(df)))
 
 
+def to_integer(c: str, source: T.DataType, target: T.DataType) -> Column:
+    """A whole number of ``target`` type; text with a decimal part (``2.0``) loses it,
+    as a number column's values do, whatever the reader made of the column."""
+    value = F.col(c).try_cast(target)
+    if isinstance(source, T.StringType):
+        value = F.coalesce(value, F.col(c).try_cast("double").try_cast(target))
+    return value
+
+
 def cast_numerics(df: DataFrame) -> DataFrame:
     """C11: id -> bigint, num_vehicles -> int, latitude/longitude -> float (bad text -> NULL)."""
-    casts = {c: F.col(c).try_cast(t) for c, t in NUMERIC_TARGETS.items()
-             if c in df.columns and df.schema[c].dataType != t}
+    casts = {}
+    for c, t in NUMERIC_TARGETS.items():
+        if c in df.columns and df.schema[c].dataType != t:
+            whole = isinstance(t, (T.IntegerType, T.LongType))
+            casts[c] = to_integer(c, df.schema[c].dataType, t) if whole else F.col(c).try_cast(t)
     return df.withColumns(casts) if casts else df
 
 
+# The cleaning chain, in order, by the name of the stage each step ends.
+STEPS: tuple[tuple[str, Callable[[DataFrame], DataFrame]], ...] = (
+    ("standardized", standardize_column_names),
+    ("deduplicated", drop_duplicates),
+    ("dropped_critical", drop_critical_nulls),
+    ("filled_nulls", fill_defaults),
+    ("normalized", normalize_categoricals),
+    ("parsed_dates", parse_dates),
+    ("parsed_hours", parse_hours),
+    ("calendar_fields", add_calendar_fields),
+    ("cast_numerics", cast_numerics),
+)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """The raw frame run through the cleaning chain up to and including ``name``."""
+    names = [n for n, _ in STEPS]
+    if name not in names:
+        raise KeyError(f"unknown stage {name!r}; stages are {names}")
+    for _, step in STEPS[:names.index(name) + 1]:
+        df = step(df)
+    return df
+
+
 def clean(df: DataFrame, strict: bool = False) -> DataFrame:
     """The whole cleaning chain, lazily.
 
-    standardize -> dedup -> drop critical NULLs -> fill -> normalise ->
-    parse date/hour/calendar -> cast numerics.  Optional columns that are
-    absent are skipped (as the original does); ``strict=True`` instead
-    requires the whole column contract (C13) right after the renaming.
+    Optional columns that are absent are skipped (as the original does);
+    ``strict=True`` instead requires the whole column contract (C13).
     """
-    df = standardize_column_names(df)
     if strict:
-        require_columns(df)
-    return (df.transform(drop_duplicates)
-              .transform(handle_nulls)
-              .transform(normalize_categoricals)
-              .transform(parse_datetime)
-              .transform(cast_numerics))
+        require_columns(standardize_column_names(df))
+    return stage(df, STEPS[-1][0])
 
 
 @dataclass
 class CleaningMetrics:
     """Row counts of a cleaning run, filled by the first action on the frame.
 
-    Counted with ``DataFrame.observe`` while the data flows: no extra job.
+    Counted with ``DataFrame.observe`` below the dedup while the data flows: no extra job.
     """
     raw: Observation = field(default_factory=lambda: Observation("raw_rows"))
-    deduplicated: Observation = field(default_factory=lambda: Observation("dedup_rows"))
-    cleaned: Observation = field(default_factory=lambda: Observation("clean_rows"))
+    complete: Observation = field(default_factory=lambda: Observation("complete_rows"))
 
-    def as_dict(self) -> dict[str, int]:
-        raw = self.raw.get["rows"]
-        dedup = self.deduplicated.get["rows"]
-        return {"raw_rows": raw, "duplicates_removed": raw - dedup,
-                "dedup_rows": dedup, "clean_rows": self.cleaned.get["rows"]}
+    def as_dict(self, clean_rows: int) -> dict[str, int]:
+        raw, complete = self.raw.get["rows"], self.complete.get["rows"]
+        return {"raw_rows": raw, "incomplete_rows": raw - complete,
+                "duplicates_removed": complete - clean_rows, "clean_rows": clean_rows}
 
 
 def clean_observed(df: DataFrame) -> tuple[DataFrame, CleaningMetrics]:
-    """``clean`` plus row counts (before/after dedup, final) gathered in the same job."""
+    """``clean`` plus counts of raw and complete rows, gathered in the same job.
+
+    A metrics node stops Catalyst from moving filters past it, so rows without
+    a critical column are dropped first here: they are dropped as a whole, so
+    the dedup gives the same rows either way, and the NULL tests reach the scan.
+    """
     m = CleaningMetrics()
     rows = F.count(F.lit(1)).alias("rows")
-    out = (df.transform(standardize_column_names)
-             .observe(m.raw, rows)
-             .transform(drop_duplicates)
-             .observe(m.deduplicated, rows)
-             .transform(handle_nulls)
-             .transform(normalize_categoricals)
-             .transform(parse_datetime)
-             .transform(cast_numerics)
-             .observe(m.cleaned, rows))
+    first, *rest = [step for _, step in STEPS]
+    out = drop_critical_nulls(first(df).observe(m.raw, rows)).observe(m.complete, rows)
+    for step in rest:
+        out = step(out)
     return out, m
 
 
@@ -190,27 +218,3 @@ def serving_frame(clean_df: DataFrame) -> DataFrame:
     if "hour" in clean_df.columns:
         cols["hour"] = F.coalesce(F.col("hour"), F.lit(0))
     return clean_df.withColumns(cols) if cols else clean_df
-
-
-# Cumulative stages of ``clean`` (for inspection and stage-by-stage checks).
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """The raw frame run through the cleaning chain up to and including ``name``."""
-    steps = [
-        ("standardized", standardize_column_names),
-        ("deduplicated", drop_duplicates),
-        ("dropped_critical", drop_critical_nulls),
-        ("filled_nulls", fill_defaults),
-        ("normalized", normalize_categoricals),
-        ("parsed_dates", parse_dates),
-        ("parsed_hours", parse_hours),
-        ("calendar_fields", add_calendar_fields),
-        ("cast_numerics", cast_numerics),
-    ]
-    names = [n for n, _ in steps]
-    if name not in names:
-        raise KeyError(f"unknown stage {name!r}; stages are {names}")
-    for step_name, fn in steps:
-        df = fn(df)
-        if step_name == name:
-            return df
-    return df

@@ -2,7 +2,7 @@
 
 Conditions are plain column predicates on stored columns, so on a Parquet
 clean table they reach the scan as pushed filters; a date range also adds
-the implied ``year`` range, which prunes ``year=`` partitions of a table
+the implied ``year`` range if asked, which prunes ``year=`` partitions of a table
 written by ``sinks.write_clean``.
 """
 
@@ -26,42 +26,45 @@ def _as_date(value: DateLike) -> dt.date:
 
 def apply_filters(df: DataFrame, cities: Sequence[str] | None = None,
                   severities: Sequence[str] | None = None,
-                  date_range: Sequence[DateLike] | None = None) -> DataFrame:
+                  date_range: Sequence[DateLike | None] | None = None,
+                  year_folders: bool = False) -> DataFrame:
     """AND of city in list, severity in list, start <= date <= end.
 
-    An empty or missing list is no condition; a range applies only with two
-    ends, and then rows without a date fall out.
+    An empty or missing list is no condition.  A range may be open at either
+    end; with any end, rows without a date fall out.  ``year_folders`` says
+    that ``year`` is the stored clean table's partition column, so the range's
+    years may prune its folders (on other frames a column of that name may
+    mean something else and is left alone).
     """
-    cond = None
-
-    def _and(c):
-        nonlocal cond
-        cond = c if cond is None else cond & c
-
+    start, end = ([d if d not in ("", None) else None for d in date_range] if date_range else (None, None))
+    tests = []
     if cities:
-        _and(F.col("city").isin(list(cities)))
+        tests.append(F.col("city").isin(list(cities)))
     if severities:
-        _and(F.col("severity").isin(list(severities)))
-    if date_range is not None and len(date_range) == 2:
-        start, end = (_as_date(d) for d in date_range)
-        _and(F.col("date").between(F.lit(start), F.lit(end)))
-        if "year" in df.columns:
-            # Redundant with the date range (year = year(date)); lets the
-            # planner prune year partitions of a stored clean table.
-            _and(F.col("year").between(start.year, end.year))
-    return df if cond is None else df.where(cond)
+        tests.append(F.col("severity").isin(list(severities)))
+    if start is not None:
+        tests.append(F.col("date") >= F.lit(_as_date(start)))
+        if year_folders:
+            tests.append(F.col("year") >= _as_date(start).year)
+    if end is not None:
+        tests.append(F.col("date") <= F.lit(_as_date(end)))
+        if year_folders:
+            tests.append(F.col("year") <= _as_date(end).year)
+    for test in tests:
+        df = df.where(test)
+    return df
 
 
 def filter_options(df: DataFrame) -> DataFrame:
     """the sorted distinct non-NULL cities and severities, as (field, value) rows.
 
-    One scan of the two columns; the distinct values (a dimension, bounded
-    by the number of places and levels) are sorted in one partition.
+    Two grouping sets of one scan, combined map-side; sorted as a distributed
+    result, since names are free text.
     """
-    pairs = F.array(F.struct(F.lit("city").alias("field"), F.col("city").alias("value")),
-                    F.struct(F.lit("severity").alias("field"), F.col("severity").alias("value")))
-    options = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
-    return options.repartition(1).orderBy("field", "value")
+    field = F.when(F.grouping("city") == 0, F.lit("city")).otherwise(F.lit("severity"))
+    options = (df.groupingSets([["city"], ["severity"]], "city", "severity")
+               .agg(field.alias("field"), F.coalesce("city", "severity").alias("value")))
+    return options.select("field", "value").where(F.col("value").isNotNull()).orderBy("field", "value")
 
 
 def default_cities(df: DataFrame, n: int = DEFAULT_VIEW_CITIES) -> DataFrame:
@@ -82,11 +85,6 @@ def default_view(df: DataFrame, n: int = DEFAULT_VIEW_CITIES) -> DataFrame:
               .select(*df.columns))
 
 
-def high_severity(df: DataFrame) -> DataFrame:
-    """F5."""
-    return df.where(F.col("severity") == "High")
-
-
 def with_coordinates(df: DataFrame) -> DataFrame:
     """rows with both coordinates (NULL checks pushed to the scan)."""
     return df.where(present(df, "latitude", "longitude"))

@@ -1,58 +1,55 @@
 """Map sample and hotspot grid (M1-M3).
 
-The sample is a deterministic top-k on a per-row hash: the same rows
+The sample is the ``n`` rows with the smallest row hash: the same rows
 whatever the partitioning, and never a driver-side sample.  A plain
 ``orderBy(hash).limit(n)`` sends n rows from EVERY input partition to one
-task (n x 800k partitions on a 100 TB scan), so the sample first counts
-rows per hash bucket (2^20 buckets, a bounded table), finds the bucket
-where the running count reaches n, and keeps only rows at or below it; the
-final top-k then sees n rows plus at most one bucket's population (about
-N / 2^20: ~1M rows for N = 10^12, spread over all input tasks, each of
-which forwards at most n).  The result is exact, not approximate.
+task, so one global aggregate first counts the rows under a fixed ladder of
+hash limits (each a quarter of the one before; a few numbers per task), and
+the smallest limit that keeps n rows filters the scan: some n to 4n rows are
+left for the top-k.  Exact, whatever the hashes are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mishap.constants import HIGH, HOTSPOT_COLUMNS, MAP_SAMPLE_SEED, MAP_SAMPLE_SIZE
 from mishap.operators.filters import with_coordinates
 from mishap.schema import DERIVED_COLUMNS
 
-BUCKET_BITS = 20          # 2^20 hash buckets -> at most ~1M rows of bucket counts
-_SHIFT = 64 - BUCKET_BITS
+LIMITS = tuple(1 << (32 - 2 * k) for k in range(15, -1, -1))
 
 
-def sample_key(df: DataFrame, seed: int = MAP_SAMPLE_SEED):
-    """64-bit hash of the row and the seed.
+def sample_key(df: DataFrame, seed: int = MAP_SAMPLE_SEED) -> Column:
+    """MD5 of the seed and the row's text and whole-number columns, NULL as empty.
 
-    Rows are distinct after the dedup, so the key has no hot value.  Columns
-    derived from others (hour, calendar fields) add nothing to a row's
-    identity and are left out, which keeps the hash expression small when
-    Catalyst pushes the sample filter down into an unstored clean plan.
+    Derived columns and parsed dates only make the expression long;
+    floating-point columns have no text form that all engines share.  Rows
+    with equal keys are ordered by all columns.
     """
-    cols = [c for c in df.columns if c not in DERIVED_COLUMNS] or df.columns
-    return F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
+    plain = (T.StringType, T.IntegerType, T.LongType)
+    cols = [f.name for f in df.schema.fields if f.name not in DERIVED_COLUMNS and isinstance(f.dataType, plain)]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]))
 
 
 def hash_sample(df: DataFrame, n: int, seed: int = MAP_SAMPLE_SEED) -> DataFrame:
     """The ``n`` rows with the smallest row hash (ties by row), exact and repeatable."""
     cols = df.columns
-    keyed = df.withColumn("_k", sample_key(df, seed)).withColumn("_b", F.shiftright("_k", _SHIFT))
-    per_bucket = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 2^20 rows: a bounded single-partition running sum.
-    running = per_bucket.withColumn("_cum", F.sum("_n").over(Window.orderBy("_b")))
-    # Exactly one row (a global aggregate): a bounded broadcast.  The cutoff is
-    # applied as a join condition over both sides, so the optimiser keeps it
-    # above the operators that produced the row (no pushed copy of the whole
-    # row expression into an upstream filter).
-    cutoff = running.where(F.col("_cum") >= n).agg(F.min("_b").alias("_cut"))
-    keep = (F.col("_b") <= F.col("_cut")) | F.col("_cut").isNull()
-    kept = keyed.join(F.broadcast(cutoff), keep, "inner")
-    return kept.orderBy("_k", *cols).limit(n).select(*cols)
+    keyed = df.withColumn("_key", sample_key(df, seed))
+    place = F.conv(F.substring("_key", 1, 8), 16, 10).cast("bigint")
+    # rung k holds the hashes from limit k-1 up to limit k: at most 16 groups
+    rung = F.greatest(F.lit(0), F.ceil((F.log2(place + 1) - 2) / 2)).cast("int")
+    rungs = keyed.groupBy(rung.alias("rung")).agg(F.count(F.lit(1)).alias("n"))
+    under = rungs.agg(*[F.sum(F.when(F.col("rung") <= k, F.col("n"))).alias(f"n{k}") for k in range(len(LIMITS))])
+    cutoff = F.lit(LIMITS[-1])
+    for k in reversed(range(len(LIMITS))):
+        cutoff = F.when(F.col(f"n{k}") >= n, F.lit(LIMITS[k])).otherwise(cutoff)
+    kept = keyed.where(place < under.select(cutoff.alias("cutoff")).scalar())
+    return kept.orderBy("_key", *cols).limit(n).select(*cols)
 
 
 def hotspot_points(df: DataFrame, n: int = MAP_SAMPLE_SIZE, seed: int = MAP_SAMPLE_SEED,

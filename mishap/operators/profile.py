@@ -18,6 +18,6 @@ def profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def head(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows (T5)."""
-    return df.limit(n)
+def head(df: DataFrame, n: int = 5, *order) -> DataFrame:
+    """T5: the first ``n`` rows, of the given order if there is one (a bounded top-k)."""
+    return (df.orderBy(*order) if order else df).limit(n)

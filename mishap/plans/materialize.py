@@ -4,7 +4,8 @@ A long plan (dedup shuffle + parsing) is written once as Parquet under the
 folder the cluster names in ``spark.checkpoint.dir`` and read back; later
 jobs start from that table, so a lost executor costs a re-read of a few
 files, not a recomputation from the raw source.  No machine-local folder
-and no local checkpoint is ever used.
+and no local checkpoint is ever used.  Folders stay until ``drop`` or
+``drop_stored`` removes them, on whatever file system they are.
 """
 
 from __future__ import annotations
@@ -13,65 +14,100 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mishap.session import shared_dir
+from mishap.plans.sizing import load_width
+from mishap.session import ensure_shared_dir
 
+_WRITTEN: list[str] = []
 
-def store_path(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
-               small: bool = False, cluster_by: Sequence[str] | None = None) -> str:
-    """Write ``df`` as Parquet under a fresh folder of the shared folder; return the path.
 
-    ``cluster_by`` sorts each write task's rows (after the partition
-    columns) so every file's row groups cover narrow ranges of those columns:
-    Parquet min/max statistics then skip most row groups for filters on
-    them.  The sort is task-local (no shuffle) and spills if needed.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/mishap/{name}-{uuid.uuid4().hex}"
-    if small:
-        # repartition, not coalesce: coalesce(1) would pull the producing
-        # aggregate's final stage into one task; this moves only its result.
-        df = df.repartition(1)
-    if cluster_by:
-        df = df.sortWithinPartitions(*(list(partition_by or []) + list(cluster_by)))
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a stored folder."""
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+
+
+def drop_stored(spark: SparkSession) -> int:
+    """Remove every folder this process has stored; returns how many."""
+    paths = list(_WRITTEN)
+    for path in paths:
+        drop(spark, path)
+    return len(paths)
+
+
+def listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """(name, bytes, time) of the files at ``path``, from its own file system."""
+    place, files = _file_system(spark, path)
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime())
+                        for s in files.listStatus(place)))
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{ensure_shared_dir(spark).rstrip('/')}/mishap/{name}-{uuid.uuid4().hex}"
+
+
+def store_path(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` as Parquet under a fresh folder of the shared folder; return the path."""
+    path = new_path(df.sparkSession, name)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    _WRITTEN.append(path)
     writer.parquet(path)
     return path
 
 
-def load(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-         small: bool = False) -> DataFrame:
-    """Read a stored table (columns in the given order; one partition if ``small``)."""
+def load(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Read a stored table (columns in the given order)."""
     back = spark.read.parquet(path)
-    if columns:
-        back = back.select(*columns)
-    return back.coalesce(1) if small else back
+    return back.select(*columns) if columns else back
 
 
-def store(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
-          small: bool = False, cluster_by: Sequence[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and return a frame reading it
-    (same column order as ``df``; partition columns are not moved to the end).
-
-    ``small=True`` is for results bounded by key cardinality (the fused
-    report and dashboard counts: hundreds to thousands of rows, whatever the
-    data volume).  They are written as one file and read back as ONE
-    partition, so every roll-up, sort and share over them plans no exchange
-    and runs as a single short task.
-    """
-    path = store_path(df, name, partition_by, small, cluster_by)
-    return load(df.sparkSession, path, df.columns, small)
+def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder, as its last stage leaves it,
+    and return a frame reading it (same column order as ``df``)."""
+    return load(df.sparkSession, store_path(df, name, partition_by), df.columns)
 
 
-# How the clean table is laid out: year folders (pruned by date ranges),
-# rows clustered by place then date inside each file (skipped by IN / range
-# filters through Parquet statistics).
+# How the clean table is laid out: year folders (pruned by date ranges), and
+# inside them files that each cover a narrow range of places and dates.
 CLEAN_PARTITIONS = ("year",)
 CLEAN_CLUSTERING = ("city", "date")
 
 
+def laid_out(clean_df: DataFrame, width: int | None = None, partition_by: Sequence[str] = CLEAN_PARTITIONS,
+             cluster_by: Sequence[str] = CLEAN_CLUSTERING) -> DataFrame:
+    """The clean rows dealt by ranges of year, place and date and sorted so.
+
+    Rows leave the dedup in hash order, every file spanning every place; dealt
+    by ranges, a file holds a few places, so Parquet statistics skip whole
+    files for filters on them.  The id (or a row hash) is the last range key:
+    a place with a third of all rows is cut into many ranges.
+    """
+    keys = [c for c in (*partition_by, *cluster_by) if c in clean_df.columns]
+    last = F.col("id") if "id" in clean_df.columns else F.xxhash64(*clean_df.columns)
+    hot = clean_df.withColumn("_last", last)
+    width = width or int(clean_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return hot.repartitionByRange(width, *keys, "_last").sortWithinPartitions(*keys, "_last").drop("_last")
+
+
 def store_clean(clean_df: DataFrame, name: str = "clean") -> DataFrame:
-    """Store the clean table in the shared folder with the layout above."""
-    return store(clean_df, name, CLEAN_PARTITIONS, cluster_by=CLEAN_CLUSTERING)
+    """Store the clean table in the shared folder with the layout above.
+
+    The widths of its shuffles and scan follow the input's size (no job).
+    """
+    return load(clean_df.sparkSession, store_clean_path(clean_df, name), clean_df.columns)
+
+
+def store_clean_path(clean_df: DataFrame, name: str = "clean") -> str:
+    parts = tuple(c for c in CLEAN_PARTITIONS if c in clean_df.columns)
+    with load_width(clean_df) as width:
+        return store_path(laid_out(clean_df, width), name, parts)

@@ -1,30 +1,32 @@
 """Named queries over a test-data folder: raw events -> clean -> operator.
 
 Every query reads the whole ``events`` table of ``sf_dir`` (through the raw
-incident derivation), so its work grows with the data.  Operator queries
-run on the clean table stored once per folder (``stored_clean``); the
-cleaning-stage queries run the cleaning plan itself.  Filters below are
-the F1 feature's own parameters, not row caps.
+incident derivation), so its work grows with the data.  Building a query
+runs no job: operator queries run on the clean table that ``prepare`` has
+stored for the folder, or else on the lazy cleaning plan itself (only the CSV
+round trip, a sink, writes when it is built).  Filters below are the F1
+feature's own parameters, not row caps.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from mishap.operators import aggregates as A
 from mishap.operators import cleaning as C
 from mishap.operators import filters as Fl
 from mishap.operators.hotspots import hotspot_grid, hotspot_points
-from mishap.operators.profile import profile
+from mishap.operators.profile import head, profile
 from mishap.operators.summary import dataset_info, insights, kpis
 from mishap.plans import sql as Q
-from mishap.plans.materialize import CLEAN_CLUSTERING, CLEAN_PARTITIONS, load, store_path
-from mishap.plans.report import report_grouping_sets
+from mishap.plans.dashboard import dashboard_counts, dashboard_from_counts, sidebar_from_overview, table_overview
+from mishap.plans.materialize import drop, listing, load, new_path, store_clean_path
+from mishap.plans.report import SUMMARY_TABLES, report_from_fused, report_grouping_sets, summary_tables
 from mishap.session import ensure_shared_dir
+from mishap.sinks.writers import write_clean, write_csv
+from mishap.sources.csv import read_clean, read_incidents_csv
 from mishap.sources.fixture import raw_incidents
 
 # Parameters of the registered F1 selection (a dashboard user's choice).
@@ -47,47 +49,94 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STORED: dict[tuple, tuple[str, list[str]]] = {}
 
 
-def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean table of ``sf_dir``, written once to the shared folder (year
-    folders, rows clustered by city and date) and read back; later calls
-    reuse it.
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    return ensure_shared_dir(spark), listing(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store the clean table of ``sf_dir`` in the shared folder for the queries to use.
 
     This is how the operators are meant to run: clean once, query the stored
-    table.  Filters then reach the Parquet scan and prune year folders,
-    instead of being pushed below the dedup onto the raw expressions.
+    table.  Known by the source files' names, sizes and times, so a changed
+    source is not answered from an old table; ``forget`` removes it.
     """
-    src = os.path.abspath(sf_dir)
-    try:
-        stamp = os.path.getmtime(os.path.join(src, "events.parquet"))
-    except OSError:
-        stamp = None
-    key = (ensure_shared_dir(spark), src, stamp)
-    hit = _STORED.get(key)
-    if hit is not None:
-        try:
-            return load(spark, *hit)
-        except AnalysisException:
-            _STORED.pop(key, None)
-    df = clean(spark, sf_dir)
-    _STORED[key] = (store_path(df, "clean", CLEAN_PARTITIONS, cluster_by=CLEAN_CLUSTERING), df.columns)
+    key = _key(spark, sf_dir)
+    if key not in _STORED:
+        df = clean(spark, sf_dir)
+        _STORED[key] = (store_clean_path(df), df.columns)
     return load(spark, *_STORED[key])
 
 
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    """Remove the table that ``prepare`` stored for the folder, if any."""
+    found = _STORED.pop(_key(spark, sf_dir), None)
+    if found:
+        drop(spark, found[0])
+
+
+def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared clean table, or the lazy cleaning plan."""
+    found = _STORED.get(_key(spark, sf_dir)) if _STORED else None
+    return load(spark, *found) if found else clean(spark, sf_dir)
+
+
 def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.serving_frame(clean(spark, sf_dir))
 
 
-def stored_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.serving_frame(stored_clean(spark, sf_dir))
+def prepared_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.serving_frame(clean_table(spark, sf_dir))
 
 
 def first_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dashboard's opening selection of the serving frame."""
-    return Fl.default_view(stored_serving(spark, sf_dir))
+    return Fl.default_view(prepared_serving(spark, sf_dir))
 
 
 def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Fl.apply_filters(stored_serving(spark, sf_dir), FILTER_CITIES, FILTER_SEVERITIES, FILTER_DATES)
+    return Fl.apply_filters(prepared_serving(spark, sf_dir), FILTER_CITIES, FILTER_SEVERITIES, FILTER_DATES,
+                            year_folders=True)
+
+
+def open_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range with no first date (F1)."""
+    return Fl.apply_filters(prepared_serving(spark, sf_dir), date_range=(None, FILTER_DATES[0]))
+
+
+def nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A selection without rows (K7)."""
+    return Fl.apply_filters(prepared_serving(spark, sf_dir), ["No Such City"])
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows written as CSV under headers with spaces and capitals, read back, cleaned,
+    exported and read again (C1, S2, W1, W3); the files are in the shared folder."""
+    frame = raw(spark, sf_dir)
+    headers = [c.replace("_", " ").title() for c in frame.columns]
+    source = write_csv(frame.toDF(*headers), new_path(spark, "raw-csv"))
+    return read_clean(spark, write_clean(C.clean(read_incidents_csv(spark, source)), new_path(spark, "clean-export")))
+
+
+def view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free-form SQL over the registered view (Q0)."""
+    name = Q.register_view(clean_table(spark, sf_dir))
+    return spark.sql(f"SELECT severity, min(date) AS first_date, count(DISTINCT city) AS cities FROM {name} GROUP BY severity")
+
+
+def _report(name: str) -> Query:
+    return lambda spark, sf_dir: report_from_fused(report_grouping_sets(clean_table(spark, sf_dir)))[name]
+
+
+def _summary(name: str) -> Query:
+    return lambda spark, sf_dir: summary_tables(report_from_fused(report_grouping_sets(clean_table(spark, sf_dir))))[name]
+
+
+def _dashboard(name: str) -> Query:
+    return lambda spark, sf_dir: dashboard_from_counts(dashboard_counts(first_view(spark, sf_dir)))[name]
+
+
+def _sidebar(name: str) -> Query:
+    return lambda spark, sf_dir: sidebar_from_overview(table_overview(clean_table(spark, sf_dir)))[name]
 
 
 def _stage(name: str) -> Query:
@@ -95,13 +144,18 @@ def _stage(name: str) -> Query:
 
 
 def _on_clean(fn) -> Query:
-    return lambda spark, sf_dir: fn(stored_clean(spark, sf_dir))
+    return lambda spark, sf_dir: fn(clean_table(spark, sf_dir))
 
 
 def _on_view(fn) -> Query:
     return lambda spark, sf_dir: fn(first_view(spark, sf_dir))
 
 
+REPORTS = ("by_city", "top_areas", "by_hour", "day_night", "by_weather", "severity_distribution", "monthly_trend",
+           "peak_hours", "by_road", "yearly", "high_severity_by_city", "weather_severity_cross", "monthly_high")
+DASHBOARD_TABLES = ("kpis", "insights", "city_top12", "severity_filtered", "monthly_trend_filtered", "hourly_peaks",
+                    "by_weather_filtered", "by_road_filtered", "day_night_dashboard")
+
 QUERIES: dict[str, Query] = {
     # sources / cleaning
     "profile": _on_clean(profile),
@@ -151,4 +205,16 @@ QUERIES: dict[str, Query] = {
     # map (M1-M3)
     "hotspot_points": _on_view(hotspot_points),
     "hotspot_grid": _on_view(hotspot_grid),
+    # what users call: files, SQL view, empty selection, first rows, fused report and dashboard
+    "csv_round_trip": csv_round_trip,
+    "view_sql": view_sql,
+    "open_range": open_range,
+    "kpis_empty": lambda spark, sf_dir: kpis(nothing(spark, sf_dir)),
+    "insights_empty": lambda spark, sf_dir: insights(nothing(spark, sf_dir)),
+    "first_rows": _on_clean(lambda c: head(c, 5, "id", "date", "time")),
+    **{f"report_{name}": _report(name) for name in REPORTS},
+    **{f"summary_{name}": _summary(name) for name in SUMMARY_TABLES},
+    **{f"dashboard_{name}": _dashboard(name) for name in DASHBOARD_TABLES},
+    "sidebar_filter_options": _sidebar("filter_options"),
+    "sidebar_dataset_info": _sidebar("dataset_info"),
 }

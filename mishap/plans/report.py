@@ -3,8 +3,8 @@
 ``run_report`` returns the same results as the single operators.  With
 ``fused=True`` all of them come from ONE grouping-sets aggregate over the
 clean frame (one scan, one shuffle of partial aggregates); the fused table
-is a few hundred rows, stored once in the shared folder, and each report
-is a tiny roll-up of it.  Coarser figures roll up from counts and sums,
+has a row per group of each set, stored once in the shared folder, and each report
+is a roll-up of it.  Coarser figures roll up from counts and sums,
 never from averages.
 """
 
@@ -34,7 +34,8 @@ REPORT_SETS = (
 def report_grouping_sets(clean_df: DataFrame) -> DataFrame:
     """Fused single-pass aggregate: one row per group of every report set.
 
-    Columns: grouping_set, the seven keys (NULL where not grouped), accidents,
+    Every input row enters the map-side aggregate once for each of the six sets
+    (Expand), the price of one scan.  Columns: grouping_set, the seven keys (NULL where not grouped), accidents,
     high_count, vehicles_sum, vehicles_n.
     """
     label = F.lit(None).cast("string")
@@ -51,11 +52,6 @@ def report_grouping_sets(clean_df: DataFrame) -> DataFrame:
 
 
 
-def _ordered(df: DataFrame, *order) -> DataFrame:
-    """Order a roll-up of the stored small table.  Read back as one partition,
-    it needs no exchange; on any other input this is a plain ``orderBy``."""
-    return df.orderBy(*order)
-
 def _set(fused: DataFrame, name: str) -> DataFrame:
     return fused.where(F.col("grouping_set") == name)
 
@@ -68,10 +64,10 @@ def report_from_fused(fused: DataFrame) -> dict[str, DataFrame]:
     """Every report as a roll-up of the fused table (same results as the operators)."""
     cs = _set(fused, "city_severity")
     by_city = cs.groupBy("city").agg(F.sum("accidents").alias("accident_count"))
-    areas = cs.groupBy("city").agg(
+    areas = A.with_other(cs.groupBy("city").agg(
         *[F.sum(F.when(F.col("severity") == lvl, F.col("accidents")).otherwise(0)).alias(lvl)
           for lvl in SEVERITY_LEVELS],
-        F.sum("accidents").alias("total"))
+        F.sum("accidents").alias("total")))
     hours = _set(fused, "hour")
     by_hour = hours.select("hour", F.col("accidents").alias("accident_count"))
     months = _roll(fused, "month_severity", "month_year", "accident_count")
@@ -85,25 +81,25 @@ def report_from_fused(fused: DataFrame) -> dict[str, DataFrame]:
     return {
         "by_city": A.top_k(by_city, TOP_CITIES, "accident_count", "city"),
         "top_areas": A.top_k(areas, TOP_AREAS, "total", "city"),
-        "by_hour": _ordered(by_hour, F.col("hour").asc_nulls_first()),
-        "day_night": _ordered(hours.groupBy(period("hour").alias("period"))
+        "by_hour": A.sort_small(by_hour, F.col("hour").asc_nulls_first()),
+        "day_night": A.sort_small(hours.groupBy(period("hour").alias("period"))
                                   .agg(F.sum("accidents").alias("count")), "period"),
-        "by_weather": _ordered(A.with_share(_roll(fused, "weather_severity", "weather_condition"), single_partition=True),
-                                   F.col("count").desc(), F.col("weather_condition").asc_nulls_first()),
-        "severity_distribution": _ordered(A.with_share(_roll(fused, "weather_severity", "severity"), single_partition=True),
-                                              F.col("count").desc(), F.col("severity").asc_nulls_first()),
-        "monthly_trend": _ordered(months.select(F.try_to_date("month_year", "yyyy-MM").alias("month_start"),
+        "by_weather": A.with_share(_roll(fused, "weather_severity", "weather_condition")).orderBy(
+            F.col("count").desc(), F.col("weather_condition").asc_nulls_first()),
+        "severity_distribution": A.with_share(_roll(fused, "weather_severity", "severity")).orderBy(
+            F.col("count").desc(), F.col("severity").asc_nulls_first()),
+        "monthly_trend": A.sort_small(months.select(F.try_to_date("month_year", "yyyy-MM").alias("month_start"),
                                                     "accident_count"), F.col("month_start").asc_nulls_first()),
         "peak_hours": A.top_k(hours.select("hour", F.col("accidents").alias("count")),
                               TOP_PEAK_HOURS, "count", "hour"),
-        "by_road": _ordered(_set(fused, "road").select("road_condition", F.col("accidents").alias("count")),
-                                F.col("count").desc(), F.col("road_condition").asc_nulls_first()),
-        "yearly": _ordered(yearly, F.col("year").asc_nulls_first()),
+        "by_road": _set(fused, "road").select("road_condition", F.col("accidents").alias("count")).orderBy(
+            F.col("count").desc(), F.col("road_condition").asc_nulls_first()),
+        "yearly": A.sort_small(yearly, F.col("year").asc_nulls_first()),
         "high_severity_by_city": A.top_k(high_city, TOP_HIGH_SEVERITY_CITIES, "high_severity_count", "city"),
-        "weather_severity_cross": _ordered(
-            _set(fused, "weather_severity").select("weather_condition", "severity", F.col("accidents").alias("count")),
+        "weather_severity_cross": _set(fused, "weather_severity").select(
+            "weather_condition", "severity", F.col("accidents").alias("count")).orderBy(
             F.col("weather_condition").asc_nulls_first(), F.col("severity").asc_nulls_first()),
-        "monthly_high": _ordered(ms, F.col("month_year").asc_nulls_first()),
+        "monthly_high": A.sort_small(ms, F.col("month_year").asc_nulls_first()),
     }
 
 
@@ -115,7 +111,7 @@ def run_report(clean_df: DataFrame, fused: bool = False) -> dict[str, DataFrame]
     stored in the shared folder, and every result rolled up from it.
     """
     if fused:
-        return report_from_fused(store(report_grouping_sets(clean_df), "report", small=True))
+        return report_from_fused(store(report_grouping_sets(clean_df), "report"))
     return {
         "by_city": A.accidents_by_city(clean_df),
         "top_areas": A.top_accident_prone_areas(clean_df),

@@ -1,10 +1,13 @@
-"""Shuffle width from the input's size.
+"""Widths of the load from the input's size.
 
 AQE merges small shuffle partitions at run time but never splits large
-ones (outside skewed joins), so the width of the dedup shuffle must be set
-before the load runs: about ``target`` bytes of input per partition, never
-fewer partitions than cores.  The size comes from the optimised plan's
-statistics (file sizes, adjusted for projections): no job runs.
+ones (outside skewed joins), so the width of the dedup and layout shuffles
+must be set before the load runs, and the scan's splits with it: a shuffle
+has (map tasks x partitions) blocks, so both sides grow with the square
+root of the work only if their sizes grow together.  At 100 TB the targets
+below give some 50,000 tasks of 2 GB on either side, 2.5 x 10^9 blocks of
+about 40 KB.  Sizes come from the optimised plan's statistics (file sizes,
+adjusted for projections): no job runs.
 """
 
 from __future__ import annotations
@@ -15,36 +18,44 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
-TARGET_PARTITION_BYTES = 200 * 1024 * 1024
+TARGET_PARTITION_BYTES = 2 * 1024 ** 3
+DEFAULT_SPLIT_BYTES = 128 * 1024 ** 2
+MAX_SPLITS = 50_000
+WIDTH, SPLIT = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Estimated size of ``df`` from the optimiser's statistics (no job)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Estimated size of ``df``'s scanned input from the optimiser's statistics (no job)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
 
 
 def partitions_for(nbytes: int, cores: int, target: int = TARGET_PARTITION_BYTES) -> int:
     return max(cores, math.ceil(nbytes / target))
 
 
+def split_bytes_for(nbytes: int) -> int:
+    """Scan splits: Spark's usual size until there would be over ``MAX_SPLITS`` of them."""
+    return max(DEFAULT_SPLIT_BYTES, math.ceil(nbytes / MAX_SPLITS))
+
+
 @contextmanager
-def load_shuffle_width(df: DataFrame, target: int = TARGET_PARTITION_BYTES) -> Iterator[int]:
-    """Within the block, ``spark.sql.shuffle.partitions`` fits a load of ``df``;
-    the previous value is restored on exit.
-
-    Scoped because the width only suits the full-row dedup: the later
-    aggregates shuffle partial results (thousands of rows per task), and a
-    100 TB-sized width there would make every map task write hundreds of
-    thousands of near-empty partition segments.  Never lowers an explicit
-    setting.  Run the load's action (e.g. ``store_clean``) inside the block.
+def load_width(df: DataFrame, target: int = TARGET_PARTITION_BYTES) -> Iterator[int]:
+    """Within the block, shuffle width and scan splits fit a load of ``df``;
+    the previous values are restored on exit.
+
+    Scoped because the width only suits shuffles of whole rows; later
+    aggregates shuffle partial results.  Never lowers a setting.
     """
     spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    want = partitions_for(plan_bytes(df), spark.sparkContext.defaultParallelism, target)
-    width = max(want, int(before))
-    spark.conf.set(key, str(width))
+    nbytes = plan_bytes(df)
+    before = {k: spark.conf.get(k) for k in (WIDTH, SPLIT)}
+    width = max(partitions_for(nbytes, spark.sparkContext.defaultParallelism, target), int(before[WIDTH]))
+    spark.conf.set(WIDTH, str(width))
+    if split_bytes_for(nbytes) > DEFAULT_SPLIT_BYTES:
+        spark.conf.set(SPLIT, str(split_bytes_for(nbytes)))
     try:
         yield width
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -8,13 +8,14 @@ as it is.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings that matter for the incident workloads at any scale.  AQE sizes
-# shuffle partitions at run time (coalescing the tiny aggregates, splitting
-# skewed ones), so no operator hard-codes a partition count.
+# Settings that matter for the incident workloads at any scale.  AQE merges
+# small shuffle partitions at run time and splits skewed joins (not skewed
+# aggregates; those combine map-side), so no operator hard-codes a partition count.
 SCALE_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -69,7 +70,7 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     current = shared_dir(spark, required=False)
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="mishap-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)

@@ -9,13 +9,16 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from mishap.operators.filters import explorer
+from mishap.plans.materialize import laid_out
+from mishap.plans.sizing import load_width
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
-    """CSV with a header line.  ``single_file`` moves the finished rows to one
+    """CSV with a header line, values as they are (blanks kept).  ``single_file`` moves the finished rows to one
     task (``repartition(1)``: the plan producing them keeps its parallelism)."""
     out = df.repartition(1) if single_file else df
-    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    (out.write.mode(mode).option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
@@ -24,23 +27,15 @@ def write_filtered_csv(view: DataFrame, path: str, single_file: bool = False) ->
     return write_csv(explorer(view), path, single_file)
 
 
-# Tables whose size grows with the data (the selected rows themselves): never
-# funnelled into one file.
-ROW_LEVEL_TABLES = frozenset({"explorer"})
-
-
-def write_report(report: Mapping[str, DataFrame], directory: str, fmt: str = "csv",
-                 row_level: frozenset[str] = ROW_LEVEL_TABLES) -> dict[str, str]:
-    """One folder per table.  Aggregates (bounded by key cardinality) are
-    written as one file each; row-level tables are written by every task."""
+def write_report(report: Mapping[str, DataFrame], directory: str, fmt: str = "csv") -> dict[str, str]:
+    """One folder per table, written by the tasks that made it (AQE merges small ones)."""
     paths = {}
     for name, frame in report.items():
         path = f"{directory.rstrip('/')}/{name}"
-        single = name not in row_level
         if fmt == "csv":
-            write_csv(frame, path, single_file=single)
+            write_csv(frame, path)
         else:
-            (frame.repartition(1) if single else frame).write.mode("overwrite").format(fmt).save(path)
+            frame.write.mode("overwrite").format(fmt).save(path)
         paths[name] = path
     return paths
 
@@ -48,14 +43,13 @@ def write_report(report: Mapping[str, DataFrame], directory: str, fmt: str = "cs
 def write_clean(clean_df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = "year",
                 mode: str = "overwrite", cluster_by: tuple[str, ...] = ("city", "date")) -> str:
     """The cleaned table, partitioned by year so date filters prune folders,
-    rows clustered by place and date inside each file (task-local sort)."""
-    keys = [c for c in ([partition_by] if partition_by else []) + list(cluster_by) if c in clean_df.columns]
-    if keys:
-        clean_df = clean_df.sortWithinPartitions(*keys)
-    writer = clean_df.write.mode(mode)
-    if partition_by and partition_by in clean_df.columns:
-        writer = writer.partitionBy(partition_by)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.format(fmt).save(path)
+    each file covering a narrow range of places and dates (``laid_out``)."""
+    folders = [partition_by] if partition_by and partition_by in clean_df.columns else []
+    with load_width(clean_df) as width:
+        writer = laid_out(clean_df, width, folders, cluster_by).write.mode(mode)
+        if folders:
+            writer = writer.partitionBy(*folders)
+        if fmt == "csv":
+            writer = writer.option("header", True).option("escape", '"')
+        writer.format(fmt).save(path)
     return path

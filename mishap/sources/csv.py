@@ -3,7 +3,8 @@
 Read as text with the header the files carry (names vary; the cleaning
 step standardises them).  Schema inference is opt-in: it costs a full pass
 and guesses types per file (a ``time`` column can become a timestamp of
-today).  ``multiLine`` is opt-in too: it makes each file one split.
+today).  ``multiLine`` is opt-in too: it makes each file one split; rows that
+break without it are counted on request.
 
 Spark names the columns from the first file's header.  By default it then
 ignores the headers of the other files, so a folder mixing header layouts
@@ -16,30 +17,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mishap.operators.cleaning import standardize_column_names
 
 
+MALFORMED = "_malformed_line"
+
+
 def read_incidents_csv(spark: SparkSession, path: str | list[str], infer_schema: bool = False,
-                       multi_line: bool = False, **options) -> DataFrame:
+                       multi_line: bool = False, malformed: Observation | None = None, **options) -> DataFrame:
     """Raw incident rows from CSV (header line, ``"`` quoting and escaping).
 
-    A missing path raises Spark's PATH_NOT_FOUND error (any file system).
+    ``multi_line`` reads quoted fields with line breaks right, at the price of
+    one task per file; without it such a record is cut into rows with too few
+    fields.  ``malformed`` (an Observation) counts, while the data flows, the
+    rows and those with too few or too many fields (``rows``, ``malformed``),
+    so nothing is lost or cut unseen.  A missing path raises Spark's
+    PATH_NOT_FOUND error (any file system).
     """
     reader = (spark.read.option("header", True).option("escape", '"')
               .option("inferSchema", infer_schema).option("multiLine", multi_line)
               .option("enforceSchema", False))
     for key, value in options.items():
         reader = reader.option(key, value)
-    return reader.csv(path)
+    found = reader.csv(path)
+    if malformed is None:
+        return found
+    schema = T.StructType([*found.schema.fields, T.StructField(MALFORMED, T.StringType())])
+    marked = reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED).csv(path)
+    return marked.observe(malformed, F.count(F.lit(1)).alias("rows"),
+                          F.count(F.col(MALFORMED)).alias("malformed")).drop(MALFORMED)
 
 
-def read_incident_layouts(spark: SparkSession, layouts: Sequence[str | list[str]], **options) -> DataFrame:
+def read_incident_layouts(spark: SparkSession, layouts: Sequence[str | list[str]],
+                          malformed: Sequence[Observation] | None = None, **options) -> DataFrame:
     """Files in several header layouts: one read per layout (files sharing a
     header), headers standardised, then a union by column name; a column a
     layout lacks is NULL there.  No data moves: the union is a plan node."""
-    frames = [standardize_column_names(read_incidents_csv(spark, paths, **options)) for paths in layouts]
+    counters = malformed or [None] * len(layouts)
+    frames = [standardize_column_names(read_incidents_csv(spark, paths, malformed=counter, **options))
+              for paths, counter in zip(layouts, counters, strict=True)]
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)

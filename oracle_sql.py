@@ -10,7 +10,7 @@ each query -- is written here in DuckDB's own dialect.
 from __future__ import annotations
 
 from mishap.sources.fixture import RAW_INCIDENTS_SQL
-from mishap.plans.registry import FILTER_CITIES, FILTER_DATES, FILTER_SEVERITIES
+from mishap.plans.registry import DASHBOARD_TABLES, FILTER_CITIES, FILTER_DATES, FILTER_SEVERITIES, REPORTS
 
 
 def _tt(x: str) -> str:
@@ -47,7 +47,7 @@ ph AS (SELECT *, try_cast(split_part(time, ':', 1) AS INTEGER) AS hour FROM pd),
 cf AS (SELECT *, CAST(extract(dow FROM date) + 1 AS INTEGER) AS day_of_week, CAST(month(date) AS INTEGER) AS month,
               CAST(year(date) AS INTEGER) AS year, strftime(date, '%Y-%m') AS month_year FROM ph),
 clean AS (SELECT id, city, date, time, severity, weather_condition, road_condition,
-                 try_cast(num_vehicles AS INTEGER) AS num_vehicles, CAST(latitude AS FLOAT) AS latitude,
+                 CAST(trunc(try_cast(num_vehicles AS DOUBLE)) AS INTEGER) AS num_vehicles, CAST(latitude AS FLOAT) AS latitude,
                  CAST(longitude AS FLOAT) AS longitude, hour, day_of_week, month, year, month_year FROM cf),
 serving AS (SELECT * REPLACE (coalesce(num_vehicles, 1) AS num_vehicles, coalesce(hour, 0) AS hour) FROM clean),
 dv AS (SELECT * FROM serving WHERE date IS NOT NULL AND city IN
@@ -90,14 +90,15 @@ def _mode(src: str, key: str) -> str:
             f"GROUP BY {key} ORDER BY n DESC, {key} LIMIT 1")
 
 
-_SUMMARY = f""",
-cc AS ({_mode('dv', 'city')}), wc AS ({_mode('dv', 'weather_condition')}),
-rc AS ({_mode('dv', 'road_condition')}), hc AS ({_mode('dv', 'hour')}),
-yc AS (SELECT year, count(*) AS n FROM dv WHERE year IS NOT NULL GROUP BY year),
+def _summary(src: str) -> str:
+    return f""",
+cc AS ({_mode(src, 'city')}), wc AS ({_mode(src, 'weather_condition')}),
+rc AS ({_mode(src, 'road_condition')}), hc AS ({_mode(src, 'hour')}),
+yc AS (SELECT year, count(*) AS n FROM {src} WHERE year IS NOT NULL GROUP BY year),
 s AS (SELECT
-  (SELECT count(*) FROM dv) AS total,
-  (SELECT count(*) FILTER (WHERE severity = 'High') FROM dv) AS high,
-  (SELECT count(*) FILTER (WHERE NOT coalesce(hour >= 6 AND hour < 18, false)) FROM dv) AS night,
+  (SELECT count(*) FROM {src}) AS total,
+  (SELECT count(*) FILTER (WHERE severity = 'High') FROM {src}) AS high,
+  (SELECT count(*) FILTER (WHERE NOT coalesce(hour >= 6 AND hour < 18, false)) FROM {src}) AS night,
   (SELECT k FROM cc) AS top_city, coalesce((SELECT n FROM cc), 0) AS top_city_count,
   (SELECT k FROM wc) AS top_weather, coalesce((SELECT n FROM wc), 0) AS top_weather_count,
   (SELECT k FROM rc) AS top_road, coalesce((SELECT n FROM rc), 0) AS top_road_count,
@@ -105,9 +106,10 @@ s AS (SELECT
   (SELECT count(*) FROM yc) AS n_years,
   (SELECT n FROM yc ORDER BY year LIMIT 1) AS first_n,
   (SELECT n FROM yc ORDER BY year DESC LIMIT 1) AS last_n,
-  (SELECT round(avg(num_vehicles), 1) FROM dv) AS avg_vehicles)"""
+  (SELECT round(avg(num_vehicles), 1) FROM {src}) AS avg_vehicles)"""
 
-_PCT = "coalesce(round({p} / total * 100, 1), 0.0)"
+
+_PCT = "coalesce(round({p} / nullif(total, 0) * 100, 1), 0.0)"
 
 _INSIGHTS = "\nUNION ALL ".join([
     "SELECT 'most_accident_prone_city' AS insight, top_city AS subject, CAST(top_city_count AS DOUBLE) AS value FROM s",
@@ -160,7 +162,8 @@ ORACLE: dict[str, str] = {
                      + " ORDER BY accident_count DESC, city LIMIT 12"),
     "top_areas": _w("SELECT city, count(*) FILTER (WHERE severity = 'High') AS \"High\", "
                     "count(*) FILTER (WHERE severity = 'Low') AS \"Low\", "
-                    "count(*) FILTER (WHERE severity = 'Medium') AS \"Medium\", count(*) AS total "
+                    "count(*) FILTER (WHERE severity = 'Medium') AS \"Medium\", "
+                    "count(*) FILTER (WHERE severity NOT IN ('High', 'Low', 'Medium')) AS \"Other\", count(*) AS total "
                     "FROM clean GROUP BY city ORDER BY total DESC, city LIMIT 5"),
     "by_hour": _w(_counts("clean", "hour", "accident_count")),
     "hourly_peaks": _w("SELECT hour, count(*) AS accident_count, hour IN (7, 8, 17, 18, 19) AS is_peak "
@@ -187,8 +190,8 @@ ORACLE: dict[str, str] = {
     "monthly_high": _w("SELECT month_year, count(*) AS accidents, "
                        "count(*) FILTER (WHERE severity = 'High') AS high_count FROM clean GROUP BY 1"),
     "kpis": _w(f"SELECT total, top_city, top_city_count, top_weather, {_PCT.format(p='high')} AS high_pct, "
-               "peak_hour, printf('%02d:00', peak_hour) AS peak_hour_label FROM s", _SUMMARY),
-    "insights": _w(_INSIGHTS, _SUMMARY),
+               "peak_hour, printf('%02d:00', peak_hour) AS peak_hour_label FROM s", _summary("dv")),
+    "insights": _w(_INSIGHTS, _summary("dv")),
     "hotspot_grid": _w(f"""SELECT cell_lat, cell_lon, count(*) AS incidents,
                              count(*) FILTER (WHERE severity = 'High') AS high_incidents,
                              (cell_lat + 0.5) * {_STEP} AS lat_center, (cell_lon + 0.5) * {_STEP} AS lon_center
@@ -196,5 +199,33 @@ ORACLE: dict[str, str] = {
                                            CAST(floor(longitude / {_STEP}) AS BIGINT) AS cell_lon
                                  FROM dv WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
                            GROUP BY cell_lat, cell_lon"""),
-    # hotspot_points: ordered by a 64-bit row hash DuckDB does not have -> rows-only check.
+    "hotspot_points": _w("""SELECT latitude, longitude, severity, city, date, weather_condition FROM (
+                              SELECT *, md5(concat_ws('|', '42', coalesce(CAST(id AS VARCHAR), ''), coalesce(city, ''),
+                                       coalesce(time, ''), coalesce(severity, ''),
+                                       coalesce(weather_condition, ''), coalesce(road_condition, ''),
+                                       coalesce(CAST(num_vehicles AS VARCHAR), ''))) AS key
+                              FROM dv WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
+                            ORDER BY key, latitude, longitude LIMIT 2000"""),
+    "csv_round_trip": _w("SELECT * FROM clean"),
+    "view_sql": _w("SELECT severity, min(date) AS first_date, count(DISTINCT city) AS cities FROM clean GROUP BY severity"),
+    "open_range": _w(f"SELECT * FROM serving WHERE date <= DATE '{FILTER_DATES[0]}'"),
+    "first_rows": _w("SELECT * FROM clean ORDER BY id NULLS FIRST, date NULLS FIRST, time NULLS FIRST LIMIT 5"),
+}
+
+# A selection without rows: the same texts over an empty ``none``.
+_NONE = ",\nnone AS (SELECT * FROM serving WHERE city = 'No Such City')"
+ORACLE["kpis_empty"] = _w(ORACLE["kpis"].rpartition("\n")[2], _NONE + _summary("none"))
+ORACLE["insights_empty"] = _w(_INSIGHTS, _NONE + _summary("none"))
+
+# The fused report, the summary tables and the fused dashboard give the operators' results.
+ORACLE |= {f"report_{name}": ORACLE[name] for name in REPORTS}
+ORACLE |= {f"dashboard_{name}": ORACLE[name] for name in DASHBOARD_TABLES}
+ORACLE |= {f"sidebar_{name}": ORACLE[name] for name in ("filter_options", "dataset_info")}
+ORACLE |= {
+    "summary_accidents_by_city": _w(_counts("clean", "city") + " ORDER BY count DESC, city LIMIT 15"),
+    "summary_hourly_distribution": _w(_counts("clean", "hour")),
+    "summary_monthly_trend": _w(_counts("clean", "month_year")),
+    "summary_road_conditions": _w(_counts("clean", "road_condition")),
+    "summary_severity_distribution": _w(_counts("clean", "severity")),
+    "summary_weather_breakdown": _w(_counts("clean", "weather_condition")),
 }

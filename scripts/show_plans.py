@@ -18,7 +18,7 @@ from mishap.operators.cleaning import serving_frame  # noqa: E402
 from mishap.operators.filters import apply_filters, default_view  # noqa: E402
 from mishap.operators.hotspots import hotspot_points  # noqa: E402
 from mishap.plans.dashboard import dashboard_counts  # noqa: E402
-from mishap.plans.registry import clean, stored_clean  # noqa: E402
+from mishap.plans.registry import clean, prepare  # noqa: E402
 from mishap.plans.report import report_grouping_sets  # noqa: E402
 from mishap.session import local_session  # noqa: E402
 
@@ -42,7 +42,7 @@ def condensed(df) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session("plans")
-    table = stored_clean(spark, sf_dir)
+    table = prepare(spark, sf_dir)
     view = default_view(serving_frame(table))
     cases = [
         ("clean (raw -> clean, before storing)", clean(spark, sf_dir)),

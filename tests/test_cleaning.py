@@ -133,8 +133,11 @@ def test_observed_counts_without_extra_jobs(spark):
     from mishap.plans.registry import raw as raw_rows
     df, metrics = C.clean_observed(raw_rows(spark, "/root/testdata/sf0.001"))
     n = df.count()
-    m = metrics.as_dict()
-    assert m == {"raw_rows": 1020, "duplicates_removed": 20, "dedup_rows": 1000, "clean_rows": n}
+    m = metrics.as_dict(n)
+    assert m["raw_rows"] == 1020 and m["clean_rows"] == 981
+    assert m["incomplete_rows"] == raw_rows(spark, "/root/testdata/sf0.001").where(
+        "accident_location IS NULL OR accident_date IS NULL OR accident_severity IS NULL").count()
+    assert m["duplicates_removed"] == 1020 - m["incomplete_rows"] - 981
     assert n == 981
 
 

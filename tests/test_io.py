@@ -96,9 +96,10 @@ def test_command_line_report(spark, tmp):
     with open(os.path.join(src, "a.csv"), "w") as fh:
         fh.write(CSV)
     summary = main(["report", "--input", src, "--output", os.path.join(tmp, "out")])
-    assert summary["rows"] == {"raw_rows": 4, "duplicates_removed": 1, "dedup_rows": 3, "clean_rows": 3}
+    assert summary["rows"] == {"raw_rows": 4, "incomplete_rows": 0, "duplicates_removed": 1, "clean_rows": 3,
+                               "malformed_rows": 0}
     back = read_incidents_csv(spark, summary["tables"]["top_areas"], infer_schema=True)
-    assert back.count() == 3 and set(back.columns) == {"city", "High", "Low", "Medium", "total"}
+    assert back.count() == 3 and set(back.columns) == {"city", "High", "Low", "Medium", "Other", "total"}
     sev = read_incidents_csv(spark, summary["tables"]["summaries/severity_distribution"], infer_schema=True)
     assert sorted((r.severity, r["count"]) for r in sev.collect()) == [("High", 1), ("Low", 1), ("Medium", 1)]
     dash = main(["dashboard", "--input", src, "--output", os.path.join(tmp, "dash"), "--severity", "High",
@@ -116,11 +117,62 @@ def test_free_form_sql_on_registered_view(clean_small):
     assert got == clean_small.where("severity = 'High'").count()
 
 
-def test_row_level_tables_are_not_funnelled(clean_small, tmp):
-    from mishap.plans.dashboard import dashboard
-    board = dashboard(clean_small)
-    paths = write_report({"explorer": board["explorer"].repartition(4), "kpis": board["kpis"]},
-                         os.path.join(tmp, "dash"))
-    parts = lambda p: [f for f in os.listdir(p) if f.endswith(".csv")]
-    assert len(parts(paths["kpis"])) == 1
-    assert len(parts(paths["explorer"])) == 4
+BROKEN = """id,city,date,time,severity,weather_condition,road_condition,num_vehicles
+1,"two
+lines",2022-01-05,08:30,High,rain,wet,2.0
+2,Plain,2022-01-06,09:30,Low,fog,dry,3
+3,Extra,2022-01-07,10:30,Low,fog,dry,1,surplus
+"""
+
+
+def test_quoted_line_breaks_and_malformed_rows(spark, tmp, capsys):
+    from mishap.__main__ import main
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as fh:
+        fh.write(BROKEN)
+    plain = main(["report", "--input", src, "--output", os.path.join(tmp, "plain")])["rows"]
+    assert plain["malformed_rows"] == 3                    # the cut record's two halves and the surplus field
+    assert "--multi-line" in capsys.readouterr().err
+    whole = main(["report", "--multi-line", "--input", src, "--output", os.path.join(tmp, "whole")])["rows"]
+    assert whole["malformed_rows"] == 1 and whole["clean_rows"] == 3
+
+
+def test_filters_apply_to_the_report(spark, tmp):
+    from mishap.__main__ import main
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as fh:
+        fh.write(CSV)
+    summary = main(["report", "--input", src, "--output", os.path.join(tmp, "out"), "--start", "2021-01-06"])
+    back = read_incidents_csv(spark, summary["tables"]["by_city"], infer_schema=True)
+    assert {r.city for r in back.collect()} == {"Austin, Tx", "Chicago"}
+
+
+@pytest.mark.parametrize("infer", [False, True])
+def test_whole_numbers_with_a_decimal_part(spark, tmp, infer):
+    path = os.path.join(tmp, "n.csv")
+    with open(path, "w") as fh:
+        fh.write("id,city,date,severity,num_vehicles\n1,a,2022-01-01,High,2.0\n2,b,2022-01-01,High,3\n3.0,c,2022-01-01,Low,4.0\n")
+    out = {r.city: (r.id, r.num_vehicles) for r in clean(read_incidents_csv(spark, path, infer_schema=infer)).collect()}
+    assert out == {"A": (1, 2), "B": (2, 3), "C": (3, 4)}
+
+
+def test_many_places_and_fine_cells_are_not_gathered(spark, tmp):
+    from pyspark.sql import functions as F
+    from mishap.operators.filters import filter_options
+    from mishap.operators.hotspots import hotspot_grid
+    from mishap.plans.dashboard import dashboard_counts, dashboard_from_counts
+    rows = spark.range(200_000).select(
+        F.col("id"), F.concat(F.lit("Place "), "id").alias("city"), F.to_date(F.lit("2022-01-01")).alias("date"),
+        F.lit("High").alias("severity"), F.concat(F.lit("w"), "id").alias("weather_condition"),
+        F.lit("Dry").alias("road_condition"), F.lit(1).alias("num_vehicles"), F.lit(2022).alias("year"),
+        (F.col("id") / 3000).cast("float").alias("latitude"), (F.col("id") % 170).cast("float").alias("longitude"),
+        F.lit(5).alias("hour"))
+    board = dashboard_from_counts(dashboard_counts(rows))
+    for frame in (filter_options(rows), board["by_weather_filtered"], hotspot_grid(rows, 0.001)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange SinglePartition" not in plan and "RoundRobinPartitioning(1)" not in plan
+    assert filter_options(rows).count() == 200_001 and hotspot_grid(rows, 0.001).count() > 100_000
+    paths = write_report({"options": filter_options(rows)}, os.path.join(tmp, "many"))
+    assert read_incidents_csv(spark, paths["options"]).count() == 200_001

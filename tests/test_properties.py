@@ -38,7 +38,7 @@ def test_shares_sum_to_100(clean_small):
 
 def test_top_areas_total(clean_small):
     for r in A.top_accident_prone_areas(clean_small).collect():
-        assert r.total == r.High + r.Low + r.Medium
+        assert r.total == r.High + r.Low + r.Medium + r.Other
 
 
 def test_fused_report_equals_operators(clean_small):
@@ -61,7 +61,16 @@ def test_filters_commute(clean_small):
     chained = apply_filters(apply_filters(apply_filters(clean_small, date_range=rng), severities=sevs), cities)
     _same(one, chained)
     assert apply_filters(clean_small, [], [], None) is clean_small
-    assert apply_filters(clean_small, date_range=("2021-01-01",)).count() == clean_small.count()
+    assert apply_filters(clean_small, date_range=(None, None)) is clean_small
+
+
+def test_open_ranges_and_a_foreign_year_column(clean_small):
+    since = apply_filters(clean_small, date_range=("2022-01-01", None))
+    until = apply_filters(clean_small, date_range=("", "2021-12-31"))
+    dated = clean_small.where(F.col("date").isNotNull()).count()
+    assert 0 < since.count() < dated and since.count() + until.count() == dated
+    other = clean_small.withColumn("year", F.lit(1999))          # not the date's year: no row may go for it
+    assert apply_filters(other, date_range=("2022-01-01", None)).count() == since.count()
 
 
 def test_default_view(clean_small):
@@ -164,12 +173,12 @@ def test_shares_round_half_up(spark):
 
 
 def test_pivot_levels_are_fixed(spark):
-    # A severity outside High/Low/Medium counts in total only; absent levels are 0 columns.
+    # A severity outside High/Low/Medium counts as Other; absent levels are 0 columns.
     df = spark.createDataFrame([("A", "High"), ("A", "Critical"), ("A", "Critical"), ("B", "Low")],
                                "city string, severity string")
     rows = {r.city: r.asDict() for r in A.top_accident_prone_areas(df).collect()}
-    assert rows["A"] == {"city": "A", "High": 1, "Low": 0, "Medium": 0, "total": 3}
-    assert rows["B"] == {"city": "B", "High": 0, "Low": 1, "Medium": 0, "total": 1}
+    assert rows["A"] == {"city": "A", "High": 1, "Low": 0, "Medium": 0, "Other": 2, "total": 3}
+    assert rows["B"] == {"city": "B", "High": 0, "Low": 1, "Medium": 0, "Other": 0, "total": 1}
 
 
 def test_dataset_info_exact_and_approximate(clean_small):

@@ -42,12 +42,22 @@ def test_hot_duplicate_collapses_and_hot_city_counts(spark, skewed_raw):
 
 def test_partial_aggregation_before_every_shuffle(skewed_raw):
     df = clean(skewed_raw)
-    for out in (A.accidents_by_city(df), report_grouping_sets(df), hotspot_grid(df)):
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "partial_" in plan or "HashAggregate(keys=" in plan
-    dedup_plan = df._jdf.queryExecution().executedPlan().toString()
-    # the dedup is a hash aggregate with a map-side step (identical rows merge before the exchange)
-    assert dedup_plan.count("HashAggregate") >= 2
+    for out, partial in ((A.accidents_by_city(df), "partial_count"), (report_grouping_sets(df), "partial_count"),
+                         (hotspot_grid(df), "partial_count"), (df, "functions=[]")):
+        below = None
+        for line in out._jdf.queryExecution().executedPlan().toString().splitlines():
+            if below:                                  # the node right under a hash exchange
+                assert "HashAggregate(" in line and partial in line, (below, line)
+                partial = "functions=[]"               # further down is the dedup's own map-side step
+            below = line if "Exchange hashpartitioning" in line else None
+
+
+def test_hot_city_is_cut_into_many_ranges(spark):
+    from mishap.plans.materialize import laid_out
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.concat(F.lit("c"), "id")).otherwise("hot").alias("city"),
+                                    F.to_date(F.lit("2022-01-01")).alias("date"), F.lit(2022).alias("year"))
+    sizes = [r["count"] for r in laid_out(rows, 16).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 600
 
 
 def test_fused_report_and_kpis_under_skew(skewed_raw):
