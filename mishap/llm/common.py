@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mishap.session import ensure_shared_dir
+from mishap.plans.materialize import store_path
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -26,11 +25,9 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and return a frame reading it back.
 
     Cuts the lineage at a table every executor can read, so a lost executor
-    costs a re-read of files.
+    costs a re-read of files.  ``materialize.drop_stored`` removes the folders.
     """
-    path = f"{ensure_shared_dir(df.sparkSession).rstrip('/')}/mishap-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(store_path(df, f"llm-{name}"))
 
 
 def free_name(wanted: str, taken: Sequence[str]) -> str:
@@ -74,7 +71,8 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def with_positions(df: DataFrame, order: Sequence[str], size: str, name: str) -> tuple[DataFrame, int, int]:
+def with_positions(df: DataFrame, order: Sequence[str], size: str, name: str, pos: str = "pos",
+                   before: str = "before") -> tuple[DataFrame, int, int]:
     """Global order without a global sort task.
 
     Rows are range-partitioned by ``order`` (a row number breaks ties, so
@@ -85,33 +83,31 @@ def with_positions(df: DataFrame, order: Sequence[str], size: str, name: str) ->
     and the sum of all sizes.
     """
     spark = df.sparkSession
-    tie = free_name("tie", df.columns)
+    tie, part, first, start = (free_name(n, [*df.columns, pos, before]) for n in ("tie", "part", "first", "start"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.withColumn(tie, F.monotonically_increasing_id())
               .repartitionByRange(width, *order, tie).sortWithinPartitions(*order, tie).drop(tie))
-    schema = T.StructType([*df.schema.fields, T.StructField("part_", T.IntegerType()),
-                           T.StructField("pos_", T.LongType()), T.StructField("before_", T.LongType())])
+    schema = T.StructType([*df.schema.fields, T.StructField(part, T.IntegerType()),
+                           T.StructField(pos, T.LongType()), T.StructField(before, T.LongType())])
 
     def number(batches: Batches) -> Batches:
-        part, rows, total = TaskContext.get().partitionId(), 0, 0
+        own, rows, total = TaskContext.get().partitionId(), 0, 0
         for b in batches:
             sizes = b.column(b.schema.get_field_index(size)).to_numpy(zero_copy_only=False).astype(np.int64)
             ends = total + np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.full(len(sizes), part, np.int32)),
-                 pa.array(rows + np.arange(len(sizes), dtype=np.int64)), pa.array(ends - sizes)],
-                names=[*b.schema.names, "part_", "pos_", "before_"])
+                [*b.columns, pa.array(np.full(len(sizes), own, np.int32)),
+                 pa.array(rows + np.arange(len(sizes), dtype=np.int64)), pa.array(ends - sizes)], names=schema.names)
             rows, total = rows + len(sizes), int(ends[-1]) if len(sizes) else total
 
     numbered = store(map_batches(ranged, number, schema), name)
-    totals = sorted(numbered.groupBy("part_").agg(F.count("*"), F.sum(size)).collect())
+    totals = sorted(numbered.groupBy(part).agg(F.count("*"), F.sum(size)).collect())
     offsets, rows, total = [], 0, 0
-    for part, n, s in totals:                       # one row per shuffle partition
-        offsets.append((part, rows, total))
+    for own, n, s in totals:                       # one row per shuffle partition
+        offsets.append((own, rows, total))
         rows, total = rows + n, total + int(s)
-    starts = spark.createDataFrame(offsets or [(-1, 0, 0)], "part_ int, rows_ long, total_ long")
-    placed = (numbered.join(F.broadcast(starts), "part_")
-              .withColumn("pos", F.col("pos_") + F.col("rows_"))
-              .withColumn("before", F.col("before_") + F.col("total_"))
-              .drop("part_", "pos_", "before_", "rows_", "total_"))
+    starts = spark.createDataFrame(offsets or [(-1, 0, 0)], f"{part} int, {first} long, {start} long")
+    placed = (numbered.join(F.broadcast(starts), part)
+              .withColumns({pos: F.col(pos) + F.col(first), before: F.col(before) + F.col(start)})
+              .drop(part, first, start))
     return placed, rows, total

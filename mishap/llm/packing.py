@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from mishap.llm.common import Batches, chunks, map_batches, table, with_positions
+from mishap.llm.common import Batches, chunks, free_name, map_batches, table, with_positions
 
 WINDOW = 2048
 END_ID = 1
@@ -170,8 +170,9 @@ def pack(pieces: DataFrame, window: int = WINDOW, key: str = "doc_id") -> DataFr
     pieces are placed one by one, null keys come first, no rows give no rows.
     """
     carried = pieces.columns
-    placed, _, _ = with_positions(pieces.withColumn("shorter_", -F.col("length")),
-                                  ["shorter_", key, "start"], "length", "pieces")
+    rank, at, shorter = (free_name(n, carried) for n in ("pos", "before", "shorter"))
+    placed, _, _ = with_positions(pieces.withColumn(shorter, -F.col("length")), [shorter, key, "start"], "length",
+                                  "pieces", rank, at)
     counts = {r["length"]: r["count"] for r in placed.groupBy("length").count().collect()}
     rules = plan(counts, window)
     first_of, seen = {}, 0
@@ -184,7 +185,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, key: str = "doc_id") -> DataFr
 
     def place(batches: Batches) -> Batches:
         for b in batches:
-            pos = b.column(b.schema.get_field_index("pos")).to_numpy()
+            pos = b.column(len(carried)).to_numpy()
             by = np.searchsorted(first_pos, pos, side="right") - 1
             rule, nth = rules[by], pos - first_pos[by]
             yield pa.RecordBatch.from_arrays(
@@ -192,7 +193,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, key: str = "doc_id") -> DataFr
                 + [pa.array(rule[:, 3] + nth // rule[:, 5]), pa.array(rule[:, 4] + nth % rule[:, 5] * rule[:, 0])],
                 names=schema.names)
 
-    return map_batches(placed.select(*carried, "pos"), place, schema)
+    return map_batches(placed.select(*carried, rank), place, schema)
 
 
 def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
