@@ -317,3 +317,28 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
                         (hits > 0).alias("contaminated"))
+
+
+ORACLE = r"""
+WITH lower_case AS (
+  SELECT translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text, doc_id,
+         row_number() OVER () AS doc_row FROM documents),
+d AS (SELECT doc_row, doc_id, coalesce(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM lower_case),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+item_at AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS k
+            FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS words FROM item_at),
+doc_at AS (SELECT doc_row, n, w, unnest(range(1, len(w) - n + 2)) AS k
+           FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+doc_windows AS (SELECT doc_row, n, k, array_to_string(w[k:k + n - 1], ' ') AS words FROM doc_at),
+hits AS (SELECT doc_row, k, n, item_id FROM doc_windows JOIN windows USING (n, words)),
+hit_words AS (SELECT doc_row, count(DISTINCT place) AS n_hit FROM (SELECT doc_row, unnest(range(k, k + n)) AS place FROM hits) GROUP BY doc_row),
+hit_items AS (SELECT doc_row, count(DISTINCT item_id) AS n_items,
+                     string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names
+              FROM hits GROUP BY doc_row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_row) LEFT JOIN hit_items USING (doc_row)
+"""

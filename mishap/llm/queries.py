@@ -29,6 +29,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_sharding": sharding.ORACLE,
     "op2_warc_fixity": warc_fixity.ORACLE,
+    "op7_decontamination": decontamination.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
 }

@@ -42,3 +42,27 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+ORACLE = """
+WITH crc_table AS (
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+                CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+raw AS (
+  SELECT doc_id, text, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                      lambda h: CAST('0x' || h AS BIGINT)) AS bytes FROM documents),
+sized AS (
+  SELECT doc_id, CAST(len(bytes) + 1 AS BIGINT) AS size,
+         CASE WHEN text IS NOT NULL THEN CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+           lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1])), 4294967295) AS BIGINT) END AS text_crc32
+  FROM raw, crc_table),
+placed AS (
+  SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 NULLS FIRST
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bytes_before,
+         sum(size) OVER () AS total FROM sized),
+sharded AS (SELECT *, CAST(bytes_before * 16 // total AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY bytes_before) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM sharded
+"""
