@@ -8,6 +8,7 @@ one's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mishap.llm.common import store, table
 from mishap.llm.decontamination import decontaminate
@@ -33,8 +34,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced in their texts."""
-    return with_surrogates(docs)
+    """All documents, personal data replaced in their texts (n_chars follows the text)."""
+    length = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return with_surrogates(docs).withColumn("n_chars", length)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
