@@ -34,7 +34,9 @@ def test_stages_equal_brute_force(spark):
         docs = store(stage(spark, docs, SF), "test-stage")
         assert docs.columns == COLUMNS
     items = [t for (t,) in duck().execute("SELECT text FROM benchmark").fetchall()]
-    assert sorted((r.doc_id, r.text) for r in docs.collect()) == sorted(brute(documents(), items))
+    rows = docs.collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == sorted(brute(documents(), items))
+    assert all(r.n_chars == len(r.text) for r in rows)
 
 
 def test_run_gives_every_kept_document_packed(spark):
