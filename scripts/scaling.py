@@ -13,6 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from mishap.operators.cleaning import clean  # noqa: E402
@@ -23,16 +24,19 @@ from mishap.session import local_session  # noqa: E402
 from mishap.sources.fixture import raw_incidents_from_events  # noqa: E402
 
 
+def copies(events: DataFrame, k: int) -> DataFrame:
+    """``k`` copies of every event under ids of their own, spread over the cores by
+    id (like a large input arriving in many splits)."""
+    return (events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+            .withColumn("event_id", F.col("event_id") + F.col("copy") * 1_000_000_000).select(*events.columns)
+            .repartition(events.sparkSession.sparkContext.defaultParallelism, "event_id"))
+
+
 def main(ks: list[int]) -> None:
     spark = local_session("scaling", shuffle_partitions=16)
     events = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
     for k in ks:
-        # k copies of every row, spread over the cores by event id (like a
-        # large input arriving in many splits).
-        big = (events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-                     .withColumn("event_id", F.col("event_id") + F.col("copy") * 1_000_000_000)
-                     .select(*events.columns)
-                     .repartition(spark.sparkContext.defaultParallelism, "event_id"))
+        big = copies(events, k)
         raw = raw_incidents_from_events(big)
         for attempt in range(2):  # second attempt is the warm one
             t0 = time.perf_counter()
