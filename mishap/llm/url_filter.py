@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -18,7 +19,8 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
 MAX_KEYS = 1_000_000
-"""Bound on the rule list; the cascade takes a few bytes a rule, whatever the corpus."""
+"""Bound on the rule list, which is broadcast once to build the cascade; the cascade itself
+takes a few bytes a rule, whatever the corpus."""
 
 
 @dataclass(frozen=True)
@@ -67,9 +69,9 @@ def build_cascade(listed: Sequence[str], universe: DataFrame) -> list[Level]:
     """
     if len(listed) > MAX_KEYS:
         raise ValueError(f"{len(listed)} listed keys; the bound is {MAX_KEYS}")
-    spark = universe.sparkSession
-    include = spark.createDataFrame([(k,) for k in listed], "key string")
-    exclude = universe.select("key").filter(F.col("key").isNotNull() & ~F.col("key").isin(list(listed)))
+    include = universe.sparkSession.range(1).select(
+        F.explode(F.from_json(F.lit(json.dumps(sorted(set(listed)))), "array<string>")).alias("key"))
+    exclude = universe.select("key").filter("key is not null").join(F.broadcast(include), "key", "left_anti")
     others, levels = exclude.count(), []
     rate = min(0.5, max(len(listed), 1) * math.sqrt(0.5) / max(others, 1))
     while listed and len(levels) < 64:
