@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from mishap.llm.common import Batches, chunks, free_name, map_batches, table, with_positions
+from mishap.llm.common import Batches, chunks, free_name, map_batches, store, table, with_positions
 
 WINDOW = 2048
 END_ID = 1
@@ -169,6 +169,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, key: str = "doc_id") -> DataFr
     how many there are of each length (at most ``window`` counts).  Equal
     pieces are placed one by one, null keys come first, no rows give no rows.
     """
+    pieces = store(pieces, "pieces-unplaced")      # the order's sampling reads them once more
     carried = pieces.columns
     rank, at, shorter = (free_name(n, carried) for n in ("pos", "before", "shorter"))
     placed, _, _ = with_positions(pieces.withColumn(shorter, -F.col("length")), [shorter, key, "start"], "length",
