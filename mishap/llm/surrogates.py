@@ -46,7 +46,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _TITLE = "|".join(sorted(map(re.escape, HONORIFICS), key=len, reverse=True))
 _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?:[-'’][^\W\d_]+)?"
 _FORM = re.compile("|".join([
-    r"(?P<email>[\w.%+-]*\w@\w[\w-]*(?:\.\w[\w-]*)+)",
+    r"(?P<email>(?<![\w.%+-])[\w.%+-]*\w@\w[\w-]*(?:\.\w[\w-]*)+)",
     r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?)(?P<secret>[^\s\"']{6,})",
     r"(?P<access>\b(?:AKIA|ASIA|ghp_|gho_|sk-|xox[abp]-)[0-9A-Za-z_-]{16,}\b)",
     rf"(?P<ip>(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d))",
@@ -57,7 +57,9 @@ _FORM = re.compile("|".join([
     r"|\d{3}[.-]\d{3}[.-]\d{4})(?!\d))",
     rf"\b(?P<title>{_TITLE})\.? (?P<name>{_NAME}(?: {_NAME})?)",
 ]))
-_HINT = re.compile(rf"[@\d]|(?i:password|passwd|pwd|secret|token|api[_-]?key)|\b(?:{_TITLE})\.? ")
+# What every entity has: a digit, @, = or :, an honorific before a space, or an access key's first letters.
+_MARK = re.compile(r"[@\d=:]")
+_CALLS = (*(t + end for t in HONORIFICS for end in (" ", ". ")), "AKIA", "ASIA", "ghp_", "gho_", "sk-", "xox")
 
 
 @dataclass(frozen=True)
@@ -92,7 +94,7 @@ def detect(text: str) -> list[Entity]:
     A surname introduced with an honorific is found again wherever it stands
     alone, so all its mentions change alike.
     """
-    if not _HINT.search(text):
+    if not _MARK.search(text) and not any(c in text for c in _CALLS):
         return []
     found: list[Entity] = []
     surnames: dict[str, str] = {}
