@@ -28,7 +28,7 @@ def copies(events: DataFrame, k: int) -> DataFrame:
     """``k`` copies of every event under ids of their own, spread over the cores by
     id (like a large input arriving in many splits)."""
     return (events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-            .withColumn("event_id", F.col("event_id") + F.col("copy") * 1_000_000_000).select(*events.columns)
+            .withColumn("event_id", F.col("event_id") + F.col("copy").cast("long") * 1_000_000_000).select(*events.columns)
             .repartition(events.sparkSession.sparkContext.defaultParallelism, "event_id"))
 
 
