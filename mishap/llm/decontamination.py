@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from mishap.llm.common import Batches, chunks, free_name, map_batches, store, table, text_buffers
 
 WINDOW = 10
-SHARD_BYTES = 2 * 1024 * 1024
+SHARD_BYTES = 1024 * 1024
 """Text under one suffix array; a longer document is a shard of its own."""
 BLOCK_BYTES = 32 * 1024 * 1024
 """Benchmark text that one pass searches for; a larger benchmark takes several passes."""

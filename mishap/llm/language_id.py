@@ -22,8 +22,8 @@ LONGEST = 32
 HIDDEN = 12
 STEPS = 500
 BATCH = 256
-CHUNK_BYTES = 4 * 1024 * 1024
-KEPT_WORDS = 400_000
+CHUNK_BYTES = 1024 * 1024
+KEPT_WORDS = 200_000
 
 
 def held_out(key: Column) -> Column:

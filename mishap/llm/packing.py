@@ -19,7 +19,7 @@ from mishap.llm.common import Batches, chunks, free_name, map_batches, store, ta
 
 WINDOW = 2048
 END_ID = 1
-CHUNK_BYTES = 4 * 1024 * 1024
+CHUNK_BYTES = 1024 * 1024
 
 def _byte_values() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: visible

@@ -16,7 +16,7 @@ from mishap.llm.language_id import held_out
 SHRINKAGE = 0.1
 """Weight of the pooled, then of the scaled unit covariance in each class's own."""
 THRESHOLD = 0.7
-CHUNK_BYTES = 2 * 1024 * 1024
+CHUNK_BYTES = 1024 * 1024
 
 # Kinds of bytes that statistics count.
 _KIND = np.zeros(256, np.uint8)
