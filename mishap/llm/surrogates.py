@@ -59,9 +59,27 @@ _FORM = re.compile("|".join([
 ]))
 # What every entity has: a digit, @, = or :, an honorific before a space, or an access key's first letters.
 _MARK = re.compile(r"[@\d=:]")
+# First letters of access keys, which their surrogates keep.
+_LEAD = re.compile(r"AKIA|ASIA|gh[po]_|sk-|xox[abp]-|")
+ROOM = 8
+"""Draws in a secret's own form; later ones are longer by one more letter each, so few free places can't run out."""
 _CALLS = (*(t + end for t in HONORIFICS for end in (" ", ". ")), "AKIA", "ASIA", "ghp_", "gho_", "sk-", "xox")
 
 
+SYMBOLS = "!#$%&*+,-./:;<=>?@^_|~"
+
+
+def _plain(text: str) -> bool:
+    """Whether no character is a letter or digit, which ``Draw.like`` changes."""
+    return not any(c.isalpha() or c.isdigit() for c in text)
+
+
+def _blank(secret: str) -> bool:
+    """A form's line or a mask instead of a secret: at most two different symbols and no letter or digit."""
+    rest = secret[_LEAD.match(secret).end():]
+    return _plain(rest) and len(set(rest)) <= 2
+
+
 @dataclass(frozen=True)
 class Entity:
     """One mention: where it stands, its kind (with gender and script for names) and its normal form."""
@@ -121,6 +139,8 @@ def detect(text: str) -> list[Entity]:
                 continue
         elif kind == "email":
             value = value.lower()
+        elif kind in ("secret", "access") and _blank(value):
+            continue
         found.append(Entity(m.start(kind), m.end(kind), "secret" if kind == "access" else kind, value))
     if surnames:
         again = re.compile(r"\b(?:" + "|".join(map(re.escape, surnames)) + r")\b")
@@ -181,8 +201,10 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
         check = 98 - int("".join(str(int(c, 36)) for c in body + value[:2] + "00")) % 97
         return f"{value[:2]}{check:02d}{body}"
     if kind == "secret":
-        lead = re.match(r"AKIA|ASIA|gh[po]_|sk-|xox[abp]-|", value)[0]
-        return lead + d.like(value[len(lead):])
+        lead = _LEAD.match(value)[0]
+        rest = value[len(lead):]
+        new = "".join(SYMBOLS[d.below(len(SYMBOLS))] for _ in rest) if _plain(rest) else d.like(rest)
+        return lead + new + d.like("x" * max(0, attempt - ROOM))
     what, script, *gender = kind.split(" ")
     if what == "given":
         names = GIVEN[script, gender[0]].split()

@@ -92,3 +92,23 @@ def test_nulls_empties_long_texts_and_repeats(spark):
     assert len(mails) == 1 and mails.pop().endswith(".example")
     assert "10.1.2.3" not in next(r.text for r in got if r.doc_id == 3)
     assert S.with_surrogates(texts(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("text", ["Password: ________", "password: ********", "token = ......", "pwd: ********.", "token = sk-______"])
+def test_form_lines_and_masks_are_no_secrets(spark, text):
+    assert kinds(text) == []
+    frame = texts(spark, [(1, text), (2, "mail a@b.example.com")])
+    got = {r.doc_id: r.text for r in S.with_surrogates(frame).collect()}
+    assert got[1] == text and "a@b.example.com" not in got[2]
+
+
+def test_secrets_of_symbols_are_replaced():
+    assert kinds("password: !@#$%^&*") == [("secret", "!@#$%^&*")]
+    new, spans = S.replace("password: !@#$%^&*", KEY, {})
+    assert new != "password: !@#$%^&*" and len(new) == 18 and len(spans) == 1
+
+
+def test_secrets_with_too_little_room_are_lengthened(spark):
+    rows = [(k, f"token = .....{k}") for k in range(10)]      # every form of one digit is a real entity
+    got = {r.text for r in S.with_surrogates(texts(spark, rows)).collect()}
+    assert len(got) == 10 and not got & {t for _, t in rows}
