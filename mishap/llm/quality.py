@@ -85,8 +85,8 @@ def statistics(column: pa.Array) -> np.ndarray:
         step = (data.astype(np.uint64) + np.uint64(1)) * _MIX
         step ^= step >> np.uint64(29)
         place = np.arange(len(data), dtype=np.uint64)
-        since = place - np.repeat(first, np.diff(np.concatenate([first, [len(data)]]))).astype(np.uint64) \
-            if len(first) and first[0] == 0 else place
+        runs = np.concatenate([[0], first])              # what stands before the first word is a run of its own
+        since = place - np.repeat(runs, np.diff(np.concatenate([runs, [len(data)]]))).astype(np.uint64)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(step * (np.uint64(2) * since + np.uint64(1)), dtype=np.uint64)])
     again = _repeats(sums[last + 1] - sums[first], word_home, docs)
     new = data == 10

@@ -28,6 +28,16 @@ def test_statistics_do_not_depend_on_the_batch():
     assert whole[6, 9] > whole[0, 9] and whole[3, 10] > whole[0, 10] and whole[3, 4] > whole[0, 4]
 
 
+@pytest.mark.parametrize("first", [" one two two", "\tone two two", "\n\none two two", "   "])
+def test_statistics_of_a_batch_that_begins_with_white_space(first):
+    rows = [first, "one two two one " * 30, None, " one one"]
+    whole = statistics(pa.array(rows, pa.string()))
+    assert np.allclose(whole, np.concatenate([statistics(pa.array([r], pa.string())) for r in rows]))
+    plain = statistics(pa.array(["one two two one " * 30], pa.string()))
+    assert np.allclose(whole[1], plain[0])
+    assert statistics(pa.array([" one one one"]))[0, 9] == statistics(pa.array(["one one one"]))[0, 9]
+
+
 def test_discriminant_equals_the_densities():
     rng = np.random.default_rng(2)
     x = [rng.standard_normal((400, 3)) @ np.diag([1, 2, 0.5]) + 1, rng.standard_normal((200, 3)) - 1]
