@@ -192,6 +192,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 _MEMORY: dict[str, tuple[dict[bytes, int], np.ndarray]] = {}
 
 
+def _has_letter(text: str) -> Column:
+    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, net: Network | None, text: str = "text") -> tuple[DataFrame, str, str]:
     """Add the predicted language and its score to every row (column names come back too).
 
@@ -200,11 +204,10 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> tuple[D
     score 0 where the text is null or has no letter, or nothing was learned.
     """
     label, score = free_name("lang_pred", docs.columns), free_name("score", docs.columns)
-    letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     if net is None:
         return docs.withColumns({label: F.lit("und"), score: F.lit(0.0)}), label, score
     flag = free_name("has_letter", docs.columns)
-    marked = docs.withColumn(flag, letter)
+    marked = docs.withColumn(flag, _has_letter(text))
     schema = T.StructType([*docs.schema.fields, T.StructField(label, T.StringType()), T.StructField(score, T.DoubleType())])
     spot, width = docs.columns.index(text), len(docs.columns)
     version = f"{hash(tuple(net.weights['out'].ravel().tolist()))}"
@@ -236,8 +239,14 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> tuple[D
 
 
 def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is identified; ``und`` goes.  Columns stay as they are."""
-    found, label, _ = predict(docs, fit(docs, key, text, lang), text)
+    """The rows of ``docs`` whose language is identified; ``und`` goes.  Columns stay as they are.
+
+    Where nothing was learned only null texts and texts without a letter go.
+    """
+    net = fit(docs, key, text, lang)
+    if net is None:
+        return docs.filter(_has_letter(text))
+    found, label, _ = predict(docs, net, text)
     return found.filter(F.col(label) != "und").select(*docs.columns)
 
 

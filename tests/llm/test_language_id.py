@@ -1,8 +1,10 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from helpers import DOCS, duck
-from mishap.llm.language_id import Network, fit, keep_identified, op6_language_id, predict, train, words_of
+from mishap.llm.language_id import Network, fit, held_out, keep_identified, op6_language_id, predict, train, words_of
 
 SF = "/root/testdata/sf0.01"
 
@@ -70,3 +72,12 @@ def test_nothing_to_learn_from(spark, small):
     out, label, _ = predict(small, None)
     assert {r[label] for r in out.collect()} == {"und"}
     assert predict(small.limit(0), fit(small))[0].count() == 0
+
+
+def test_unlabelled_tables_keep_their_documents(spark, small):
+    bare = small.withColumn("lang", F.lit(None).cast("string"))
+    kept = keep_identified(bare)
+    assert kept.columns == bare.columns and kept.count() == bare.count() - 3
+    assert not {900, 901, 902} & {r.doc_id for r in kept.collect()}
+    only_held = small.withColumn("lang", F.when(held_out(F.col("doc_id")), F.col("lang")))
+    assert keep_identified(only_held.filter("doc_id is not null")).count() == small.count() - 4
