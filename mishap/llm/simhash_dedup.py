@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,16 +51,17 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(values), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(key, fp) of every whole text; a null text has no words.  fp is the fingerprint as a signed long."""
-    schema = T.StructType([docs.schema[key], T.StructField("fp", T.LongType())])
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
+                 *more: str) -> DataFrame:
+    """(key, columns of ``more``, fp) of every whole text; a null text has no words.  fp is the fingerprint as a signed long."""
+    schema = T.StructType([*[docs.schema[c] for c in (key, *more)], T.StructField("fp", T.LongType())])
 
     def run(batches: Batches) -> Batches:
         for b in chunks(batches, text, CHUNK_BYTES):
-            found = np.array([fingerprint(t or "", words) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], names=schema.names)
+            found = np.array([fingerprint(t or "", words) for t in b.column(1 + len(more)).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found.view(np.int64))], names=schema.names)
 
-    return map_batches(docs.select(key, text), run, schema)
+    return map_batches(docs.select(key, *more, text), run, schema)
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -212,43 +213,62 @@ def links(distinct: DataFrame, bits: int = MAX_BITS, crowd: int = CROWD) -> Data
     return plain.union(map_batches(again, _compare(bits, None), _LINKS).select("a", "b"))
 
 
+def classes(fps: DataFrame, least: dict[str, Column], bits: int = MAX_BITS) -> DataFrame:
+    """(fp, component, ...): the class of every fingerprint in ``fps``, with the class's minimum of each of ``least``.
+
+    Classes are the fingerprints reachable by links at most ``bits`` apart.
+    Equal fingerprints are joined first, so copies cost one row.
+    """
+    groups = store(fps.groupBy("fp").agg(*[F.min(c).alias(n) for n, c in least.items()]), "simhash-groups")
+    nodes = connected_components(links(groups.select("fp"), bits))
+    of = groups.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "component", F.coalesce("component", "fp"))
+    first = of.groupBy("component").agg(*[F.min(n).alias(n) for n in least])
+    return store(of.select("fp", "component").join(first, "component").select("fp", "component", *least), "simhash-classes")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
                     bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: key, fp (signed long) and component_id.
 
     component_id is the smallest key among all rows reachable by links of
-    fingerprints at most ``bits`` apart.  Equal fingerprints are joined first,
-    so copies cost one row.  Null and empty texts share the zero fingerprint;
-    rows with a null key are grouped like others; no rows give no rows.
+    fingerprints at most ``bits`` apart; where keys repeat, classes with the
+    same smallest key share it.  Null and empty texts share the zero
+    fingerprint; rows with a null key are grouped like others; no rows give no rows.
     """
     fps = store(fingerprints(docs, key, text, words), "simhash")
-    groups = store(fps.groupBy("fp").agg(F.min(key).alias("least")), "simhash-groups")
-    nodes = connected_components(links(groups.select("fp"), bits))
-    of = groups.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp"))
-    least = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = store(of.select("fp", "component").join(least, "component").select("fp", "component_id"), "simhash-classes")
+    named = classes(fps, {"component_id": F.col(key)}, bits).select("fp", "component_id")
     return fps.join(named, "fp").select(key, "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
                bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` with one of each near-duplicate group: the row of its smallest key.
+    """The rows of ``docs`` with one of each near-duplicate class: the row of its smallest key.
 
-    Texts move only once, for the anti-join with the keys that go.  Where a
-    kept key has several rows one of them stays; rows without a key stay.
+    Rows are told apart by key and a hash of all columns, so rows of one key
+    with different texts are decided each in its own class.  The rows without
+    a key are decided among themselves: one of each class stays.  Texts move
+    for the anti-join with the rows that go; of kept rows that repeat in every
+    column one stays.
     """
-    classes = store(near_duplicates(docs, key, text, words, bits), "simhash-decisions")
-    gone = classes.filter(F.col(key) != F.col("component_id")).select(key).distinct()
-    rest = docs.join(gone, key, "left_anti").select(*docs.columns)
-    repeated = classes.groupBy(key).count().filter(f"count > 1 and {key} is not null").select(key)
+    row = free_name("row", docs.columns)
+    marked = docs.withColumn(row, F.xxhash64(*[x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]))
+    fps = store(fingerprints(marked, key, text, words, row), "simhash").toDF("key", "row", "fp")
+    of = classes(fps, {"keyed": F.when(F.col("key").isNotNull(), F.struct("key", "row")),
+                       "bare": F.when(F.col("key").isNull(), F.col("row"))}, bits).drop("component")
+    stays = F.when(F.col("key").isNull(), F.col("row") == F.col("bare")).otherwise(F.struct("key", "row") == F.col("keyed"))
+    decided = store(fps.join(of, "fp").select("key", "row", stays.alias("stays")), "simhash-decisions")
+
+    def join(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        return rows.join(some, rows[key].eqNullSafe(some["key"]) & (rows[row] == some["row"]), how)
+
+    gone = decided.filter("not stays").select("key", "row").distinct()
+    rest = join(marked, gone.toDF("key", "row"), "left_anti")
+    repeated = decided.filter("stays").groupBy("key", "row").count().filter("count > 1").select("key", "row")
     if repeated.isEmpty():
-        return rest
-    rank = free_name("rank", docs.columns)
-    order = Window.partitionBy(key).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    first = (rest.join(repeated, key, "left_semi").withColumn(rank, F.row_number().over(order))
-             .filter(F.col(rank) == 1).select(*docs.columns))
-    return rest.join(repeated, key, "left_anti").select(*docs.columns).unionByName(first)
+        return rest.select(*docs.columns)
+    once = join(rest, repeated, "left_semi").select(*docs.columns).distinct()
+    return join(rest, repeated, "left_anti").select(*docs.columns).unionByName(once)
 
 
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,3 +103,23 @@ def test_one_row_of_each_group_stays(spark):
     assert got.columns == frame.columns
     assert sorted((r.doc_id for r in got.collect()), key=repr) == sorted([3, 7, 1, 2, 4, None], key=repr)
     assert D.keep_first(frame.limit(0)).count() == 0
+
+
+A, B, C = "the first text has these words in it", "another one says something else entirely here", "a third is not like those"
+
+
+@pytest.mark.parametrize("rows, want", [
+    ([(3, B), (5, A), (5, B), (7, A)], [(3, B), (5, A)]),           # one id, two classes
+    ([(5, A), (5, B)], [(5, A), (5, B)]),                           # nothing links them
+    ([(5, A), (5, A), (6, A), (5, B), (5, B)], [(5, A), (5, B)]),
+    ([(None, A), (None, A), (None, B), (4, C), (4, C)], [(None, A), (None, B), (4, C)]),
+])
+def test_rows_are_decided_not_keys(spark, rows, want):
+    got = [tuple(r) for r in D.keep_first(texts(spark, rows)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_copies_without_a_key_that_differ_in_other_columns(spark):
+    frame = texts(spark, [(None, A, k, None) for k in range(3)] + [(1, B, None, 2), (1, B, 2, None), (2, None, 1, 1)], ", row int, stays int")
+    got = D.keep_first(frame)
+    assert got.columns == frame.columns and sorted((r.doc_id for r in got.collect()), key=repr) == sorted([None, 1, 2], key=repr)
