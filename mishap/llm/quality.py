@@ -52,6 +52,17 @@ def _repeats(hashes: np.ndarray, home: np.ndarray, docs: int) -> np.ndarray:
     return np.bincount(home[order][same], minlength=docs)
 
 
+def _weights(starts: np.ndarray, size: int) -> np.ndarray:
+    """Of every byte, by its place since the last of ``starts``; odd, and in no line, so that rearranged bytes differ."""
+    starts = np.concatenate([[0], starts])               # what stands before the first is a run of its own
+    since = np.arange(size) - np.repeat(starts, np.diff(np.concatenate([starts, [size]])))
+    with np.errstate(over="ignore"):
+        w = (since.astype(np.uint64) + np.uint64(1)) * _MIX
+        w ^= w >> np.uint64(32)
+        w *= _MIX
+        return w ^ (w >> np.uint64(29)) | np.uint64(1)
+
+
 def statistics(column: pa.Array) -> np.ndarray:
     """One row of transformed statistics for every whole text (a null text is empty)."""
     data, offsets = text_buffers(column)
@@ -84,10 +95,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     with np.errstate(over="ignore"):
         step = (data.astype(np.uint64) + np.uint64(1)) * _MIX
         step ^= step >> np.uint64(29)
-        place = np.arange(len(data), dtype=np.uint64)
-        runs = np.concatenate([[0], first])              # what stands before the first word is a run of its own
-        since = place - np.repeat(runs, np.diff(np.concatenate([runs, [len(data)]]))).astype(np.uint64)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(step * (np.uint64(2) * since + np.uint64(1)), dtype=np.uint64)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(step * _weights(first, len(data)), dtype=np.uint64)])
     again = _repeats(sums[last + 1] - sums[first], word_home, docs)
     new = data == 10
     opens = np.concatenate([[True], new[:-1]]) | cut[:-1]
@@ -98,8 +106,11 @@ def statistics(column: pa.Array) -> np.ndarray:
     finish = end[np.searchsorted(end, begin)]
     line_home = home[begin]
     lines = np.bincount(line_home, minlength=docs).astype(np.float64)
-    bytes_ = np.concatenate([np.zeros(1, np.uint64), np.cumsum(step, dtype=np.uint64)])
-    line_again = _repeats(bytes_[finish + 1] - bytes_[begin], line_home, docs)
+    stop = finish + 1 - new[finish]                      # the closing line break is no part of a line
+    stop = stop - (new[finish] & (data[stop - 1] == 13) & (stop > begin))
+    with np.errstate(over="ignore"):
+        bytes_ = np.concatenate([np.zeros(1, np.uint64), np.cumsum(step * _weights(begin, len(data)), dtype=np.uint64)])
+        line_again = _repeats(bytes_[stop] - bytes_[begin], line_home, docs)
     loud = count(data == 33)
     usual, by_word = _USUAL_BYTES, _USUAL_WORDS
     return np.stack([

@@ -38,6 +38,16 @@ def test_statistics_of_a_batch_that_begins_with_white_space(first):
     assert statistics(pa.array([" one one one"]))[0, 9] == statistics(pa.array(["one one one"]))[0, 9]
 
 
+def test_rearranged_lines_are_no_repeats():
+    at = STATISTICS.index("repeated_lines")
+    lines = lambda *rows: statistics(pa.array(["\n".join(rows)]))[0, at]
+    none = lines("a b c", "d e f", "g h i")
+    assert lines("| 12 |", "| 21 |", "| 33 |") == lines("| 1221 |", "| 2112 |", "| 3003 |") == none
+    assert lines("a b c", "d e f", "a b c") == lines("a b c", "a b c", "d e f") > none    # with and without a line break
+    assert lines("a b c\r", "d e f\r", "a b c") == lines("a b c", "d e f", "a b c", "")
+    assert statistics(pa.array(["1221 2112"]))[0, 9] == statistics(pa.array(["1221 3003"]))[0, 9]
+
+
 def test_discriminant_equals_the_densities():
     rng = np.random.default_rng(2)
     x = [rng.standard_normal((400, 3)) @ np.diag([1, 2, 0.5]) + 1, rng.standard_normal((200, 3)) - 1]
