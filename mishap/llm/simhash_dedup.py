@@ -23,6 +23,9 @@ CHUNK_BYTES = 2 * 1024 * 1024
 CROWD = 4096
 """Fingerprints of one block key that one task compares; larger crowds are cut into parts compared two by two."""
 
+MAX_BROADCAST = 1_000_000
+"""Keys of crowds that are sent to every task."""
+
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -126,18 +129,14 @@ def blocks_for(n: int, bits: int = MAX_BITS) -> int:
     return blocks
 
 
-def _compare(bits: int, crowd: int | None):
-    """Task code: links of rows that arrive sorted by key.  Crowds over ``crowd`` are given back whole."""
+def _compare(bits: int):
+    """Task code: links of rows that arrive sorted by key."""
     def run(batches: Batches) -> Batches:
         tail_k, tail_f = np.zeros((0, 2), np.int64), np.zeros(0, np.uint64)
         none = np.zeros(0, np.uint64)
 
-        def emit(a, b, kind, keys=None):
-            n = len(a)
-            k = np.zeros((n, 2), np.int64) if keys is None else keys
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(k[:, 0].astype(np.int32)),
-                 pa.array(k[:, 1]), pa.array(np.full(n, kind, np.int32))], names=["a", "b", "mask", "key", "crowd"])
+        def emit(a, b):
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         def work(keys, fps):
             if len(fps) < 2:
@@ -146,12 +145,7 @@ def _compare(bits: int, crowd: int | None):
             first = np.concatenate([[0], new])
             size = np.diff(np.concatenate([first, [len(fps)]]))
             for s in np.flatnonzero(size > 64):
-                own = slice(first[s], first[s] + size[s])
-                if crowd and size[s] > crowd:
-                    yield emit(fps[own], fps[own], int(size[s]), keys[own])
-                else:
-                    a, b = crowd_links(fps[own], bits)
-                    yield emit(a, b, 0)
+                yield emit(*crowd_links(fps[first[s]:first[s] + size[s]], bits))
             some = np.repeat((size > 1) & (size <= 64), size)
             end = np.repeat(first + size, size)[some]
             at = np.flatnonzero(some)
@@ -164,7 +158,7 @@ def _compare(bits: int, crowd: int | None):
                 at, end = at[keep], end[keep]
                 hit = near(fps, distances, at, at + step, bits)
                 if len(hit):
-                    yield emit(fps[at[hit]], fps[at[hit] + step], 0)
+                    yield emit(fps[at[hit]], fps[at[hit] + step])
 
         for b in batches:
             if not b.num_rows:
@@ -176,41 +170,47 @@ def _compare(bits: int, crowd: int | None):
             yield from work(keys[:cut], fps[:cut])
             tail_k, tail_f = keys[cut:], fps[cut:]
         yield from work(tail_k, tail_f)
-        yield emit(none, none, 0)
+        yield emit(none, none)
 
     return run
 
 
-_LINKS = "a long, b long, mask int, key long, crowd int"
-
-
-def links(distinct: DataFrame, bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
-    """(a, b) links among distinct fingerprints (column fp) that connect whatever all links connect.
+def candidates(distinct: DataFrame, bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
+    """(mask, key, fp): fingerprints to compare with each other are those of equal mask and key.
 
-    Candidates agree on the blocks of one mask; their pivot tables discard and
-    the bits verify.  A key with more than ``crowd`` fingerprints is cut into
-    parts by hash, and every two parts are compared in a task of their own.
+    They agree on the blocks of one mask.  Keys are counted first (a grouped
+    count, combined before it moves); one with more than ``crowd``
+    fingerprints is cut into parts by hash, and every two parts get a key of
+    their own, so no task receives a whole crowd.
     """
     masks = block_masks(blocks_for(distinct.count(), bits), bits)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = distinct.select(F.explode(F.array(*[
         F.struct(F.lit(k).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
         for k, m in enumerate(signed)])).alias("k"), "fp").select("k.mask", "k.key", "fp")
-    dealt = keyed.repartition("mask", "key").sortWithinPartitions("mask", "key")
-    found = store(map_batches(dealt, _compare(bits, crowd), _LINKS), "simhash-links")
-    plain = found.filter("crowd = 0").select("a", "b")
-    crowds = found.filter("crowd > 0")
-    if crowds.isEmpty():
-        return plain
-    parts = F.ceil(F.col("crowd") / crowd).cast("int")
-    part = F.pmod(F.xxhash64("a"), parts).cast("int")
+    parts = F.ceil(F.col("count") / crowd).cast("int").alias("parts")
+    crowds = store(keyed.groupBy("mask", "key").count().filter(F.col("count") > crowd).select("mask", "key", parts),
+                   "simhash-crowds")
+    n = crowds.count()
+    if not n:
+        return keyed
+    # Past the bound the join is left to Spark, which cuts skewed partitions.
+    marked = keyed.join(F.broadcast(crowds) if n <= MAX_BROADCAST else crowds, ["mask", "key"], "left")
+    part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
                         lambda o: F.struct(F.least(o, F.col("part")).alias("i"), F.greatest(o, F.col("part")).alias("j")))
-    cut = (crowds.select("mask", "key", F.col("a").alias("fp"), parts.alias("parts"), part.alias("part"))
-           .withColumn("pair", F.explode(pairs))
-           .select("mask", F.xxhash64("mask", "key", "pair.i", "pair.j").alias("key"), "fp"))
-    again = cut.repartition("mask", "key").sortWithinPartitions("mask", "key")
-    return plain.union(map_batches(again, _compare(bits, None), _LINKS).select("a", "b"))
+    cut = (marked.filter("parts is not null").withColumn("part", part).withColumn("pair", F.explode(pairs))
+           .select((F.col("mask") + len(masks)).alias("mask"), F.xxhash64("mask", "key", "pair.i", "pair.j").alias("key"), "fp"))
+    return marked.filter("parts is null").select("mask", "key", "fp").union(cut)
+
+
+def links(distinct: DataFrame, bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
+    """(a, b) links among distinct fingerprints (column fp) that connect whatever all links connect.
+
+    Of the candidates, pivot tables discard and the bits verify.
+    """
+    dealt = candidates(distinct, bits, crowd).repartition("mask", "key").sortWithinPartitions("mask", "key")
+    return map_batches(dealt, _compare(bits), "a long, b long")
 
 
 def classes(fps: DataFrame, least: dict[str, Column], bits: int = MAX_BITS) -> DataFrame:

@@ -123,3 +123,10 @@ def test_copies_without_a_key_that_differ_in_other_columns(spark):
     frame = texts(spark, [(None, A, k, None) for k in range(3)] + [(1, B, None, 2), (1, B, 2, None), (2, None, 1, 1)], ", row int, stays int")
     got = D.keep_first(frame)
     assert got.columns == frame.columns and sorted((r.doc_id for r in got.collect()), key=repr) == sorted([None, 1, 2], key=repr)
+
+
+def test_no_key_holds_a_whole_crowd(spark):
+    signed = [f - (1 << 64) if f >> 63 else f for f in near_copies(1200, 3, 3)]
+    frame = spark.createDataFrame([(f,) for f in signed], "fp long")
+    most = lambda crowd: D.candidates(frame, crowd=crowd).groupBy("mask", "key").count().agg({"count": "max"}).first()[0]
+    assert most(4096) > 120 and most(40) < 120
