@@ -8,6 +8,7 @@ from mishap.llm import (
     language_id,
     packing,
     quality,
+    sentencepieces,
     sharding,
     simhash_dedup,
     surrogates,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_simhash_dedup": simhash_dedup.op8_simhash_dedup,
     "op9_quality": quality.op9_quality,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_sentencepiece": sentencepieces.op11_sentencepiece,
 }
 
 ORACLE = {
