@@ -6,6 +6,7 @@ from mishap.llm import (
     decontamination,
     hilbert_ann,
     language_id,
+    lexical_search,
     packing,
     quality,
     sentencepieces,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_url_filter": url_filter.op10_url_filter,
     "op11_sentencepiece": sentencepieces.op11_sentencepiece,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
 }
 
 ORACLE = {
@@ -35,4 +37,5 @@ ORACLE = {
     "op2_warc_fixity": warc_fixity.ORACLE,
     "op7_decontamination": decontamination.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
+    "op12_lexical_search": lexical_search.ORACLE,
 }
