@@ -13,6 +13,7 @@ from mishap.llm import (
     sharding,
     simhash_dedup,
     surrogates,
+    token_alignment,
     url_filter,
     warc_fixity,
 )
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_url_filter": url_filter.op10_url_filter,
     "op11_sentencepiece": sentencepieces.op11_sentencepiece,
     "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 
 ORACLE = {
