@@ -3,7 +3,7 @@
     python -m mishap report    --input 'data/*.csv' --output out/ [--format csv|parquet]
     python -m mishap dashboard --input 'data/*.csv' --output out/ [--city A --city B]
                                [--severity High] [--start 2022-01-01] [--end 2022-12-31]
-                               [--multi-line]
+                               [--multi-line | --cut-lines]
 
 Raw CSV -> clean -> clean table stored in the shared folder
 (``spark.checkpoint.dir``) -> results written under ``--output``, one folder
@@ -43,7 +43,9 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--severity", action="append")
     ap.add_argument("--start", help="first date of the selection")
     ap.add_argument("--end", help="last date of the selection")
-    ap.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks (one task per file)")
+    lines = ap.add_mutually_exclusive_group()
+    lines.add_argument("--multi-line", action="store_const", const=True, help="read record by record without looking for quoted line breaks first")
+    lines.add_argument("--cut-lines", dest="multi_line", action="store_const", const=False, help="every line is a row, inside quotes too")
     ap.add_argument("--export-clean", action="store_true", help="also write the clean table (W3)")
     args = ap.parse_args(argv)
 
@@ -57,7 +59,7 @@ def main(argv: list[str] | None = None) -> dict:
     counts["malformed_rows"] = sum(b.get["malformed"] for b in broken)
     if counts["malformed_rows"]:
         print(f"{counts['malformed_rows']} rows have too few or too many fields"
-              + ("" if args.multi_line else "; quoted line breaks need --multi-line"), file=sys.stderr)
+              + ("; quoted line breaks need --multi-line" if args.multi_line is False else ""), file=sys.stderr)
     out = args.output.rstrip("/")
     if args.export_clean:
         write_clean(table, f"{out}/clean")

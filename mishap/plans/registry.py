@@ -4,7 +4,7 @@ Every query reads the whole ``events`` table of ``sf_dir`` (through the raw
 incident derivation), so its work grows with the data.  Building a query
 runs no job: operator queries run on the clean table that ``prepare`` has
 stored for the folder, or else on the lazy cleaning plan itself (only the CSV
-round trip, a sink, writes when it is built).  Filters below are the F1
+round trips, sinks, write when they are built).  Filters below are the F1
 feature's own parameters, not row caps.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mishap.operators import aggregates as A
 from mishap.operators import cleaning as C
@@ -117,6 +118,18 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_clean(spark, write_clean(C.clean(read_incidents_csv(spark, source)), new_path(spark, "clean-export")))
 
 
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with a note of two lines, written as CSV and read back record by record in parallel."""
+    note = F.concat(F.lit("seen, \""), F.col("accident_severity"), F.lit("\"\nat "), F.col("accident_location"))
+    source = write_csv(raw(spark, sf_dir).withColumn("note", note), new_path(spark, "raw-breaks"))
+    return read_incidents_csv(spark, source).select("id", "accident_location", "note", "vehicles_involved")
+
+
+def raw_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shape of the raw frame, before any cleaning (S3)."""
+    return profile(raw(spark, sf_dir))
+
+
 def view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free-form SQL over the registered view (Q0)."""
     name = Q.register_view(clean_table(spark, sf_dir))
@@ -207,6 +220,8 @@ QUERIES: dict[str, Query] = {
     "hotspot_grid": _on_view(hotspot_grid),
     # what users call: files, SQL view, empty selection, first rows, fused report and dashboard
     "csv_round_trip": csv_round_trip,
+    "csv_line_breaks": csv_line_breaks,
+    "raw_profile": raw_profile,
     "view_sql": view_sql,
     "open_range": open_range,
     "kpis_empty": lambda spark, sf_dir: kpis(nothing(spark, sf_dir)),

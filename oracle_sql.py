@@ -72,6 +72,14 @@ _PROFILE = "\nUNION ALL\n".join(
     f"count(*) AS \"rows\" FROM clean"
     for i, (c, t) in enumerate(zip(_CLEAN_COLS, _CLEAN_TYPES)))
 
+_RAW_COLS = ["id", "accident_location", "accident_date", "accident_time", "accident_severity", "weather", "road_type",
+             "vehicles_involved", "lat", "lon"]
+_RAW_TYPES = ["bigint", *["string"] * 7, "double", "double"]
+_RAW_PROFILE = "\nUNION ALL\n".join(
+    f"SELECT {i + 1} AS position, '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null, "
+    f"count(*) AS \"rows\" FROM raw"
+    for i, (c, t) in enumerate(zip(_RAW_COLS, _RAW_TYPES)))
+
 
 def _counts(src: str, key: str, name: str = "count", where: str = "") -> str:
     return f"SELECT {key}, count(*) AS {name} FROM {src} {where} GROUP BY {key}"
@@ -207,6 +215,9 @@ ORACLE: dict[str, str] = {
                               FROM dv WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
                             ORDER BY key, latitude, longitude LIMIT 2000"""),
     "csv_round_trip": _w("SELECT * FROM clean"),
+    "csv_line_breaks": _w("SELECT CAST(id AS VARCHAR) AS id, accident_location, 'seen, \"' || accident_severity || '\"' || chr(10) "
+                          "|| 'at ' || accident_location AS note, vehicles_involved FROM raw"),
+    "raw_profile": _w(_RAW_PROFILE),
     "view_sql": _w("SELECT severity, min(date) AS first_date, count(DISTINCT city) AS cities FROM clean GROUP BY severity"),
     "open_range": _w(f"SELECT * FROM serving WHERE date <= DATE '{FILTER_DATES[0]}'"),
     "first_rows": _w("SELECT * FROM clean ORDER BY id NULLS FIRST, date NULLS FIRST, time NULLS FIRST LIMIT 5"),

@@ -131,11 +131,12 @@ def test_quoted_line_breaks_and_malformed_rows(spark, tmp, capsys):
     os.makedirs(src)
     with open(os.path.join(src, "a.csv"), "w") as fh:
         fh.write(BROKEN)
-    plain = main(["report", "--input", src, "--output", os.path.join(tmp, "plain")])["rows"]
+    plain = main(["report", "--cut-lines", "--input", src, "--output", os.path.join(tmp, "plain")])["rows"]
     assert plain["malformed_rows"] == 3                    # the cut record's two halves and the surplus field
     assert "--multi-line" in capsys.readouterr().err
-    whole = main(["report", "--multi-line", "--input", src, "--output", os.path.join(tmp, "whole")])["rows"]
-    assert whole["malformed_rows"] == 1 and whole["clean_rows"] == 3
+    for k, flag in enumerate(([], ["--multi-line"])):      # line breaks are found without a flag
+        whole = main(["report", *flag, "--input", src, "--output", os.path.join(tmp, f"whole{k}")])["rows"]
+        assert whole["malformed_rows"] == 1 and whole["clean_rows"] == 3
 
 
 def test_filters_apply_to_the_report(spark, tmp):
