@@ -5,11 +5,12 @@ import random
 import tempfile
 from contextlib import contextmanager
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from mishap.sources.csv import read_counts, read_incidents_csv
-from mishap.sources.records import csv_records, has_open_lines, split_starts, stays_open, text_lines
+from mishap.sources.records import Lines, _end, csv_records, has_open_lines, split_starts, stays_open, text_lines
 
 HEADER = "id,city,note\n"
 
@@ -68,6 +69,24 @@ def test_function_of_a_line(spark, line, out, inside):
     one = spark.createDataFrame([(line,)], "v string")
     got = one.select(stays_open(F.col("v")), stays_open(F.concat(F.lit('"'), "v"))).first()
     assert tuple(got) == (out, inside)
+    assert (_end(line.encode(), False), _end(line.encode(), True)) == (out, inside)
+
+
+def test_states_of_a_batch_equal_those_line_by_line():
+    rng = random.Random(5)
+    for _ in range(300):
+        texts = ["".join(rng.choice(['a', ',', '"', '""', '"b"', ',"', '",', "\r"]) for _ in range(rng.randint(0, 6)))
+                 for _ in range(rng.randint(1, 12))]
+        lines = Lines(pa.array(["x", *texts, "y"]).slice(1, len(texts)))
+        for start in (False, True):
+            want, state = [], start
+            for text in texts:
+                want.append(state)
+                state = _end(text.encode(), state)
+            before, end = lines.states(start)
+            assert before.tolist() == want and end == state, texts
+            joined, records = "\n".join(texts), lines.joined(before).to_pylist()
+            assert "\n".join(records) == joined and len(records) == 1 + sum(not b for b in want[1:])
 
 
 @pytest.mark.parametrize("seed", range(3))
