@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> dict:
     broken = [Observation(f"malformed_{k}") for k in range(len(args.input))]
     raw = read_incident_layouts(spark, args.input, broken, multi_line=args.multi_line)
     cleaned, metrics = clean_observed(raw)
-    table = store_clean(cleaned)
+    table = store_clean(cleaned, source=raw)
     counts = metrics.as_dict(table.count())
     counts["malformed_rows"] = sum(b.get["malformed"] for b in broken)
     if counts["malformed_rows"]:

@@ -179,6 +179,14 @@ def clean(df: DataFrame, strict: bool = False) -> DataFrame:
     return stage(df, STEPS[-1][0])
 
 
+def clean_rows(df: DataFrame) -> DataFrame:
+    """The cleaning chain without the dedup: every step that looks at one row alone."""
+    for name, step in STEPS:
+        if name != "deduplicated":
+            df = step(df)
+    return df
+
+
 @dataclass
 class CleaningMetrics:
     """Row counts of a cleaning run, filled by the first action on the frame.

@@ -21,13 +21,18 @@ from pyspark.sql import DataFrame
 TARGET_PARTITION_BYTES = 2 * 1024 ** 3
 DEFAULT_SPLIT_BYTES = 128 * 1024 ** 2
 MAX_SPLITS = 50_000
+UNKNOWN_BYTES = 1 << 60
 WIDTH, SPLIT = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Estimated size of ``df``'s scanned input from the optimiser's statistics (no job)."""
+    """Estimated size of ``df``'s scanned input from the optimiser's statistics (no job).
+
+    Inputs that Spark has no size for (it then assumes the largest) count as nothing.
+    """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    return sum(s for s in sizes if s < UNKNOWN_BYTES)
 
 
 def partitions_for(nbytes: int, cores: int, target: int = TARGET_PARTITION_BYTES) -> int:

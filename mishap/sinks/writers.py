@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from mishap.operators.filters import explorer
-from mishap.plans.materialize import laid_out
+from mishap.plans.materialize import dealt_out
 from mishap.plans.sizing import load_width
 
 
@@ -41,12 +41,13 @@ def write_report(report: Mapping[str, DataFrame], directory: str, fmt: str = "cs
 
 
 def write_clean(clean_df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = "year",
-                mode: str = "overwrite", cluster_by: tuple[str, ...] = ("city", "date")) -> str:
+                mode: str = "overwrite", cluster_by: tuple[str, ...] = ("city", "date"), source: DataFrame | None = None) -> str:
     """The cleaned table, partitioned by year so date filters prune folders,
-    each file covering a narrow range of places and dates (``laid_out``)."""
+    each file covering a narrow range of places and dates (``laid_out``).  With the raw
+    rows as ``source``, a large table is laid out in one pass (``laid_out_by``)."""
     folders = [partition_by] if partition_by and partition_by in clean_df.columns else []
     with load_width(clean_df) as width:
-        writer = laid_out(clean_df, width, folders, cluster_by).write.mode(mode)
+        writer = dealt_out(clean_df, source, width, folders, cluster_by).write.mode(mode)
         if folders:
             writer = writer.partitionBy(*folders)
         if fmt == "csv":

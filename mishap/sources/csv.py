@@ -23,20 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mishap.operators.cleaning import standardize_column_names
+from mishap.plans.materialize import free_name
 from mishap.sources.records import csv_records, has_open_lines
 
 MALFORMED = "_malformed_line"
 _COUNTS: dict[str, Observation] = {}
 
 
-def _free(wanted: str, taken: Sequence[str]) -> str:
-    """``wanted``, lengthened until no column of ``taken`` has it."""
-    used = {c.lower() for c in taken}
-    while wanted.lower() in used:
-        wanted += "_"
-    return wanted
-
-
 def _path_key(path: str | list[str]) -> str:
     return "\n".join([path] if isinstance(path, str) else path)
 
@@ -73,7 +66,7 @@ def read_incidents_csv(spark: SparkSession, path: str | list[str], infer_schema:
     observed = malformed or Observation()
     _COUNTS[_path_key(path)] = observed
     found = reader.option("multiLine", multi_line).csv(path)
-    mark = _free(MALFORMED, found.columns)
+    mark = free_name(MALFORMED, found.columns)
     schema = T.StructType([*found.schema.fields, T.StructField(mark, T.StringType())])
     if multi_line and own:
         marked = _by_record(spark, path, found.columns, schema, mark, options)

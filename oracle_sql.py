@@ -215,8 +215,6 @@ ORACLE: dict[str, str] = {
                               FROM dv WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
                             ORDER BY key, latitude, longitude LIMIT 2000"""),
     "csv_round_trip": _w("SELECT * FROM clean"),
-    "csv_line_breaks": _w("SELECT CAST(id AS VARCHAR) AS id, accident_location, 'seen, \"' || accident_severity || '\"' || chr(10) "
-                          "|| 'at ' || accident_location AS note, vehicles_involved FROM raw"),
     "raw_profile": _w(_RAW_PROFILE),
     "view_sql": _w("SELECT severity, min(date) AS first_date, count(DISTINCT city) AS cities FROM clean GROUP BY severity"),
     "open_range": _w(f"SELECT * FROM serving WHERE date <= DATE '{FILTER_DATES[0]}'"),
