@@ -16,6 +16,14 @@ from mishap.constants import (
 )
 
 
+def free_name(wanted: str, taken: Sequence[str]) -> str:
+    """``wanted``, lengthened until no column of ``taken`` has it (Spark ignores case)."""
+    used = {c.lower() for c in taken}
+    while wanted.lower() in used:
+        wanted += "_"
+    return wanted
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

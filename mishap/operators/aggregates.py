@@ -26,14 +26,15 @@ def rows() -> Column:
     return F.count(F.lit(1))
 
 
-def sort_small(df: DataFrame, *order) -> DataFrame:
+def sort_small(df: DataFrame, *order, gathered: bool = False) -> DataFrame:
     """Total order for a result keyed by hour, period, month or year: gather it
-    to one partition and sort there, without the sampling job of ``orderBy``.
+    (unless it is one partition already) and sort there, without the sampling
+    job of ``orderBy``.
 
     Only for keys that the calendar bounds; results keyed by free text (place,
     weather, road, severity) or grid cell use ``orderBy``.
     """
-    return df.repartition(1).orderBy(*order)
+    return (df if gathered else df.repartition(1)).orderBy(*order)
 
 
 def top_k(counts: DataFrame, k: int, by: str, key: str | list[str]) -> DataFrame:

@@ -13,11 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mishap.constants import HIGH, HOTSPOT_COLUMNS, MAP_SAMPLE_SEED, MAP_SAMPLE_SIZE
+from mishap.functions.columns import free_name
 from mishap.operators.filters import with_coordinates
 from mishap.schema import DERIVED_COLUMNS
 
@@ -39,8 +40,9 @@ def sample_key(df: DataFrame, seed: int = MAP_SAMPLE_SEED) -> Column:
 def hash_sample(df: DataFrame, n: int, seed: int = MAP_SAMPLE_SEED) -> DataFrame:
     """The ``n`` rows with the smallest row hash (ties by row), exact and repeatable."""
     cols = df.columns
-    keyed = df.withColumn("_key", sample_key(df, seed))
-    place = F.conv(F.substring("_key", 1, 8), 16, 10).cast("bigint")
+    key = free_name("sample_hash", cols)
+    keyed = df.withColumn(key, sample_key(df, seed))
+    place = F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")
     # rung k holds the hashes from limit k-1 up to limit k: at most 16 groups
     rung = F.greatest(F.lit(0), F.ceil((F.log2(place + 1) - 2) / 2)).cast("int")
     rungs = keyed.groupBy(rung.alias("rung")).agg(F.count(F.lit(1)).alias("n"))
@@ -49,7 +51,7 @@ def hash_sample(df: DataFrame, n: int, seed: int = MAP_SAMPLE_SEED) -> DataFrame
     for k in reversed(range(len(LIMITS))):
         cutoff = F.when(F.col(f"n{k}") >= n, F.lit(LIMITS[k])).otherwise(cutoff)
     kept = keyed.where(place < under.select(cutoff.alias("cutoff")).scalar())
-    return kept.orderBy("_key", *cols).limit(n).select(*cols)
+    return kept.orderBy(key, *cols).limit(n).select(*cols)
 
 
 def hotspot_points(df: DataFrame, n: int = MAP_SAMPLE_SIZE, seed: int = MAP_SAMPLE_SEED,
@@ -62,6 +64,45 @@ def hotspot_points(df: DataFrame, n: int = MAP_SAMPLE_SIZE, seed: int = MAP_SAMP
     return points.select(*[c for c in columns if c in df.columns])
 
 
+SKETCH_GROUP = ("city", "severity", "year", "month")
+SKETCH_SALTS = 64
+
+
+def points_sketch(df: DataFrame, n: int = MAP_SAMPLE_SIZE, seed: int = MAP_SAMPLE_SEED) -> DataFrame:
+    """M1/M2: a bottom-k sketch of the rows with coordinates: of each place, severity and month the ``n`` rows
+    with the smallest row hash, all columns and ``sample_hash``.
+
+    The ``n`` smallest of any union of whole groups are among the groups' own
+    ``n`` smallest, so the sample of any selection by place, severity and
+    months comes exactly from the sketch, and sketches of several loads merge
+    by ``merge_sketches``.  A group holding a third of all rows is first cut
+    into parts by its hash, each keeping its own ``n``.  Store it once.
+    """
+    keyed = with_coordinates(df)
+    return _smallest(keyed.withColumn("sample_hash", sample_key(keyed, seed)), df.columns, n)
+
+
+def merge_sketches(sketches: DataFrame, n: int = MAP_SAMPLE_SIZE) -> DataFrame:
+    """One sketch from the rows of several (a union of ``points_sketch`` results of distinct rows)."""
+    return _smallest(sketches, [c for c in sketches.columns if c != "sample_hash"], n)
+
+
+def _smallest(keyed: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
+    salt, rank = free_name("salt", keyed.columns), free_name("rank", keyed.columns)
+    order = ["sample_hash", *columns]
+    part = Window.partitionBy(*SKETCH_GROUP, salt).orderBy(*order)
+    group = Window.partitionBy(*SKETCH_GROUP).orderBy(*order)
+    some = (keyed.withColumn(salt, F.pmod(F.xxhash64("sample_hash"), F.lit(SKETCH_SALTS)))
+            .withColumn(rank, F.row_number().over(part)).where(F.col(rank) <= n))
+    return some.withColumn(rank, F.row_number().over(group)).where(F.col(rank) <= n).drop(salt, rank)
+
+
+def points_from_sketch(selection: DataFrame, n: int = MAP_SAMPLE_SIZE, columns: Sequence[str] = HOTSPOT_COLUMNS) -> DataFrame:
+    """``hotspot_points`` of a selection of whole sketch groups (places, severities, whole months), read from the sketch."""
+    order = ["sample_hash", *[c for c in selection.columns if c != "sample_hash"]]
+    return selection.orderBy(*order).limit(n).select(*[c for c in columns if c in selection.columns])
+
+
 def grid_cells(step: float = 0.5) -> dict[str, Column]:
     """Integer cell indices of a ``step``-degree grid (NULL without a coordinate)."""
     s = F.lit(float(step))

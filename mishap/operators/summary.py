@@ -139,3 +139,34 @@ def dataset_info(df: DataFrame, approximate: bool = False) -> DataFrame:
     distinct = (F.approx_count_distinct("city") if approximate else F.count_distinct("city"))
     return df.agg(F.count(F.lit(1)).alias("total_records"), distinct.alias("cities"),
                   F.min("date").alias("min_date"), F.max("date").alias("max_date"))
+
+
+HLL_LOG_SIZE = 14
+"""Registers of a distinct-count sketch: 2^14, a standard error of 0.8 %."""
+
+
+def city_sketches(df: DataFrame) -> DataFrame:
+    """Per date its rows and a HyperLogLog sketch of its cities; small, stored once, mergeable over dates and loads."""
+    named = F.concat(F.lit("="), "city")                 # sketches leave out empty texts, but a blank city is a city
+    return df.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(named, F.lit(HLL_LOG_SIZE)).alias("cities"))
+
+
+def merge_city_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch a date from those of several loads of distinct rows."""
+    return sketches.groupBy("date").agg(F.sum("n").alias("n"), F.hll_union_agg("cities").alias("cities"))
+
+
+def cities_between(sketches: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Rows and distinct cities of any date range (open at either end), from the sketches alone.
+
+    The number of cities is an estimate (exact forms: ``dataset_info``); no
+    date in the range gives zeros and NULL dates.
+    """
+    found = sketches
+    if first is not None:
+        found = found.where(F.col("date") >= F.lit(first).cast("date"))
+    if last is not None:
+        found = found.where(F.col("date") <= F.lit(last).cast("date"))
+    return found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
+                     F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("cities")), F.lit(0)).alias("cities"),
+                     F.min("date").alias("min_date"), F.max("date").alias("max_date"))

@@ -17,6 +17,7 @@ first.  The map sample (a row-level top-k), the map grid and the explorer
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from mishap.operators.summary import (
     SUMMARY_SETS, dataset_info, dimension_counts, insights, insights_from_summary, kpis,
     kpis_from_summary, summary_from_counts,
 )
-from mishap.plans.materialize import store
+from mishap.plans.materialize import store_result
 
 DASHBOARD_SETS = SUMMARY_SETS + (
     ("severity", ("severity",)),
@@ -73,8 +74,9 @@ def _counts(c: DataFrame, dim: str, key: str, name: str = "count") -> DataFrame:
     return c.where((F.col("dim") == dim) & F.col(key).isNotNull()).select(key, F.col("n").alias(name))
 
 
-def dashboard_from_counts(c: DataFrame) -> dict[str, DataFrame]:
-    """The count-based dashboard tables rolled up from ``dashboard_counts``."""
+def dashboard_from_counts(c: DataFrame, gathered: bool = False) -> dict[str, DataFrame]:
+    """The count-based dashboard tables rolled up from ``dashboard_counts`` (``gathered``: one partition)."""
+    sort_small = partial(A.sort_small, gathered=gathered)
     s = summary_from_counts(c)
     hours = _counts(c, "hour", "hour", "accident_count")
     day_night = (c.where(F.col("dim") == "hour")
@@ -86,14 +88,14 @@ def dashboard_from_counts(c: DataFrame) -> dict[str, DataFrame]:
         "city_top12": A.top_k(_counts(c, "city", "city", "accident_count"), TOP_CITIES_DASHBOARD,
                               "accident_count", "city"),
         "severity_filtered": _counts(c, "severity", "severity").orderBy(F.col("count").desc(), "severity"),
-        "monthly_trend_filtered": A.sort_small(
+        "monthly_trend_filtered": sort_small(
             _counts(c, "month_start", "month_start", "accident_count"), "month_start"),
-        "hourly_peaks": A.sort_small(hours.withColumn("is_peak", F.col("hour").isin(list(PEAK_HOURS))), "hour"),
+        "hourly_peaks": sort_small(hours.withColumn("is_peak", F.col("hour").isin(list(PEAK_HOURS))), "hour"),
         "by_weather_filtered": _counts(c, "weather_condition", "weather_condition").orderBy(
             F.col("count").desc(), "weather_condition"),
         "by_road_filtered": _counts(c, "road_condition", "road_condition").orderBy(
             F.col("count").desc(), "road_condition"),
-        "day_night_dashboard": A.sort_small(day_night, "period"),
+        "day_night_dashboard": sort_small(day_night, "period"),
     }
 
 
@@ -124,15 +126,15 @@ def dashboard(clean_df: DataFrame, fused: bool = True, step: float = 0.5,
               **selection_args) -> dict[str, DataFrame]:
     """Every dashboard table for one selection of the clean frame."""
     first = not selection_args or bool(selection_args.get("first_view"))
-    overview = store(table_overview(clean_df), "overview") if fused else None
+    overview = store_result(table_overview(clean_df), "overview")[0] if fused else None
     if first:
         view = opening_view(clean_df, overview) if fused else selection(clean_df, first_view=True)
     else:
         view = selection(clean_df, **selection_args)
     rows = {"hotspot_points": hotspot_points(view), "hotspot_grid": hotspot_grid(view, step), "explorer": explorer(view)}
     if fused:
-        counts = store(dashboard_counts(view), "dashboard")
-        return {**sidebar_from_overview(overview), **rows, **dashboard_from_counts(counts)}
+        counts = store_result(dashboard_counts(view), "dashboard")
+        return {**sidebar_from_overview(overview), **rows, **dashboard_from_counts(*counts)}
     return {
         "filter_options": filter_options(clean_df),
         "dataset_info": dataset_info(clean_df),

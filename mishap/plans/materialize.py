@@ -13,9 +13,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mishap.functions.columns import free_name
 from mishap.operators.cleaning import clean_rows, standardize_column_names
 from mishap.plans.sizing import load_width, plan_bytes
 from mishap.session import ensure_shared_dir
@@ -44,14 +45,6 @@ def drop_stored(spark: SparkSession) -> int:
     return len(paths)
 
 
-def free_name(wanted: str, taken: Sequence[str]) -> str:
-    """``wanted``, lengthened until no column of ``taken`` has it (Spark ignores case)."""
-    used = {c.lower() for c in taken}
-    while wanted.lower() in used:
-        wanted += "_"
-    return wanted
-
-
 def listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
     """(name, bytes, time) of the files at ``path``, from its own file system."""
     place, files = _file_system(spark, path)
@@ -91,6 +84,22 @@ def reread(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+# A stored result of at most so many rows is read as one partition.
+SMALL_ROWS = 100_000
+
+
+def store_result(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """``store`` for grouped results, their rows counted while they are written; also whether it is small.
+
+    A small one comes back as one partition, so that roll-ups and sorts of it
+    need no exchange and no sampling job; a larger one stays distributed.
+    """
+    rows = Observation()
+    back = reread(df, store_path(df.observe(rows, F.count(F.lit(1)).alias("rows")), name))
+    small = rows.get["rows"] <= SMALL_ROWS
+    return (back.coalesce(1) if small else back), small
+
+
 # How the clean table is laid out: year folders (pruned by date ranges), and
 # inside them files that each cover a narrow range of places and dates.
 CLEAN_PARTITIONS = ("year",)

@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 from mishap.operators import aggregates as A
 from mishap.operators import cleaning as C
 from mishap.operators import filters as Fl
-from mishap.operators.hotspots import hotspot_grid, hotspot_points
+from mishap.operators.hotspots import hotspot_grid, hotspot_points, points_from_sketch, points_sketch
 from mishap.operators.profile import head, profile
-from mishap.operators.summary import dataset_info, insights, kpis
+from mishap.operators.summary import (
+    cities_between, city_sketches, dataset_info, insights, kpis, kpis_from_summary, summary_from_counts,
+)
 from mishap.plans import sql as Q
 from mishap.plans.dashboard import dashboard_counts, dashboard_from_counts, sidebar_from_overview, table_overview
+from mishap.plans.ledger import counts_from_report, fingerprints, merged_overview, merged_report, partials, unseen
 from mishap.plans.materialize import drop, listing, load, new_path, store_clean_path
 from mishap.plans.report import SUMMARY_TABLES, report_from_fused, report_grouping_sets, summary_tables
 from mishap.session import ensure_shared_dir
@@ -131,6 +134,22 @@ def raw_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(raw(spark, sf_dir))
 
 
+def _two_loads(name: str) -> Query:
+    """The partial aggregates of two overlapping loads that hold the whole table together."""
+    def both(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = raw(spark, sf_dir)
+        first, second = source.where("id % 3 <> 0"), source.where("id % 3 <> 1")
+        new = unseen(second, fingerprints(first))
+        return partials(C.clean(first))[name].unionByName(partials(C.clean(new))[name])
+    return both
+
+
+def merged_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headline figures of the whole table from two loads' partial aggregates."""
+    fused = merged_report(_two_loads("report")(spark, sf_dir))
+    return kpis_from_summary(summary_from_counts(counts_from_report(fused)))
+
+
 def view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free-form SQL over the registered view (Q0)."""
     name = Q.register_view(clean_table(spark, sf_dir))
@@ -230,6 +249,15 @@ QUERIES: dict[str, Query] = {
     **{f"report_{name}": _report(name) for name in REPORTS},
     **{f"summary_{name}": _summary(name) for name in SUMMARY_TABLES},
     **{f"dashboard_{name}": _dashboard(name) for name in DASHBOARD_TABLES},
+    # figures kept up to date as loads arrive
+    "merged_report": lambda spark, sf_dir: merged_report(_two_loads("report")(spark, sf_dir)),
+    "merged_kpis": merged_kpis,
+    "merged_dataset_info": lambda spark, sf_dir: sidebar_from_overview(
+        merged_overview(_two_loads("overview")(spark, sf_dir)))["dataset_info"],
+    # a stored sample and stored sketches, asked instead of the rows
+    "sketched_points": lambda spark, sf_dir: points_from_sketch(
+        Fl.default_view(points_sketch(prepared_serving(spark, sf_dir)))),
+    "sketched_cities": lambda spark, sf_dir: cities_between(city_sketches(clean_table(spark, sf_dir)), *FILTER_DATES),
     "sidebar_filter_options": _sidebar("filter_options"),
     "sidebar_dataset_info": _sidebar("dataset_info"),
 }

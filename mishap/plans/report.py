@@ -10,6 +10,8 @@ never from averages.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from mishap.constants import HIGH, SEVERITY_LEVELS, TOP_AREAS, TOP_CITIES, TOP_H
 from mishap.functions.columns import period
 from mishap.operators import aggregates as A
 from mishap.plans import sql as Q
-from mishap.plans.materialize import store
+from mishap.plans.materialize import store_result
 
 REPORT_KEYS = ("city", "severity", "hour", "weather_condition", "road_condition", "month_year", "year")
 # (label, grouped columns) of the fused aggregate
@@ -60,8 +62,10 @@ def _roll(fused: DataFrame, name: str, key, alias: str = "count") -> DataFrame:
     return _set(fused, name).groupBy(key).agg(F.sum("accidents").alias(alias))
 
 
-def report_from_fused(fused: DataFrame) -> dict[str, DataFrame]:
-    """Every report as a roll-up of the fused table (same results as the operators)."""
+def report_from_fused(fused: DataFrame, gathered: bool = False) -> dict[str, DataFrame]:
+    """Every report as a roll-up of the fused table (same results as the operators);
+    ``gathered``: the table is read as one partition."""
+    sort_small = partial(A.sort_small, gathered=gathered)
     cs = _set(fused, "city_severity")
     by_city = cs.groupBy("city").agg(F.sum("accidents").alias("accident_count"))
     areas = A.with_other(cs.groupBy("city").agg(
@@ -81,25 +85,25 @@ def report_from_fused(fused: DataFrame) -> dict[str, DataFrame]:
     return {
         "by_city": A.top_k(by_city, TOP_CITIES, "accident_count", "city"),
         "top_areas": A.top_k(areas, TOP_AREAS, "total", "city"),
-        "by_hour": A.sort_small(by_hour, F.col("hour").asc_nulls_first()),
-        "day_night": A.sort_small(hours.groupBy(period("hour").alias("period"))
+        "by_hour": sort_small(by_hour, F.col("hour").asc_nulls_first()),
+        "day_night": sort_small(hours.groupBy(period("hour").alias("period"))
                                   .agg(F.sum("accidents").alias("count")), "period"),
         "by_weather": A.with_share(_roll(fused, "weather_severity", "weather_condition")).orderBy(
             F.col("count").desc(), F.col("weather_condition").asc_nulls_first()),
         "severity_distribution": A.with_share(_roll(fused, "weather_severity", "severity")).orderBy(
             F.col("count").desc(), F.col("severity").asc_nulls_first()),
-        "monthly_trend": A.sort_small(months.select(F.try_to_date("month_year", "yyyy-MM").alias("month_start"),
+        "monthly_trend": sort_small(months.select(F.try_to_date("month_year", "yyyy-MM").alias("month_start"),
                                                     "accident_count"), F.col("month_start").asc_nulls_first()),
         "peak_hours": A.top_k(hours.select("hour", F.col("accidents").alias("count")),
                               TOP_PEAK_HOURS, "count", "hour"),
         "by_road": _set(fused, "road").select("road_condition", F.col("accidents").alias("count")).orderBy(
             F.col("count").desc(), F.col("road_condition").asc_nulls_first()),
-        "yearly": A.sort_small(yearly, F.col("year").asc_nulls_first()),
+        "yearly": sort_small(yearly, F.col("year").asc_nulls_first()),
         "high_severity_by_city": A.top_k(high_city, TOP_HIGH_SEVERITY_CITIES, "high_severity_count", "city"),
         "weather_severity_cross": _set(fused, "weather_severity").select(
             "weather_condition", "severity", F.col("accidents").alias("count")).orderBy(
             F.col("weather_condition").asc_nulls_first(), F.col("severity").asc_nulls_first()),
-        "monthly_high": A.sort_small(ms, F.col("month_year").asc_nulls_first()),
+        "monthly_high": sort_small(ms, F.col("month_year").asc_nulls_first()),
     }
 
 
@@ -111,7 +115,7 @@ def run_report(clean_df: DataFrame, fused: bool = False) -> dict[str, DataFrame]
     stored in the shared folder, and every result rolled up from it.
     """
     if fused:
-        return report_from_fused(store(report_grouping_sets(clean_df), "report"))
+        return report_from_fused(*store_result(report_grouping_sets(clean_df), "report"))
     return {
         "by_city": A.accidents_by_city(clean_df),
         "top_areas": A.top_accident_prone_areas(clean_df),

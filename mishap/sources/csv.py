@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mishap.functions.columns import free_name
 from mishap.operators.cleaning import standardize_column_names
-from mishap.plans.materialize import free_name
 from mishap.sources.records import csv_records, has_open_lines
 
 MALFORMED = "_malformed_line"

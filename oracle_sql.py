@@ -226,6 +226,16 @@ _NONE = ",\nnone AS (SELECT * FROM serving WHERE city = 'No Such City')"
 ORACLE["kpis_empty"] = _w(ORACLE["kpis"].rpartition("\n")[2], _NONE + _summary("none"))
 ORACLE["insights_empty"] = _w(_INSIGHTS, _NONE + _summary("none"))
 
+# Figures merged from loads, and asked of stored sketches, equal those of the rows.
+ORACLE |= {
+    "merged_report": ORACLE["report_grouping_sets"],
+    "merged_kpis": _w(ORACLE["kpis"].rpartition("\n")[2], _summary("clean")),
+    "merged_dataset_info": ORACLE["dataset_info"],
+    "sketched_points": ORACLE["hotspot_points"],
+    "sketched_cities": _w(f"SELECT count(*) AS total_records, count(DISTINCT city) AS cities, min(date) AS min_date, "
+                          f"max(date) AS max_date FROM clean WHERE date BETWEEN DATE '{FILTER_DATES[0]}' AND DATE '{FILTER_DATES[1]}'"),
+}
+
 # The fused report, the summary tables and the fused dashboard give the operators' results.
 ORACLE |= {f"report_{name}": ORACLE[name] for name in REPORTS}
 ORACLE |= {f"dashboard_{name}": ORACLE[name] for name in DASHBOARD_TABLES}
