@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Mapping
@@ -95,6 +96,9 @@ def _luhn(digits: str) -> int:
     return -total % 10
 
 
+_WORD = re.compile(r"\w+")
+
+
 def _script(word: str) -> str:
     first = word[0].lower()
     return "cyrillic" if "а" <= first <= "ё" or "Ѐ" <= word[0] <= "ӿ" else "greek" if "Ͱ" <= word[0] <= "Ͽ" else "latin"
@@ -143,11 +147,15 @@ def detect(text: str) -> list[Entity]:
             continue
         found.append(Entity(m.start(kind), m.end(kind), "secret" if kind == "access" else kind, value))
     if surnames:
-        again = re.compile(r"\b(?:" + "|".join(map(re.escape, surnames)) + r")\b")
+        plain = all(_WORD.fullmatch(name) for name in surnames)      # then each mention is a whole word, found by lookup
+        again = _WORD if plain else re.compile(r"\b(?:" + "|".join(map(re.escape, surnames)) + r")\b")
         taken = sorted((e.start, e.end) for e in found)
+        starts = [a for a, _ in taken]
         for m in again.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b in taken):
-                found.append(Entity(m.start(), m.end(), surnames[m[0]], m[0].casefold()))
+            if m[0] in surnames:
+                before = bisect.bisect_left(starts, m.end()) - 1      # the last entity that starts before the mention's end
+                if before < 0 or taken[before][1] <= m.start():
+                    found.append(Entity(m.start(), m.end(), surnames[m[0]], m[0].casefold()))
     return sorted(found, key=lambda e: e.start)
 
 

@@ -112,3 +112,37 @@ def test_secrets_with_too_little_room_are_lengthened(spark):
     rows = [(k, f"token = .....{k}") for k in range(10)]      # every form of one digit is a real entity
     got = {r.text for r in S.with_surrogates(texts(spark, rows)).collect()}
     assert len(got) == 10 and not got & {t for _, t in rows}
+
+
+def test_mentions_in_long_texts_take_linear_time():
+    import time
+    names = ["Miller", "Baker", "Turner", "Mason"]
+
+    def text(n):
+        return " ".join(f"Dear Mr. {names[k % 4]}{chr(97 + k % 26)}, {names[k % 4]}{chr(97 + k % 26)} wrote about {k}." for k in range(n))
+
+    def seconds(body):
+        start = time.process_time()
+        found = S.detect(body)
+        return time.process_time() - start, len(found)
+
+    short, long = text(6000), text(48000)
+    (small, n), (large, m) = seconds(short), seconds(long)
+    assert n == 2 * 6000 and m == 2 * 48000
+    assert large < 30 * max(small, 0.05)                 # eight times the text; a quadratic search takes 64 times as long
+
+
+def test_mentions_equal_a_plain_search():
+    import random
+    rng = random.Random(4)
+    for _ in range(200):
+        words = [rng.choice(["Mr. Miller", "Mrs. Anna Baker", "Dr. Smith", "Miller", "Baker", "Smith", "Millers", "a-Smith-b", "x@Baker.org", "and"])
+                 for _ in range(rng.randint(0, 14))]
+        text = " ".join(words)
+        found = S.detect(text)
+        spans = [(e.start, e.end) for e in found]
+        assert spans == sorted(spans) and all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+        names = {text[e.start:e.end] for e in found if e.kind.startswith("surname")}
+        for name in names:
+            for m in re.finditer(rf"\b{name}\b", text):
+                assert any(a < m.end() and m.start() < b for a, b in spans)
