@@ -129,7 +129,7 @@ def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     kind = F.coalesce(F.col("page_id") % 50, F.lit(0))
-    changed = F.when(kind == 7, F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
+    changed = F.when(kind == 7, F.concat(F.lit("#"), F.coalesce(F.expr("substring(html, 2)"), F.lit("")))).otherwise(F.col("html"))
     record = warc_record(F.col("url"), changed)
     both = store(archive(pages, carry={"copy_length": F.octet_length(record).cast("long"), "lost": kind == 11,
                                        "copy_digest": F.sha2(record.cast("binary"), 256)}), "warc-replicas")

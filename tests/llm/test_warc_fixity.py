@@ -51,3 +51,10 @@ def test_archive_of_odd_pages(spark):
     assert [r.offset for r in got] == [0, *[sum(x.length for x in got[:k]) for k in (1, 2, 3)]]
     assert got[1].length == len("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: u\r\nContent-Length: 5\r\n\r\né<p>\r\n\r\n".encode())
     assert W.archive(pages.limit(0)).count() == 0
+
+
+def test_a_damaged_null_page_is_reported(spark, tmp_path):
+    pages = spark.createDataFrame([(7, "u", None), (57, None, ""), (8, "v", None), (11, "w", None)], "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = {(r.page_id, r.status) for r in W.op2_warc_fixity(spark, str(tmp_path)).collect()}
+    assert got == {(7, "corrupt"), (57, "corrupt"), (11, "missing")}
