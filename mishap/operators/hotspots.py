@@ -11,6 +11,7 @@ left for the top-k.  Exact, whatever the hashes are.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,3 +129,57 @@ def hotspot_grid(df: DataFrame, step: float = 0.5) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("incidents"),
                  F.count_if(F.col("severity") == HIGH).alias("high_incidents")))
     return with_cell_centers(grid, step)
+
+
+FINEST_STEP = 1 / 128
+"""Degrees of a pyramid's finest cells: a power of two, as every coarser step of it is."""
+CELL_BITS = 31
+
+
+def _spread(bits: Column) -> Column:
+    """A number's lower 31 bits with a zero bit between any two."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask))
+    return bits
+
+
+def _gathered(bits: Column) -> Column:
+    """Every second bit of a number, from the lowest on: ``_spread`` undone."""
+    bits = bits.bitwiseAND(F.lit(0x5555555555555555))
+    for shift, mask in ((1, 0x3333333333333333), (2, 0x0F0F0F0F0F0F0F0F), (4, 0x00FF00FF00FF00FF),
+                        (8, 0x0000FFFF0000FFFF), (16, 0x00000000FFFFFFFF)):
+        bits = bits.bitwiseOR(F.shiftright(bits, shift)).bitwiseAND(F.lit(mask))
+    return bits
+
+
+def grid_pyramid(df: DataFrame, step: float = FINEST_STEP) -> DataFrame:
+    """M3 at any zoom: incidents and High incidents by the Z-order key of their finest cell.
+
+    A key interleaves the bits of both cell numbers, so the key of the cell
+    twice as wide is the same without its last two bits: one stored table, a
+    row for each finest cell that has rows, gives every coarser grid
+    (``grid_from_pyramid``), and the tables of several loads add up by union.
+    Coordinates of over 2^30 cells from zero, which no place has, are counted
+    under a NULL key.
+    """
+    cells = grid_cells(step)
+    middle = 1 << (CELL_BITS - 1)
+    inside = (F.abs(cells["cell_lat"]) < middle) & (F.abs(cells["cell_lon"]) < middle)
+    key = _spread(cells["cell_lat"] + middle).bitwiseOR(F.shiftleft(_spread(cells["cell_lon"] + middle), 1))
+    return (with_coordinates(df).groupBy(F.when(inside, key).alias("cell"))
+            .agg(F.count(F.lit(1)).alias("incidents"), F.count_if(F.col("severity") == HIGH).alias("high_incidents")))
+
+
+def grid_from_pyramid(pyramid: DataFrame, step: float, finest: float = FINEST_STEP) -> DataFrame:
+    """``hotspot_grid`` of a ``step`` that is the finest one times a power of two, from the stored cells alone."""
+    level = math.log2(step / finest)
+    if level < 0 or level >= CELL_BITS or level != int(level):
+        raise ValueError(f"step {step} is not {finest} times a power of two")
+    level = int(level)
+    middle = 1 << (CELL_BITS - 1 - level)
+    sums = (pyramid.where(F.col("cell").isNotNull()).groupBy(F.shiftright("cell", 2 * level).alias("cell"))
+            .agg(F.sum("incidents").alias("incidents"), F.sum("high_incidents").alias("high_incidents")))
+    grid = sums.select((_gathered(F.col("cell")) - middle).alias("cell_lat"),
+                       (_gathered(F.shiftright("cell", 1)) - middle).alias("cell_lon"), "incidents", "high_incidents")
+    return with_cell_centers(grid, step)

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from mishap.operators import aggregates as A
 from mishap.operators import cleaning as C
 from mishap.operators import filters as Fl
-from mishap.operators.hotspots import hotspot_grid, hotspot_points, points_from_sketch, points_sketch
+from mishap.operators.hotspots import (
+    grid_from_pyramid, grid_pyramid, hotspot_grid, hotspot_points, points_from_sketch, points_sketch,
+)
 from mishap.operators.profile import head, profile
 from mishap.operators.summary import (
     cities_between, city_sketches, dataset_info, insights, kpis, kpis_from_summary, summary_from_counts,
@@ -257,6 +259,8 @@ QUERIES: dict[str, Query] = {
     # a stored sample and stored sketches, asked instead of the rows
     "sketched_points": lambda spark, sf_dir: points_from_sketch(
         Fl.default_view(points_sketch(prepared_serving(spark, sf_dir)))),
+    "pyramid_grid": lambda spark, sf_dir: grid_from_pyramid(grid_pyramid(prepared_serving(spark, sf_dir)), 0.5),
+    "pyramid_grid_coarse": lambda spark, sf_dir: grid_from_pyramid(grid_pyramid(prepared_serving(spark, sf_dir)), 16.0),
     "sketched_cities": lambda spark, sf_dir: cities_between(city_sketches(clean_table(spark, sf_dir)), *FILTER_DATES),
     "sidebar_filter_options": _sidebar("filter_options"),
     "sidebar_dataset_info": _sidebar("dataset_info"),

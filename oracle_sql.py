@@ -131,7 +131,17 @@ _INSIGHTS = "\nUNION ALL ".join([
     "SELECT 'avg_vehicles', NULL, avg_vehicles FROM s",
 ])
 
-_STEP = "CAST(0.5 AS DOUBLE)"
+
+def _grid(src: str, step: str) -> str:
+    step = f"CAST({step} AS DOUBLE)"
+    return _w(f"""SELECT cell_lat, cell_lon, count(*) AS incidents,
+                    count(*) FILTER (WHERE severity = 'High') AS high_incidents,
+                    (cell_lat + 0.5) * {step} AS lat_center, (cell_lon + 0.5) * {step} AS lon_center
+                  FROM (SELECT *, CAST(floor(latitude / {step}) AS BIGINT) AS cell_lat,
+                                  CAST(floor(longitude / {step}) AS BIGINT) AS cell_lon
+                        FROM {src} WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
+                  GROUP BY cell_lat, cell_lon""")
+
 
 _REPORT = """
 SELECT CASE WHEN grouping(city) = 0 THEN 'city_severity' WHEN grouping(hour) = 0 THEN 'hour'
@@ -200,13 +210,7 @@ ORACLE: dict[str, str] = {
     "kpis": _w(f"SELECT total, top_city, top_city_count, top_weather, {_PCT.format(p='high')} AS high_pct, "
                "peak_hour, printf('%02d:00', peak_hour) AS peak_hour_label FROM s", _summary("dv")),
     "insights": _w(_INSIGHTS, _summary("dv")),
-    "hotspot_grid": _w(f"""SELECT cell_lat, cell_lon, count(*) AS incidents,
-                             count(*) FILTER (WHERE severity = 'High') AS high_incidents,
-                             (cell_lat + 0.5) * {_STEP} AS lat_center, (cell_lon + 0.5) * {_STEP} AS lon_center
-                           FROM (SELECT *, CAST(floor(latitude / {_STEP}) AS BIGINT) AS cell_lat,
-                                           CAST(floor(longitude / {_STEP}) AS BIGINT) AS cell_lon
-                                 FROM dv WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
-                           GROUP BY cell_lat, cell_lon"""),
+    "hotspot_grid": _grid("dv", "0.5"),
     "hotspot_points": _w("""SELECT latitude, longitude, severity, city, date, weather_condition FROM (
                               SELECT *, md5(concat_ws('|', '42', coalesce(CAST(id AS VARCHAR), ''), coalesce(city, ''),
                                        coalesce(time, ''), coalesce(severity, ''),
@@ -232,6 +236,8 @@ ORACLE |= {
     "merged_kpis": _w(ORACLE["kpis"].rpartition("\n")[2], _summary("clean")),
     "merged_dataset_info": ORACLE["dataset_info"],
     "sketched_points": ORACLE["hotspot_points"],
+    "pyramid_grid": _grid("serving", "0.5"),
+    "pyramid_grid_coarse": _grid("serving", "16"),
     "sketched_cities": _w(f"SELECT count(*) AS total_records, count(DISTINCT city) AS cities, min(date) AS min_date, "
                           f"max(date) AS max_date FROM clean WHERE date BETWEEN DATE '{FILTER_DATES[0]}' AND DATE '{FILTER_DATES[1]}'"),
 }

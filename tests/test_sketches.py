@@ -1,10 +1,11 @@
 """Stored sketches answer as the rows do: the map sample exactly, distinct counts within their error."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from mishap.operators.cleaning import serving_frame
 from mishap.operators.filters import apply_filters, default_view
-from mishap.operators.hotspots import hotspot_points, merge_sketches, points_from_sketch, points_sketch
+from mishap.operators.hotspots import grid_from_pyramid, grid_pyramid, hotspot_grid, hotspot_points, merge_sketches, points_from_sketch, points_sketch
 from mishap.operators.summary import cities_between, city_sketches, merge_city_sketches
 from mishap.plans.materialize import store
 
@@ -59,3 +60,23 @@ def test_error_and_merging_of_many_cities(spark):
     two = cities_between(merge_city_sketches(halves[0].unionByName(halves[1]))).first()
     for found in (one, two):
         assert found.total_records == 200_000 and abs(found.cities - 60_000) < 0.02 * 60_000
+
+
+def test_one_pyramid_gives_every_zoom(spark, stored_clean):
+    pyramid = store(grid_pyramid(stored_clean), "pyramid")
+    for step in (1 / 128, 1 / 16, 0.5, 1.0, 8.0, 64.0, 1024.0):
+        got = grid_from_pyramid(pyramid, step)
+        want = hotspot_grid(stored_clean, step)
+        assert got.columns == want.columns and rows(got) == rows(want)
+    with pytest.raises(ValueError):
+        grid_from_pyramid(pyramid, 0.3)
+
+
+def test_pyramid_of_odd_coordinates(spark):
+    points = [(0.0, 0.0), (-0.001, 0.001), (89.9, -180.0), (-90.0, 180.0), (-0.0078125, 0.0078125), (1e12, 5.0), (3.0, None)]
+    frame = spark.createDataFrame([(a, b, "High") for a, b in points], "latitude float, longitude float, severity string")
+    pyramid = grid_pyramid(frame)
+    assert pyramid.where("cell is null").first().incidents == 1 and pyramid.agg(F.sum("incidents")).first()[0] == 6
+    usual = frame.where("latitude < 1000")
+    for step in (1 / 128, 0.25, 32.0):
+        assert rows(grid_from_pyramid(pyramid, step)) == rows(hotspot_grid(usual, step))
