@@ -11,7 +11,7 @@ and no local checkpoint is ever used.  Folders stay until ``drop`` or
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,10 +56,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_shared_dir(spark).rstrip('/')}/mishap/{name}-{uuid.uuid4().hex}"
 
 
-def store_path(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
+def store_path(df: DataFrame, name: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> str:
     """Write ``df`` as Parquet under a fresh folder of the shared folder; return the path."""
     path = new_path(df.sparkSession, name)
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("errorifexists").options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     _WRITTEN.append(path)
@@ -104,6 +104,15 @@ def store_result(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
 # inside them files that each cover a narrow range of places and dates.
 CLEAN_PARTITIONS = ("year",)
 CLEAN_CLUSTERING = ("city", "date")
+# Looked up by single values (F1, F8): a Bloom filter in each row group skips it where its range would not.
+POINT_COLUMNS = ("city", "id")
+
+
+def point_filters(df: DataFrame) -> dict[str, str]:
+    """Parquet writer options for Bloom filters on the columns that point filters name (sized by their values)."""
+    named = [c for c in POINT_COLUMNS if c in df.columns]
+    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in named}
+    return options | ({"parquet.bloom.filter.adaptive.enabled": "true"} if named else {})
 
 
 def laid_out(clean_df: DataFrame, width: int | None = None, partition_by: Sequence[str] = CLEAN_PARTITIONS,
@@ -213,4 +222,4 @@ def store_clean_path(clean_df: DataFrame, name: str = "clean", source: DataFrame
     parts = tuple(c for c in CLEAN_PARTITIONS if c in clean_df.columns)
     with load_width(clean_df) as width:
         dealt = dealt_out(clean_df, source, width, parts)
-        return store_path(dealt, name, parts)
+        return store_path(dealt, name, parts, point_filters(clean_df))

@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from mishap.operators.filters import explorer
-from mishap.plans.materialize import dealt_out
+from mishap.plans.materialize import dealt_out, point_filters
 from mishap.plans.sizing import load_width
 
 
@@ -52,5 +52,7 @@ def write_clean(clean_df: DataFrame, path: str, fmt: str = "parquet", partition_
             writer = writer.partitionBy(*folders)
         if fmt == "csv":
             writer = writer.option("header", True).option("escape", '"')
+        elif fmt == "parquet":
+            writer = writer.options(**point_filters(clean_df))
         writer.format(fmt).save(path)
     return path

@@ -94,3 +94,26 @@ def test_null_keys_few_rows_and_none(spark, always):
     empty = spark.createDataFrame([], schema)
     assert range_bounds(empty, 8, ["year", "city", "date", "id"]) is None
     assert store_clean(clean(empty), "none", empty).count() == 0
+
+
+def rows_read(frame):
+    """Rows that the scan under a filter gave up."""
+    frame.collect()
+    scan = frame._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def test_point_filters_skip_row_groups(spark):
+    """Every row group spans nearly all ids and cities; Bloom filters tell which hold a value, ranges can't."""
+    from mishap.plans.materialize import load, point_filters, store_path
+    rows = spark.range(0, 200_000, 2).select(
+        "id", F.concat(F.lit("Place "), F.pmod(F.xxhash64("id"), F.lit(50_000))).alias("city"), F.to_date(F.lit("2022-01-01")).alias("date"))
+    dealt = rows.repartition(8, "id")
+    plain, filtered = (load(spark, store_path(dealt, name, options=options))
+                       for name, options in (("plain", None), ("bloom", point_filters(rows))))
+    absent, there = F.col("id") == 100_001, F.col("id") == 100_000
+    assert rows_read(plain.where(absent)) == 100_000 and rows_read(filtered.where(absent)) <= 25_000
+    assert rows_read(filtered.where(there)) <= 40_000 and filtered.where(there).count() == 1
+    place = F.col("city") == "Place 17"
+    assert filtered.where(place).count() == plain.where(place).count()
+    assert rows_read(filtered.where(place)) < rows_read(plain.where(place))
