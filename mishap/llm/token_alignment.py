@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +21,8 @@ from mishap.llm.sentencepieces import MARK, MODEL, Pieces, pieces_of
 
 VOCABULARY = "byte_bpe_50k.json"
 CHUNK_BYTES = 1024 * 1024
+PIECE_TOKENS = 1_000_000
+"""Tokens are aligned in pieces of whole parts; a piece ends with the part that takes it over so many A tokens."""
 BLOCK_DOCS, BLOCK_BYTES = 8192, 8 * 1024 * 1024
 """A block holds the pairs of so many documents and bytes of text at most (or of one document)."""
 
@@ -44,23 +46,25 @@ class Pair:
             slow.encode_special_tokens = True
             return np.array(slow.encode(text, add_special_tokens=False).ids, np.int64)
 
-    def tokens(self, data: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    def _part(self, data: np.ndarray, at: int, to: int) -> tuple[bytes, bytes]:
+        """The bytes that A encodes and those that B does (with its mark for a space) of a part of a text."""
+        whole = data[at:to].tobytes() if at else b" " + data[at:to].tobytes()
+        return whole, self.b.normalise(data[at:to], at == 0, to == len(data)).data.tobytes()
+
+    def tokens(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """A and B ids of a text, part by part; none if either tokenizer's bytes differ from space and text.
 
         Parts of a very long text are cut before a single space between ASCII
         letters or digits, where tokens of both end.
         """
-        found = []
-        for at, to in self.b.parts(data) if len(data) else ():
-            whole = data[at:to].tobytes() if at else b" " + data[at:to].tobytes()
-            normal = self.b.normalise(data[at:to], at == 0, to == len(data)).data.tobytes()
-            if normal.replace(MARK.encode(), b" ") != whole:
-                return []
-            a, b = self._a_ids(whole.decode("utf-8", "replace")), self.b.ids(normal.decode("utf-8", "replace"))
-            if self.a_length[a].sum() != len(whole) or self.b_length[b].sum() != len(whole):
-                return []
-            found.append((a, b.astype(np.int64)))
-        return found
+        parts = list(self.b.parts(data)) if len(data) else []
+        mark = MARK.encode()
+        if len(parts) > 1 and any(normal.replace(mark, b" ") != whole for whole, normal in (self._part(data, *p) for p in parts)):
+            return
+        for at, to in parts:
+            whole, normal = self._part(data, at, to)
+            if normal.replace(mark, b" ") == whole:
+                yield self._a_ids(whole.decode("utf-8", "replace")), self.b.ids(normal.decode("utf-8", "replace")).astype(np.int64)
 
 
 def _separated(size: int, mark: bytes) -> np.ndarray:
@@ -113,8 +117,8 @@ class Aligned:
         b = np.repeat(np.arange(len(self.b)), n)
         return np.arange(len(b)) - np.repeat(np.cumsum(n) - n - self.low, n), b
 
-    def written(self, texts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """All tokens' ids with their separators in reading order (A before B in a group), and the B tokens' places."""
+    def written(self, texts: Sequence[np.ndarray]) -> np.ndarray:
+        """All tokens' ids with their separators in reading order (A before B in a group)."""
         groups = int(self.b_group[-1]) + 1 if len(self.b) else 0
         first_b = np.searchsorted(self.b_group, np.arange(groups))
         after_a = np.searchsorted(self.a_group, np.arange(groups), "right")
@@ -125,19 +129,35 @@ class Aligned:
         for at, ids, opens, (one, more) in ((at_a, self.a, opens_a, texts[:2]), (at_b, self.b, opens_b, texts[2:])):
             out[at[opens]] = one[ids[opens]]
             out[at[~opens]] = more[ids[~opens]]
-        return out, at_b
+        return out
 
 
-def _texts_of(pair: Pair, batch: pa.RecordBatch, column: int):
-    """The texts' parts: of which row each is, where its tokens start, and all tokens aligned."""
+def _texts_of(pair: Pair, batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, list[np.ndarray], Aligned]]:
+    """The texts' parts in pieces of bounded size: of which row each is, where its tokens start, and all tokens aligned."""
     data, offsets = text_buffers(batch.column(column))
-    parts = [(row, p) for row, (i, k) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)) for p in pair.tokens(data[i:k])]
     none = np.zeros(0, np.int64)
-    aligned = Aligned.of(np.concatenate([none, *[p[0] for _, p in parts]]), np.concatenate([none, *[p[1] for _, p in parts]]),
-                         pair.a_length, pair.b_length)
-    home = np.array([row for row, _ in parts], np.int64)
-    starts = [np.cumsum([0, *[len(p[k]) for _, p in parts]]) for k in (0, 1)]
-    return home, starts, aligned
+
+    def piece() -> tuple[np.ndarray, list[np.ndarray], Aligned]:
+        aligned = Aligned.of(np.concatenate([none, *[p[0] for _, p in parts]]), np.concatenate([none, *[p[1] for _, p in parts]]),
+                             pair.a_length, pair.b_length)
+        starts = [np.cumsum([0, *[len(p[k]) for _, p in parts]]) for k in (0, 1)]
+        return np.array([row for row, _ in parts], np.int64), starts, aligned
+
+    parts, held = [], 0
+    for row, (i, k) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+        for p in pair.tokens(data[i:k]):
+            parts.append((row, p))
+            held += len(p[0])
+            if held > PIECE_TOKENS:
+                yield piece()
+                parts, held = [], 0
+    yield piece()
+
+
+def _first_of(home: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each run of equal rows: how many groups come before it, and its length."""
+    opens = np.flatnonzero(np.concatenate([[True], home[1:] != home[:-1]])[:len(home)])
+    return (np.cumsum(number) - number)[opens], np.diff(np.append(opens, len(home)))
 
 
 def _sums(values: np.ndarray, starts: np.ndarray, home: np.ndarray, rows: int) -> np.ndarray:
@@ -160,14 +180,23 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
     def run(batches: Batches) -> Batches:
         pair = pair_of(*paths)
         for b in chunks(batches, text, CHUNK_BYTES):
-            home, starts, found = _texts_of(pair, b, 1)
+            ids, groups, rows = [[], []], [[], []], [[], []]
+            seen = np.zeros(b.num_rows, np.int64)                  # groups of each text's parts so far
+            for home, starts, found in _texts_of(pair, b, 1):
+                for k, (own, group) in enumerate(((found.a, found.a_group), (found.b, found.b_group))):
+                    n = np.diff(starts[k])
+                    first = np.append(found.b_group, 0)[starts[1][:-1]]
+                    number = np.diff(np.append(first, found.b_group[-1] + 1 if len(found.b) else 0))
+                    after = np.cumsum(number) - number - np.repeat(*_first_of(home, number))
+                    ids[k].append(own)
+                    groups[k].append(group + np.repeat(seen[home] + after - first, n))
+                    rows[k].append(np.repeat(home, n))
+                seen += np.bincount(home, number, b.num_rows).astype(np.int64) if len(home) else 0
             columns = []
-            for k, (ids, group) in enumerate(((found.a, found.a_group), (found.b, found.b_group))):
-                n = _sums(np.ones(len(ids), np.int64), starts[k], home, b.num_rows)
-                ends = np.cumsum(np.concatenate([[0], n]))
-                base = np.repeat(np.where(n > 0, np.append(group, 0)[ends[:-1]], 0), n)
-                columns += [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(x.astype(np.int32)))
-                            for x in (ids, group - base)]
+            for k in (0, 1):
+                ends = np.cumsum(np.concatenate([[0], np.bincount(np.concatenate(rows[k]), minlength=b.num_rows)]))
+                columns += [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(x).astype(np.int32)))
+                            for x in (ids[k], groups[k])]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=schema.names)
 
     return map_batches(docs.select(key, text), run, schema)
@@ -201,24 +230,29 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
         made, held, parts, key_kind = 0, [0, 0], [], pa.null()
 
         def one(b: pa.RecordBatch) -> tuple:
-            home, (a_starts, b_starts), found = _texts_of(pair, b, 1)
             n = b.num_rows
-            n_a, n_b = (_sums(np.ones(len(x), np.int64), s, home, n) for x, s in ((found.a, a_starts), (found.b, b_starts)))
-            opens = np.concatenate([[1], found.b_group[1:] != found.b_group[:-1]])[:len(found.b)]
-            n_groups = _sums(opens, b_starts, home, n)
-            n_links = _sums(found.high - found.low + 1, b_starts, home, n)
-            a_at, b_at = found.links()
-            doc = np.repeat(home, np.diff(b_starts))[b_at] if len(home) else b_at
-            kinds, times = np.unique(doc * span + found.a[a_at] * size + found.b[b_at], return_counts=True)
-            out, at_b = found.written(pair.texts)
-            ends = a_starts + b_starts
-            digests: list = [None] * n
-            for row, i, k in zip(home.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                piece = b"".join(out[i:k].tolist())
-                if digests[row] is None:
-                    digests[row], piece = hashlib.sha256(), piece[1:]
-                digests[row].update(piece)
-            return (b.column(0).to_pylist(), n_a, n_b, n_groups, n_links, [d.hexdigest() if d else "" for d in digests],
+            figures = np.zeros((4, n), np.int64)
+            pairs, digests = [], [None] * n
+            for home, (a_starts, b_starts), found in _texts_of(pair, b, 1):
+                opens = np.concatenate([[1], found.b_group[1:] != found.b_group[:-1]])[:len(found.b)]
+                figures += [_sums(values, starts, home, n) for values, starts in (
+                    (np.ones(len(found.a), np.int64), a_starts), (np.ones(len(found.b), np.int64), b_starts), (opens, b_starts),
+                    (found.high - found.low + 1, b_starts))]
+                a_at, b_at = found.links()
+                doc = np.repeat(home, np.diff(b_starts))[b_at] if len(home) else b_at
+                pairs.append(np.unique(doc * span + found.a[a_at] * size + found.b[b_at], return_counts=True))
+                out = found.written(pair.texts)
+                ends = a_starts + b_starts
+                for row, i, k in zip(home.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                    piece = b"".join(out[i:k].tolist())
+                    if digests[row] is None:
+                        digests[row], piece = hashlib.sha256(), piece[1:]
+                    digests[row].update(piece)
+            kinds, times = pairs[0]
+            if len(pairs) > 1:                       # a text in several pieces: its pairs once
+                kinds, at = np.unique(np.concatenate([p[0] for p in pairs]), return_inverse=True)
+                times = np.bincount(at, np.concatenate([p[1] for p in pairs])).astype(np.int64)
+            return (b.column(0).to_pylist(), *figures, [d.hexdigest() if d else "" for d in digests],
                     np.bincount(kinds // span, minlength=n), kinds % span, times)
 
         def block() -> pa.RecordBatch:

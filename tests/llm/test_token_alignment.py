@@ -1,13 +1,16 @@
 import hashlib
 import json
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from helpers import SF, documents, texts
@@ -149,9 +152,11 @@ def test_parts_of_long_texts(monkeypatch):
     text = "Some words here, 12 of them.\n  More don't  spaces 字字 " * 60 + "end of it all " * 40
     data = np.frombuffer(text.encode(), np.uint8)
     whole, = pair.tokens(data)
+    assert list(pair.tokens(np.frombuffer((text + "▁").encode(), np.uint8))) == []
     monkeypatch.setattr(sentencepieces, "PART_BYTES", 100)
-    parts = pair.tokens(data)
+    parts = list(pair.tokens(data))
     assert len(parts) > 10
+    assert list(pair.tokens(np.frombuffer((text + "▁").encode(), np.uint8))) == []
     for k in (0, 1):
         assert np.concatenate([p[k] for p in parts]).tolist() == whole[k].tolist()
 
@@ -162,6 +167,33 @@ def test_odd_long_texts(text):
     assert a.tolist() == A.encode(" " + text, add_special_tokens=False).ids and b.tolist() == B.encode(text)
 
 
+def test_texts_in_many_pieces(monkeypatch):
+    """The same figures and groups whatever the pieces (run in this process, so that the sizes hold)."""
+    docs = [(1, "Some words here, 12 of them.\n  More don't  spaces 字字 " * 20 + "end of it all " * 20), (2, None), (3, "short one"),
+            (4, "x▁y"), (5, "another one of some words here " * 30)]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in docs]), pa.array([t for _, t in docs])], names=["doc_id", "text"])
+    monkeypatch.setattr(token_alignment, "map_batches", lambda df, fn, schema: [b for b in fn(iter([batch]))])
+
+    monkeypatch.setattr(token_alignment, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+
+    class Frame:
+        schema = {"doc_id": T.StructField("doc_id", T.LongType())}
+
+        def select(self, *names):
+            return self
+
+    def found():
+        blocks_, = token_alignment.blocks(Frame(), A_PATH, B_PATH)
+        aligned, = align(Frame())
+        return blocks_.to_pylist(), aligned.to_pylist()
+
+    whole = found()
+    monkeypatch.setattr(sentencepieces, "PART_BYTES", 100)
+    monkeypatch.setattr(token_alignment, "PIECE_TOKENS", 60)
+    assert found() == whole
+    assert [r["a_groups"] for r in whole[1]] == [[n for n, g in enumerate(groups(*tokens(t))) for _ in g[0]] for _, t in docs]
+
+
 def test_groups_of_tokens(spark):
     got = sorted((repr(r.doc_id), r.a_ids, r.a_groups, r.b_ids, r.b_groups) for r in align(texts(spark, ODD)).collect())
     want = []
