@@ -17,6 +17,7 @@ SHRINKAGE = 0.1
 """Weight of the pooled, then of the scaled unit covariance in each class's own."""
 THRESHOLD = 0.7
 CHUNK_BYTES = 1024 * 1024
+"""Text described at once; a longer text is counted in pieces of this size."""
 
 # Kinds of bytes that statistics count.
 _KIND = np.zeros(256, np.uint8)
@@ -52,10 +53,8 @@ def _repeats(hashes: np.ndarray, home: np.ndarray, docs: int) -> np.ndarray:
     return np.bincount(home[order][same], minlength=docs)
 
 
-def _weights(starts: np.ndarray, size: int) -> np.ndarray:
-    """Of every byte, by its place since the last of ``starts``; odd, and in no line, so that rearranged bytes differ."""
-    starts = np.concatenate([[0], starts])               # what stands before the first is a run of its own
-    since = np.arange(size) - np.repeat(starts, np.diff(np.concatenate([starts, [size]])))
+def _place_weights(since: np.ndarray) -> np.ndarray:
+    """Odd, and in no line over the places, so that rearranged bytes differ."""
     with np.errstate(over="ignore"):
         w = (since.astype(np.uint64) + np.uint64(1)) * _MIX
         w ^= w >> np.uint64(32)
@@ -63,6 +62,128 @@ def _weights(starts: np.ndarray, size: int) -> np.ndarray:
         return w ^ (w >> np.uint64(29)) | np.uint64(1)
 
 
+def _weights(starts: np.ndarray, size: int, before: int = 0) -> np.ndarray:
+    """Of every byte, by its place since the last of ``starts`` (``before`` places stand before the first byte)."""
+    starts = np.concatenate([[0], starts])               # what stands before the first is a run of its own
+    since = np.arange(size) - np.repeat(starts, np.diff(np.concatenate([starts, [size]])))
+    if before:
+        since[:starts[1] if len(starts) > 1 else size] += before
+    return _place_weights(since)
+
+
+def _byte_values(data: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        step = (data.astype(np.uint64) + np.uint64(1)) * _MIX
+        step ^= step >> np.uint64(29)
+        return step
+
+
+class _Runs:
+    """Runs of marked bytes (words, lines) of one text that is read in pieces; a run may span any number of them."""
+
+    def __init__(self) -> None:
+        self.open: list[np.ndarray] | None = None        # sums of the run that the last piece left open
+
+    def feed(self, mask: np.ndarray, step: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+        """Of every run that ends in this piece: hash, number of bytes, sums of ``counts``, and the byte after it."""
+        size = len(mask)
+        starts = np.flatnonzero(mask & np.concatenate([[self.open is None], ~mask[:-1]]))
+        stops = np.flatnonzero(~mask & np.concatenate([[self.open is not None], mask[:-1]]))
+        went_on = self.open is not None
+        weights = _weights(starts, size, int(self.open[1]) if went_on else 0)
+        begin, end = np.concatenate([[0], starts]) if went_on else starts, stops
+        if len(end) < len(begin):
+            end = np.concatenate([end, [size]])          # open at the piece's end
+        out = []
+        with np.errstate(over="ignore"):
+            for k, value in enumerate((step * weights, np.ones(size, np.int64), *counts)):
+                kind = np.uint64 if k == 0 else np.int64
+                total = np.concatenate([np.zeros(1, kind), np.cumsum(value, dtype=kind)])
+                part = total[end] - total[begin]
+                if went_on:
+                    part[0] += self.open[k]
+                out.append(part)
+        closed = len(stops)
+        self.open = [x[closed] for x in out] if len(begin) > closed else None
+        return [*(x[:closed] for x in out), stops]
+
+    def finish(self) -> list[np.ndarray]:
+        return [np.array([x]) for x in self.open] if self.open is not None else []
+
+
+class _Distinct:
+    """Number of different hashes, from sorted arrays that are merged as they grow alike."""
+
+    def __init__(self) -> None:
+        self.sorted: list[np.ndarray] = []
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.sorted.append(np.unique(hashes))
+        while len(self.sorted) > 1 and len(self.sorted[-2]) < 2 * len(self.sorted[-1]):
+            self._merge()
+
+    def _merge(self) -> None:
+        last = self.sorted.pop()
+        self.sorted[-1] = np.unique(np.concatenate([self.sorted[-1], last]))
+
+    def count(self) -> int:
+        while len(self.sorted) > 1:
+            self._merge()
+        return len(self.sorted[0]) if self.sorted else 0
+
+
+def long_statistics(data: np.ndarray, piece: int = CHUNK_BYTES) -> np.ndarray:
+    """The statistics of one text, equal to those of ``statistics``, from pieces: all it counts adds up.
+
+    Memory grows with the piece and the text's different words and lines only.
+    """
+    kinds, loud, words, lines, bare, marked = np.zeros(6, np.int64), 0, 0, 0, 0, 0
+    word_runs, line_runs, word_kinds, line_kinds = _Runs(), _Runs(), _Distinct(), _Distinct()
+    ending = _byte_values(np.array([13], np.uint8))[0]
+    before = 0                                           # the byte before the piece
+    for at in range(0, len(data), piece):
+        part = data[at:at + piece]
+        kind, step = _KIND[part], _byte_values(part)
+        kinds += np.bincount(kind, minlength=6)
+        loud += int((part == 33).sum())
+        found = word_runs.feed(kind != 1, step, (kind == 2) | (kind == 3), kind == 0)
+        ends = [found[:4]]
+        lined = line_runs.feed(part != 10, step)
+        hashes, size, stops = lined
+        last = np.where(stops > 0, part[stops - 1], before)
+        with np.errstate(over="ignore"):                 # a line's closing \r is no part of it
+            hashes = np.where(last == 13, hashes - ending * _place_weights(np.maximum(size - 1, 0)), hashes)
+        line_hashes = [hashes]
+        before = int(part[-1])
+        if at + piece >= len(data):
+            if left := word_runs.finish():
+                ends.append(left)
+            if left := line_runs.finish():
+                line_hashes.append(left[0])
+        for hashes, _, letters, odd in ends:
+            words, bare, marked = words + len(hashes), bare + int((letters == 0).sum()), marked + int((odd > 0).sum())
+            word_kinds.add(hashes)
+        for hashes in line_hashes:
+            lines += len(hashes)
+            line_kinds.add(hashes)
+    other, space, upper, lower, digit, mark = kinds
+    return _transformed(*(np.array([x], np.float64) for x in (
+        len(data), upper, lower, digit, mark, other, space, loud, words, bare, marked, words - word_kinds.count(),
+        lines, lines - line_kinds.count())))
+
+
+def _transformed(n, upper, lower, digit, mark, other, space, loud, words, bare, marked, again, lines, line_again) -> np.ndarray:
+    usual, by_word = _USUAL_BYTES, _USUAL_WORDS
+    return np.stack([
+        np.log(n + BYTES), _logit(upper, upper + lower, usual["capitals"], BYTES), _logit(digit, n, usual["digits"], BYTES),
+        _logit(mark, n, usual["punctuation"], BYTES), _logit(other, n, usual["symbols"], BYTES),
+        _logit(space, n, usual["spaces"], BYTES), np.log((n - space + 6 * WORDS) / (words + WORDS)),
+        _logit(bare, words, by_word["bare_words"], WORDS), _logit(marked, words, by_word["marked_words"], WORDS),
+        _logit(again, words, by_word["repeated_words"], WORDS), _logit(line_again, lines, 0.05, LINES),
+        np.log((words + 20 * LINES) / (lines + LINES)), _logit(loud, words, by_word["exclamations"], WORDS),
+    ], axis=1)
+
+
 def statistics(column: pa.Array) -> np.ndarray:
     """One row of transformed statistics for every whole text (a null text is empty)."""
     data, offsets = text_buffers(column)
@@ -92,9 +213,8 @@ def statistics(column: pa.Array) -> np.ndarray:
     bare = np.bincount(word_home[inside == 0], minlength=docs)
     odd = np.concatenate([[0], np.cumsum(kind == 0)])
     marked = np.bincount(word_home[odd[last + 1] > odd[first]], minlength=docs)
+    step = _byte_values(data)
     with np.errstate(over="ignore"):
-        step = (data.astype(np.uint64) + np.uint64(1)) * _MIX
-        step ^= step >> np.uint64(29)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(step * _weights(first, len(data)), dtype=np.uint64)])
     again = _repeats(sums[last + 1] - sums[first], word_home, docs)
     new = data == 10
@@ -112,15 +232,7 @@ def statistics(column: pa.Array) -> np.ndarray:
         bytes_ = np.concatenate([np.zeros(1, np.uint64), np.cumsum(step * _weights(begin, len(data)), dtype=np.uint64)])
         line_again = _repeats(bytes_[stop] - bytes_[begin], line_home, docs)
     loud = count(data == 33)
-    usual, by_word = _USUAL_BYTES, _USUAL_WORDS
-    return np.stack([
-        np.log(n + BYTES), _logit(upper, upper + lower, usual["capitals"], BYTES), _logit(digit, n, usual["digits"], BYTES),
-        _logit(mark, n, usual["punctuation"], BYTES), _logit(other, n, usual["symbols"], BYTES),
-        _logit(space, n, usual["spaces"], BYTES), np.log((n - space + 6 * WORDS) / (words + WORDS)),
-        _logit(bare, words, by_word["bare_words"], WORDS), _logit(marked, words, by_word["marked_words"], WORDS),
-        _logit(again, words, by_word["repeated_words"], WORDS), _logit(line_again, lines, 0.05, LINES),
-        np.log((words + 20 * LINES) / (lines + LINES)), _logit(loud, words, by_word["exclamations"], WORDS),
-    ], axis=1)
+    return _transformed(n, upper, lower, digit, mark, other, space, loud, words, bare, marked, again, lines, line_again)
 
 
 @dataclass
@@ -170,7 +282,8 @@ def describe(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
 
     def run(batches: Batches) -> Batches:
         for b in chunks(batches, text, CHUNK_BYTES):
-            x = statistics(b.column(len(kept)))
+            data, offsets = text_buffers(b.column(len(kept)))
+            x = statistics(b.column(len(kept))) if len(offsets) > 2 or len(data) <= CHUNK_BYTES else long_statistics(data)
             ends = pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(x.ravel()))],
                                              names=schema.names)

@@ -1,9 +1,12 @@
+import re
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from helpers import duck, texts
-from mishap.llm.quality import Discriminant, STATISTICS, describe, fit, op9_quality, score_quality, statistics
+from mishap.llm.quality import Discriminant, STATISTICS, describe, fit, long_statistics, op9_quality, score_quality, statistics
 
 SF = "/root/testdata/sf0.1"
 
@@ -89,6 +92,62 @@ def test_nulls_empties_long_texts_repeats_and_clashing_columns(spark):
     assert score_quality(describe(frame.limit(0))[0], model, name)[0].count() == 0
 
 
+def plain(text):
+    """All statistics by Python's own splitting."""
+    raw = (text or "").encode()
+    kind = lambda b: (1 if b in b"\t\n\v\f\r " else 2 if 65 <= b < 91 else 3 if 97 <= b < 123 or b > 127 else
+                      4 if 48 <= b < 58 else 5 if b in b"!,.:;?'\"-()" else 0)
+    n = [sum(kind(b) == k for b in raw) for k in range(6)]
+    words, lines = re.findall(rb"[^\t-\r ]+", raw), []
+    for at in re.finditer(rb"[^\n]+", raw):
+        line = at[0]
+        lines.append(line[:-1] if at.end() < len(raw) and line.endswith(b"\r") else line)
+    logit = lambda part, whole, usual, w: np.log((part + usual * w) / (max(whole + w - part - usual * w, 0) + 0.01))
+    w, s = len(words), len(raw)
+    share = [logit(n[2], n[2] + n[3], .03, 200), logit(n[4], s, .005, 200), logit(n[5], s, .02, 200), logit(n[0], s, .003, 200),
+             logit(n[1], s, .15, 200)]
+    return [np.log(s + 200), *share, np.log((s - n[1] + 180) / (w + 30)),
+            logit(sum(not any(kind(b) in (2, 3) for b in x) for x in words), w, .01, 30),
+            logit(sum(any(kind(b) == 0 for b in x) for x in words), w, .01, 30), logit(w - len(set(words)), w, .2, 30),
+            logit(len(lines) - len(set(lines)), len(lines), .05, 3), np.log((w + 60) / (len(lines) + 3)),
+            logit(raw.count(b"!"), w, .005, 30)]
+
+
+ODD = ["", "a", "\n", "\r\n", "a\r\nb\r\na\r", "x\r\n\r\n\nx\nx \r\n", "Ab! Ab!\tc\x0b12 ### é (a)\nAb! Ab!\n", " \n ", "\r\r\n\r",
+       "word " * 30, "ab" * 40 + "\n" + "ab" * 40 + "\r\n" + "ab" * 40, "中文 文中 " * 9]
+
+
+def test_statistics_equal_plain_counts_whole_and_in_pieces():
+    rng = np.random.default_rng(5)
+    rows = ODD + ["".join(rng.choice(list("aB 1!#\n\r\té"), 60)) for _ in range(150)]
+    rows += [t for (t,) in duck("/root/testdata/sf0.001").execute("SELECT text FROM documents WHERE length(text) < 400 LIMIT 40").fetchall()]
+    want = np.array([plain(t) for t in rows])
+    assert np.allclose(statistics(pa.array(rows, pa.string())), want)
+    for size in (1, 2, 5, 64, 10_000):
+        got = np.concatenate([long_statistics(np.frombuffer((t or "").encode(), np.uint8), size) for t in rows])
+        assert np.allclose(got, want), size
+
+
+def test_a_very_long_text_needs_little_memory():
+    rng = np.random.default_rng(6)
+    some = " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(50_000)) + "\n"
+    data = np.frombuffer((some * 110).encode(), np.uint8)
+    tracemalloc.start()
+    x = long_statistics(data)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(data) > 32_000_000 and most < 200_000_000
+    assert np.allclose(x[0, STATISTICS.index("length")], np.log(len(data) + 200))
+
+
+def test_long_and_short_texts_share_a_table(spark):
+    rows = [(1, "some words here\n" * 100_000), (2, "some words here"), (3, "x" * 1_500_000)]
+    described, name = describe(texts(spark, rows))
+    got = {r.doc_id: r[name] for r in described.collect()}
+    for k, t in rows:
+        assert np.allclose(got[k], statistics(pa.array([t]))[0])
+
+
 @pytest.mark.parametrize("labelled", [0, 1])
 def test_one_class_only_gives_the_middle(spark, labelled):
     frame, _ = describe(texts(spark, [(k, "text") for k in range(20)]))
