@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,15 +16,17 @@ from mishap.llm.common import Batches, chunks, free_name, map_batches, store, ta
 
 WINDOW = 10
 SHARD_BYTES = 1024 * 1024
-"""Text under one suffix array; a longer document is a shard of its own."""
-BLOCK_BYTES = 32 * 1024 * 1024
+"""Text under one suffix array; a longer document is cut into overlapping shards."""
+BLOCK_BYTES = 8 * 1024 * 1024
 """Benchmark text that one pass searches for; a larger benchmark takes several passes."""
+ROWS_AT_ONCE = 1 << 17
 
 # Bytes of words: digits, letters and all bytes of characters beyond ASCII; A-Z is lower-cased.
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[128:] = True
+_OF_WORD = _IN_WORD[_LOWER]
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _VALUES = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ np.uint64(0xA0761D6478BD642F)
 
@@ -57,7 +60,10 @@ class Words:
 
 def split_words(column: pa.Array) -> Words:
     """Lower-cased words of every text; words never run over the end of a text."""
-    raw, offsets = text_buffers(column)
+    return _split(*text_buffers(column))
+
+
+def _split(raw: np.ndarray, offsets: np.ndarray) -> Words:
     data = _LOWER[raw]
     word = _IN_WORD[data]
     begin, end = word.copy(), word.copy()
@@ -74,33 +80,68 @@ def split_words(column: pa.Array) -> Words:
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
+def _split_parts(texts: list[str]) -> Words:
+    """``split_words`` of a list, a shard of text at a time."""
+    parts, data, word = [], 0, 0
+    column = pa.array(texts, pa.string())
+    for b in chunks(iter([pa.RecordBatch.from_arrays([column], names=["text"])]), "text", SHARD_BYTES):
+        w = split_words(b.column(0))
+        parts.append(Words(w.data, w.starts + data, w.ends + data, w.hashes, w.first[:-1] + word))
+        data, word = data + len(w.data), word + len(w.hashes)
+    joined = [np.concatenate([getattr(p, n) for p in parts] or [np.zeros(0, kind)]) for n, kind in (
+        ("data", np.uint8), ("starts", np.int64), ("ends", np.int64), ("hashes", np.uint64), ("first", np.int64))]
+    return Words(*joined[:4], np.concatenate([joined[4], [word]]))
+
+
 class Tests:
-    """One block of benchmark items, ready for searching: vocabulary, windows and their items."""
+    """One block of benchmark items, ready for searching: vocabulary, windows and their items, all as arrays.
+
+    A window is a row of word ids packed into as few longs as they fit; a short
+    one is filled up with zeros.  ``item`` and ``word`` are the places of all
+    windows, those of window ``k`` from ``bounds[k]`` to ``bounds[k + 1]``.
+    """
 
     def __init__(self, items: list[tuple[str, str]], window: int):
-        self.window = window
-        w = split_words(pa.array([t for _, t in items], pa.string()))
+        self.window, self.names = window, [n for n, _ in items]
+        w = _split_parts([t for _, t in items])
         self.vocabulary, at, ids = np.unique(w.hashes, return_index=True, return_inverse=True)
-        self.spelled = [w.data[w.starts[i]:w.ends[i]].tobytes() for i in at]
-        ids = ids + 1
+        self.data, self.spelled = w.data, (w.starts[at], w.ends[at])
+        self.longest_word = int((w.ends - w.starts).max(initial=0))
         self.width = max(1, int(len(self.vocabulary)).bit_length())
         self.per_key = 63 // self.width
-        windows: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        for k in range(len(items)):
-            own = ids[w.first[k]:w.first[k + 1]].tolist()
-            for i in range(max(1, len(own) - window + 1) if own else 0):
-                windows.setdefault(tuple(own[i:i + window]), []).append((k, i))
-        self.names = [n for n, _ in items]
-        self.windows = list(windows)
-        self.places = [np.array(v, np.int64) for v in windows.values()]
-        self.lengths = np.array([len(x) for x in self.windows], np.int64)
-        padded = np.zeros((len(self.windows), window), np.int64)
-        for i, x in enumerate(self.windows):
-            padded[i, :len(x)] = x
-        self.low = self.keys(padded)
-        full = (1 << self.width) - 1
-        self.high = self.keys(np.where(np.arange(window)[None, :] < self.lengths[:, None], padded, full))
-        self.least = int(self.lengths.min()) if self.windows else 0
+        count = np.diff(w.first)
+        each = np.where(count > 0, np.maximum(count - window + 1, 1), 0)
+        item = np.repeat(np.arange(len(items)), each)
+        word = np.arange(len(item)) - np.repeat(np.cumsum(each) - each, each)
+        ids = np.concatenate([ids + 1, np.zeros(window, np.int64)])
+        start, lengths = w.first[item] + word, np.minimum(count[item], window)
+        low = self._packed(ids, start, lengths)
+        order = np.lexsort(low[::-1])
+        new = np.ones(len(order), bool)
+        if len(order):
+            new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in low])
+        first = np.flatnonzero(new)
+        self.low, self.lengths = [k[order][first] for k in low], lengths[order][first]
+        self.item, self.word = item[order], word[order]
+        self.bounds = np.concatenate([first, [len(order)]])
+        full = [self.keys((np.arange(window) >= n)[None, :] * ((1 << self.width) - 1)) for n in range(window + 1)]
+        self.fill = [np.array([f[k][0] for f in full]) for k in range(len(low))]
+        self.least = int(self.lengths.min(initial=0)) if len(first) else 0
+
+    def _packed(self, ids: np.ndarray, start: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+        """Keys of the words from ``start`` on, beyond ``lengths`` filled up with zeros."""
+        parts, at = [], np.arange(self.window)[None, :]
+        for k in range(0, max(len(start), 1), ROWS_AT_ONCE):
+            rows = ids[start[k:k + ROWS_AT_ONCE, None] + at]
+            parts.append(self.keys(np.where(at < lengths[k:k + ROWS_AT_ONCE, None], rows, 0)))
+        return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+    def high(self, k: int, windows: np.ndarray | int) -> np.ndarray:
+        """The last key that begins with a window's words."""
+        return self.low[k][windows] | self.fill[k][self.lengths[windows]]
+
+    def spelling(self, word: int) -> bytes:
+        return self.data[self.spelled[0][word]:self.spelled[1][word]].tobytes()
 
     def keys(self, words: np.ndarray) -> list[np.ndarray]:
         """Rows of word ids packed in order into as few longs as they fit."""
@@ -135,18 +176,14 @@ class SuffixArray:
         self.ids = ids
         spots = np.flatnonzero(room >= tests.least)
         room = np.minimum(room[spots], tests.window)
-        rows = np.zeros((len(spots), tests.window), np.int64)
-        for k in range(tests.window):
-            has = room > k
-            rows[has, k] = ids[spots[has] + k]
-        keys = tests.keys(rows)
+        keys = tests._packed(np.concatenate([ids, np.zeros(tests.window, np.int64)]), spots, room)
         order = np.lexsort(keys[::-1])
         self.spots, self.keys = spots[order], [k[order] for k in keys]
 
     def find(self, tests: Tests) -> tuple[np.ndarray, np.ndarray]:
         """(position, window) of every occurrence, by binary search of every test suffix."""
         lo = np.searchsorted(self.keys[0], tests.low[0], side="left")
-        hi = np.searchsorted(self.keys[0], tests.high[0], side="right")
+        hi = np.searchsorted(self.keys[0], tests.high(0, slice(None)), side="right")
         spots, found = [], []
         for w in np.flatnonzero(hi > lo):
             a, b = int(lo[w]), int(hi[w])
@@ -154,7 +191,7 @@ class SuffixArray:
                 if a < b and self.keys[k - 1][a] == self.keys[k - 1][b - 1]:
                     part = self.keys[k][a:b]
                     a, b = a + int(np.searchsorted(part, tests.low[k][w], side="left")), \
-                        a + int(np.searchsorted(part, tests.high[k][w], side="right"))
+                        a + int(np.searchsorted(part, tests.high(k, w), side="right"))
             if a < b:
                 spots.append(self.spots[a:b])
                 found.append(np.full(b - a, w))
@@ -173,37 +210,37 @@ class Matches:
     items: list[list[str]]
 
 
-def find_matches(column: pa.Array, tests: Tests) -> Matches:
-    words = split_words(column)
-    n, count = len(words.hashes), np.diff(words.first)
+def find_matches(column: pa.Array, tests: Tests, shard: int = SHARD_BYTES) -> Matches:
+    """The matches of every text; a text of over ``shard`` bytes is searched shard by shard."""
+    raw, offsets = text_buffers(column)
+    if len(column) == 1 and len(raw) > shard:
+        first, spots, found = _find_long(raw, tests, shard)
+    else:
+        words = _split(raw, offsets)
+        first, (spots, found) = words.first, _occurrences(words, tests)
+    count = np.diff(first)
     out = Matches(count, [[] for _ in count], [[] for _ in count], np.zeros(len(count), np.int64), [[] for _ in count])
-    if not tests.windows or not n:
-        return out
-    spots, found = SuffixArray(words, tests).find(tests)
-    spots, found = _verified(words, tests, spots, found)
     if not len(spots):
         return out
     # ranges of hit words, cut where a text begins
-    hit = np.concatenate([[False], _covered(n, spots, spots + tests.lengths[found]), [False]])
-    begin, stop = np.flatnonzero(hit[1:-1] & ~hit[:-2]), np.flatnonzero(hit[1:-1] & ~hit[2:]) + 1
-    inner = np.unique(words.first[(words.first > 0) & (words.first < n)])
-    inner = inner[hit[inner] & hit[inner + 1]]
-    begin, stop = np.sort(np.concatenate([begin, inner])), np.sort(np.concatenate([stop, inner]))
-    home = np.searchsorted(words.first, begin, side="right") - 1
+    order = np.argsort(spots, kind="stable")
+    begin, reach = spots[order], np.maximum.accumulate((spots + tests.lengths[found])[order])
+    home = np.searchsorted(first, begin, side="right") - 1
+    fresh = np.concatenate([[True], (begin[1:] > reach[:-1]) | (home[1:] != home[:-1])])
+    begin, home, stop = begin[fresh], home[fresh], reach[np.concatenate([np.flatnonzero(fresh)[1:], [len(reach)]]) - 1]
     for d, a, b in zip(home.tolist(), begin.tolist(), stop.tolist(), strict=True):
-        out.firsts[d].append(a - int(words.first[d]))
+        out.firsts[d].append(a - int(first[d]))
         out.lengths[d].append(b - a)
     # consecutive windows of one item at consecutive words are one longer match
-    places = [tests.places[w] for w in found]
-    each = np.array([len(p) for p in places])
-    at = np.concatenate(places)
-    item, word, size = at[:, 0], np.repeat(spots, each), np.repeat(tests.lengths[found], each)
-    order = np.lexsort([word, word - at[:, 1], item])
-    item, word, size, shift = item[order], word[order], size[order], (word - at[:, 1])[order]
+    each = tests.bounds[found + 1] - tests.bounds[found]
+    at = np.arange(each.sum()) + np.repeat(tests.bounds[found] - (np.cumsum(each) - each), each)
+    item, word, size = tests.item[at], np.repeat(spots, each), np.repeat(tests.lengths[found], each)
+    order = np.lexsort([word, word - tests.word[at], item])
+    item, word, size, shift = item[order], word[order], size[order], (word - tests.word[at])[order]
     fresh = np.concatenate([[True], (item[1:] != item[:-1]) | (shift[1:] != shift[:-1]) | (word[1:] != word[:-1] + 1)])
     run = np.flatnonzero(fresh)
     ends = np.concatenate([run[1:], [len(word)]]) - 1
-    doc = np.searchsorted(words.first, word, side="right") - 1
+    doc = np.searchsorted(first, word, side="right") - 1
     np.maximum.at(out.longest, doc[run], word[ends] + size[ends] - word[run])
     pairs = np.unique(np.stack([doc, item], axis=1), axis=0)
     for d, k in pairs.tolist():
@@ -212,6 +249,45 @@ def find_matches(column: pa.Array, tests: Tests) -> Matches:
     return out
 
 
+def _occurrences(words: Words, tests: Tests) -> tuple[np.ndarray, np.ndarray]:
+    if not len(tests.lengths) or not len(words.hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return _verified(words, tests, *SuffixArray(words, tests).find(tests))
+
+
+def _find_long(raw: np.ndarray, tests: Tests, shard: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One text's word bounds and occurrences, from shards that begin with the last words of the one before.
+
+    Shards end between words.  A word that fills a shard and is longer than any
+    word of the items is counted and stepped over.
+    """
+    at, total, back, again = 0, 0, 0, 0                  # next byte; words before it; repeated words' first byte, number
+    spots, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while at < len(raw):
+        end = min(at + shard, len(raw))
+        if end < len(raw) and _OF_WORD[raw[end - 1]] and _OF_WORD[raw[end]]:
+            gaps = np.flatnonzero(~_OF_WORD[raw[at:end]])
+            if len(gaps):
+                end = at + int(gaps[-1]) + 1
+            else:
+                while end < len(raw) and _OF_WORD[raw[end]]:
+                    ahead = np.flatnonzero(~_OF_WORD[raw[end:end + shard]])
+                    end = end + int(ahead[0]) if len(ahead) else min(end + shard, len(raw))
+                if end - at > tests.longest_word:
+                    total, at, back, again = total + 1, end, end, 0
+                    continue
+        words = _split(raw[back:end], np.array([0, end - back]))
+        own, where = _occurrences(words, tests)
+        fresh = own + tests.lengths[where] > again       # the others were found before
+        spots.append(own[fresh] + total - again)
+        found.append(where[fresh])
+        total += len(words.hashes) - again
+        again = min(len(words.hashes), tests.window - 1)
+        back = back + int(words.starts[len(words.hashes) - again]) if again else end
+        at = end
+    return np.array([0, total]), np.concatenate(spots), np.concatenate(found)
+
+
 def _covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     change = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
     return np.cumsum(change[:n]) > 0
@@ -223,7 +299,7 @@ def _verified(words: Words, tests: Tests, spots: np.ndarray, found: np.ndarray)
     at = np.flatnonzero(_covered(len(words.hashes), spots, ends))
     ids = np.searchsorted(tests.vocabulary, words.hashes[at])
     wrong = [i for i, k in zip(at.tolist(), ids.tolist(), strict=True)
-             if words.data[words.starts[i]:words.ends[i]].tobytes() != tests.spelled[k]]
+             if words.data[words.starts[i]:words.ends[i]].tobytes() != tests.spelling(k)]
     if not wrong:
         return spots, found
     before = np.cumsum(np.bincount(np.array(wrong) + 1, minlength=len(words.hashes) + 1))
@@ -231,6 +307,23 @@ def _verified(words: Words, tests: Tests, spots: np.ndarray, found: np.ndarray)
     return spots[good], found[good]
 
 
+_READY: dict[tuple[str, int], Tests] = {}
+
+
+def _ready(block: list[tuple[str, str]], window: int) -> Tests:
+    """The block's arrays, kept by the Python worker for its next tasks."""
+    sha = hashlib.sha256()
+    for name, body in block:
+        for part in (name, body):
+            data = part.encode("utf-8", "surrogatepass")
+            sha.update(len(data).to_bytes(8, "little") + data)
+    key = (sha.hexdigest(), window)
+    if key not in _READY:
+        _READY.clear()
+        _READY[key] = Tests(block, window)
+    return _READY[key]
+
+
 def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[str, str]]]:
     """The items in blocks of bounded text, read one partition at a time."""
     block, size = [], 0
@@ -253,8 +346,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     clashes, are the second result): n_words, first and length (ranges of hit
     words), longest (words of the longest verbatim match of one item) and items
     (names of the items with an occurring window).  A benchmark block is
-    bounded; more blocks search the same rows one after the other, so nothing
-    is joined.
+    bounded and its arrays are kept by each Python worker; more blocks search the
+    same rows one after the other, so nothing is joined.  A long text is searched
+    in overlapping shards, so memory does not follow its length.
 
     Null texts have no words, an item without words matches nothing, items of
     the same name count once, repeated rows are searched alike, no items and no
@@ -268,7 +362,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
     def search(block: list[tuple[str, str]], more: bool):
         def run(batches: Batches) -> Batches:
-            tests = Tests(block, window)
+            tests = _ready(block, window)
             for b in chunks(batches, text, SHARD_BYTES):
                 m = find_matches(b.column(spot), tests)
                 if more:

@@ -1,10 +1,13 @@
 import hashlib
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from helpers import SF, documents, duck, texts
-from mishap.llm.decontamination import decontaminate, find_overlaps, op7_decontamination
+from mishap.llm.decontamination import Tests, decontaminate, find_matches, find_overlaps, op7_decontamination
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -74,6 +77,41 @@ def test_cases_with_one_and_with_many_blocks(spark, block):
         assert (r["n_words_"], spans, r["items_"], r["longest"]) == (n, hit, who, longest), r.doc_id
 
 
+def test_long_texts_in_shards_equal_whole_ones():
+    rng = np.random.default_rng(4)
+    names = list("abc") + ["D" * 9, "é", "x" * 40]
+    draw = lambda n: " ".join(rng.choice(names, n, p=[.4, .3, .1, .1, .05, .05]))
+    for n, window in ((0, 10), (1, 3), (6, 4), (12, 10)):
+        items = [(str(k), draw(int(rng.integers(0, 15)))) for k in range(n)] + [("again", "a b a")]
+        tests = Tests(items, window)
+        for _ in range(12):
+            text = draw(int(rng.integers(1, 120))) + rng.choice(["", ", ", " " + "y" * 300 + " a b a", "z" * 90])
+            size, hit, who, longest = brute(text, items, window)
+            for shard in (1, 5, 33, 100, 1 << 20):
+                m = find_matches(pa.array([text]), tests, shard)
+                spans = [k for a, n in zip(m.firsts[0], m.lengths[0], strict=True) for k in range(a, a + n)]
+                assert (int(m.words[0]), spans, m.items[0], int(m.longest[0])) == (size, sorted(hit), who, longest), (text, shard)
+
+
+def test_memory_of_a_large_benchmark_and_of_a_long_text():
+    rng = np.random.default_rng(8)
+    words = np.array(["".join(x) for x in rng.choice(list("abcdefgh"), (30_000, 5))])
+    items = [(str(k), " ".join(rng.choice(words, 1000))) for k in range(1400)]
+    tracemalloc.start()
+    tests = Tests(items, 10)
+    built = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    text = " ".join(rng.choice(words, 2_000_000)) + " " + items[7][1]
+    column = pa.array([text])
+    before = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    m = find_matches(column, tests)
+    most = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert sum(len(t) for _, t in items) > 8_000_000 and built < 450_000_000 and most < 250_000_000
+    assert m.items == [["7"]] and m.lengths == [[1000]] and m.firsts == [[2_000_000]] and m.longest.tolist() == [1000]
+
+
 def test_texts_never_run_together(spark):
     bench = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
     rows = [(k, t) for k, t in enumerate(["x a b", "c d y", "a b c", "d", "a b c d"])]
