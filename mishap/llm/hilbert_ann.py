@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ low-dimensional structure need a share, not a number, for the same recall at eve
 LEAST_WINDOW = 256
 BLOCK = 2048
 QUERIES_AT_ONCE = 4096
+PAIRS = 8192
 SAMPLE = 10_000
 """Vectors, about, from whose projections the axes' ranges are taken."""
 
@@ -88,14 +90,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, vector) of the rows that take part: a key; a vector with only finite
-    components, not all zero, and of the most common length."""
+    """(key, vector) of the rows that take part: a key; a vector with only finite components, not all zero."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
-    good = vectors.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("vector")).filter(
+    return vectors.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("vector")).filter(
         F.col("key").isNotNull() & F.col("vector").isNotNull()
         & F.forall("vector", finite) & F.exists("vector", lambda x: x != 0))
-    sizes = good.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return good.filter(F.size("vector") == (sizes[0]["n"] if sizes else 0))
 
 
 def _place(curves: Curves):
@@ -124,14 +123,17 @@ def _meet(k: int, reach: int):
                 q = q_all[at:at + 256]
                 d = square[None, :] - 2 * q @ c.T
                 d[np.abs(q_ranks[at:at + 256, None] - ranks[None, :]) > reach] = np.inf
-                n = min(k + 5, len(c))
-                best = np.argpartition(d, n - 1, axis=1)[:, :n]
-                exact = np.sqrt(((c[best] - q[:, None, :]) ** 2).sum(axis=2))
-                exact[np.isinf(np.take_along_axis(d, best, axis=1))] = np.inf
-                order = np.lexsort([reps[best], exact], axis=1)[:, :k]
-                best, exact = np.take_along_axis(best, order, axis=1), np.take_along_axis(exact, order, axis=1)
-                good = np.isfinite(exact)
-                out[0].append(np.repeat(q_reps[at:at + 256], good.sum(axis=1)))
+                n = min(k, len(c))
+                # all up to the k-th distance, with room for the rounding of the quick formula: ties stay
+                size = np.where(np.isfinite(d), square[None, :], 0).max(axis=1) + (q * q).sum(axis=1)
+                limit = np.partition(d, n - 1, axis=1)[:, n - 1] + 1e-11 * size
+                row, best = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
+                exact = np.concatenate([np.sqrt(((c[best[i:i + PAIRS]] - q[row[i:i + PAIRS]]) ** 2).sum(axis=1))
+                                        for i in range(0, len(row) or 1, PAIRS)])
+                order = np.lexsort([reps[best], exact, row])
+                row, best, exact = row[order], best[order], exact[order]
+                good = np.arange(len(row)) - np.searchsorted(row, row) < k
+                out[0].append(q_reps[at:at + 256][row[good]])
                 out[1].append(reps[best[good]])
                 out[2].append(exact[good])
         none = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
@@ -153,18 +155,25 @@ def nearest(vectors: DataFrame, is_query: str, key: str = "vec_id", vector: str
 
     Returns query_id, rank (from 1), vec_id, score: Euclidean distance in double
     precision, ties to the smaller key.  Rows with a null key, a null or zero
-    vector, null or non-finite components or an unusual length take no part.
-    Rows that repeat a key are candidates of their own, and no query's own key.
+    vector or null or non-finite components take no part.  Vectors of each
+    length are searched among themselves, one length after the other.  Rows
+    that repeat a key are candidates of their own, and no query's own key.
     """
     good = store(usable(vectors, key, vector).withColumn("asks", F.expr(is_query.replace(key, "key"))), "ann-vectors")
+    sizes = sorted(r["n"] for r in good.filter("asks").select(F.size("vector").alias("n")).distinct().collect())
+    found = [_nearest(good.filter(F.size("vector") == n), k, curves, share) for n in sizes]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionAll, found)
+
+
+def _nearest(good: DataFrame, k: int, curves: int, share: float) -> DataFrame:
+    """``nearest`` of stored (key, vector, asks) rows with vectors of one length."""
     by_vector = Window.partitionBy("vector")
     members = (good.withColumn("n", F.row_number().over(by_vector.orderBy("key"))).filter(f"n <= {k + 1}")
                .select("key", F.min("key").over(by_vector).alias("rep")))
     points = store(good.groupBy("vector").agg(F.min("key").alias("rep"), F.max("asks").alias("asks")), "ann-points")
     count = points.count()
-    empty = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not count:
-        return empty
     chance = F.pmod(F.xxhash64("rep"), F.lit(1_000_003)) / F.lit(1_000_003)
     sample = points.filter(chance < max(SAMPLE, 100) / count).select("vector").limit(2 * SAMPLE).collect()
     sample = sample or points.select("vector").limit(1).collect()

@@ -66,3 +66,23 @@ def test_few_none_and_empty(spark):
     close(nearest(frame, "vec_id % 100 = 0").collect(), brute(rows[:4]))
     assert nearest(frame.limit(0), "vec_id % 100 = 0").count() == 0
     assert nearest(frame.filter("vec_id = 0"), "vec_id % 100 = 0").count() == 0
+
+
+def test_many_equal_distances_go_to_the_smallest_ids(spark):
+    rng = np.random.default_rng(3)
+    unit = np.eye(40, dtype=np.float32)
+    rows = [(0, [1.0] * 40)] + [(int(i), unit[n].tolist()) for n, i in enumerate(rng.permutation(np.arange(1, 41)))]
+    rows += [(100, (unit[3] * 3).tolist())]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = nearest(frame, "vec_id % 100 = 0").collect()
+    close(got, brute(rows))
+    assert sorted(r.vec_id for r in got if r.query_id == 0) == list(range(1, 11))
+
+
+def test_every_length_is_searched_among_itself(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(4).astype(np.float32).tolist()) for i in range(0, 60)]
+    other = [(i, rng.standard_normal(3).astype(np.float32).tolist()) for i in range(100, 130)] + [(200, [1.0])]
+    frame = spark.createDataFrame(rows + other, SCHEMA)
+    close(nearest(frame, "vec_id % 100 = 0").collect(), brute(rows) + brute(other[:-1]))
+    assert nearest(frame.filter("vec_id % 100 <> 0"), "vec_id % 100 = 0").count() == 0
