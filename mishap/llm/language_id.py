@@ -6,17 +6,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mishap.llm.common import Batches, chunks, free_name, map_batches, table
+from mishap.llm.common import Batches, chunks, free_name, map_batches, store, table
 
 SAMPLE_DOCS = 400
-"""Training documents of a language, about (chosen by the hash of their ids)."""
+"""Training documents of a language at most: different ones, chosen by the hash of id and text."""
 SAMPLE_WORDS = 150
 """Words of a training document at most, evenly spaced."""
-MAX_LANGUAGES = 200
+SAMPLE_ALL = 80_000
+"""Training documents of all languages together; of more than 200 languages each has fewer, but one at least."""
 LONGEST = 32
 """Bytes that the network reads in one go; longer words are read in parts."""
 HIDDEN = 12
@@ -156,23 +157,35 @@ def train(sample: list[tuple[str, list[bytes]]], hidden: int = HIDDEN, steps: in
     return net
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
-    """Train on a bounded sample of the rows with a language that are not held out.
+def training_sample(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame | None:
+    """(key, lang, text) of a bounded sample of the rows with a language that are not held out.
 
-    Counts by language cover all rows; ids whose hash falls under a language's
-    rate give about ``SAMPLE_DOCS`` documents, and of each at most
-    ``SAMPLE_WORDS`` words reach the driver.
+    Of each language at most ``SAMPLE_DOCS`` different pairs of id and text are
+    taken, by the order of their hashes, so neither a repeated id nor a repeated
+    row makes the sample larger or empty.  Estimated numbers of pairs, over all
+    rows, only thin out what they are taken from.  None without such rows.
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()
-                        & ~held_out(F.col(key)))
-    counts = known.groupBy(lang).count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
+                        & ~held_out(F.col(key))).select(
+        F.col(key).cast("string").alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    known = known.withColumn("order", F.xxhash64("key", "text"))
+    counts = store(known.groupBy(F.col("lang").alias("of")).agg(F.approx_count_distinct("order").alias("pairs")), "language-counts")
+    languages = counts.count()
+    if not languages:
+        return None
+    most = min(SAMPLE_DOCS, max(1, SAMPLE_ALL // languages))
+    chance = F.pmod("order", F.lit(1_000_003)) / F.lit(1_000_003)
+    few = (known.join(counts, F.col("lang") == F.col("of")).filter(chance <= F.lit(2 * most) / F.greatest("pairs", F.lit(1)))
+           .select("key", "lang", "text", "order").dropDuplicates(["lang", "key", "order"]))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "key"))
+    return few.withColumn("place", place).filter(F.col("place") <= most).select("key", "lang", "text")
+
+
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
+    """Train on ``training_sample``; of each document at most ``SAMPLE_WORDS`` words reach the driver."""
+    chosen = training_sample(docs, key, text, lang)
+    if chosen is None:
         return None
-    rate = F.create_map(*[F.lit(x) for r in counts for x in (r[lang], SAMPLE_DOCS / r["count"])])
-    chance = F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_003)) / F.lit(1_000_003)
-    chosen = known.filter(chance < rate[F.col(lang)]).select(F.col(key).cast("string").alias("key"), lang, text)
     schema = "key string, lang string, words array<binary>"
 
     def take(batches: Batches) -> Batches:
@@ -186,7 +199,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
                                              names=["key", "lang", "words"])
 
     rows = map_batches(chosen, take, schema).collect()
-    return train([(lg, [bytes(w) for w in ws]) for _, lg, ws in sorted(rows, key=lambda r: (r[1], r[0]))])
+    return train([(lg, [bytes(w) for w in ws]) for _, lg, ws in sorted(rows, key=lambda r: (r[1], r[0], r[2]))])
 
 
 _MEMORY: dict[str, tuple[dict[bytes, int], np.ndarray]] = {}
@@ -239,15 +252,17 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> tuple[D
 
 
 def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is identified; ``und`` goes.  Columns stay as they are.
+    """The rows of ``docs`` whose language is identified; ``und`` goes.
 
-    Where nothing was learned only null texts and texts without a letter go.
+    Columns stay as they are; a null language becomes the predicted one.  Where
+    nothing was learned only null texts and texts without a letter go.
     """
     net = fit(docs, key, text, lang)
     if net is None:
         return docs.filter(_has_letter(text))
     found, label, _ = predict(docs, net, text)
-    return found.filter(F.col(label) != "und").select(*docs.columns)
+    filled = F.coalesce(F.col(lang), F.col(label)).alias(lang)
+    return found.filter(F.col(label) != "und").select(*[filled if c == lang else F.col(c) for c in docs.columns])
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

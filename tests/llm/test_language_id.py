@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import DOCS, duck
-from mishap.llm.language_id import Network, fit, held_out, keep_identified, op6_language_id, predict, train, words_of
+from mishap.llm.language_id import Network, fit, held_out, keep_identified, op6_language_id, predict, train, training_sample, words_of
 
 SF = "/root/testdata/sf0.01"
 
@@ -81,3 +81,28 @@ def test_unlabelled_tables_keep_their_documents(spark, small):
     assert not {900, 901, 902} & {r.doc_id for r in kept.collect()}
     only_held = small.withColumn("lang", F.when(held_out(F.col("doc_id")), F.col("lang")))
     assert keep_identified(only_held.filter("doc_id is not null")).count() == small.count() - 4
+
+
+def test_repeated_ids_and_rows_keep_the_sample_bounded(spark):
+    key = next(k for k in range(9) if spark.range(1).select(held_out(F.lit(k))).first()[0] is False)
+    rows = [(key, f"the cat and the dog {k}", "en", "s", 1) for k in range(1500)] + [(key, "le chat", "fr", "s", 1)] * 700
+    rows += [(key, f"der hund {k}", "de", "s", 1) for k in range(30)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = [(r.lang, r.text) for r in training_sample(docs).collect()]
+    assert len(set(got)) == len(got)
+    assert [sum(lang == x for lang, _ in got) for x in ("en", "fr", "de")] == [400, 1, 30]
+    assert fit(docs).languages == ["de", "en", "fr"]
+
+
+def test_many_languages(spark):
+    docs = spark.range(1200).selectExpr("id AS doc_id", "concat('word ', id % 300) AS text", "concat('l', id % 300) AS lang")
+    got = training_sample(docs).groupBy("lang").count().collect()
+    assert len(got) > 250 and max(r["count"] for r in got) <= 266
+
+
+def test_the_prediction_fills_a_missing_language(spark, small):
+    bare = small.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    was = {r.doc_id: r.lang for r in small.filter("doc_id < 100").collect()}
+    kept = keep_identified(bare).filter("doc_id < 100 or doc_id = 903").collect()
+    assert {r.doc_id: r.lang for r in kept if r.doc_id != 903} == was
+    assert [r.lang for r in kept if r.doc_id == 903] == ["fr"]
