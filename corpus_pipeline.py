@@ -19,7 +19,7 @@ from mishap.llm.surrogates import with_surrogates
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified (null texts and texts without a letter go)."""
+    """Documents whose language is identified (null texts and texts without a letter go), a null ``lang`` predicted."""
     return keep_identified(docs)
 
 
