@@ -125,9 +125,8 @@ def _meet(k: int, reach: int):
                 d[np.abs(q_ranks[at:at + 256, None] - ranks[None, :]) > reach] = np.inf
                 n = min(k, len(c))
                 # all up to the k-th distance, with room for the rounding of the quick formula: ties stay
-                size = np.where(np.isfinite(d), square[None, :], 0).max(axis=1) + (q * q).sum(axis=1)
-                limit = np.partition(d, n - 1, axis=1)[:, n - 1] + 1e-11 * size
-                row, best = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
+                limit = np.partition(d, n - 1, axis=1)[:, n - 1] + 1e-11 * (square.max() + (q * q).sum(axis=1))
+                row, best = np.nonzero(d <= np.minimum(limit, np.finfo(np.float64).max)[:, None])
                 exact = np.concatenate([np.sqrt(((c[best[i:i + PAIRS]] - q[row[i:i + PAIRS]]) ** 2).sum(axis=1))
                                         for i in range(0, len(row) or 1, PAIRS)])
                 order = np.lexsort([reps[best], exact, row])
