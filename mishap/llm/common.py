@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,28 @@ def map_batches(df: DataFrame, fn: Callable[[Batches], Batches], schema: T.Struc
     return df.mapInArrow(fn, schema)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def batch_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs run within the block send their tasks Arrow batches of about ``most`` bytes (one row at least).
+
+    By default only the rows of a batch are limited, so long texts make batches as
+    large as a partition, kept outside the JVM's heap.  The session's own limit is
+    restored on exit.
+    """
+    before = spark.conf.get(BATCH, None)
+    spark.conf.set(BATCH, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH)
+        else:
+            spark.conf.set(BATCH, before)
+
+
 def chunks(batches: Batches, column: str, limit: int) -> Batches:
     """Cut batches so each holds about ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:

@@ -13,15 +13,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
-from mishap.llm.common import Batches, chunks, free_name, map_batches, store, table, with_positions
+from mishap.llm.common import Batches, batch_bytes, chunks, free_name, map_batches, store, table, text_buffers, with_positions
 
 TOP = 10
 OWNERS = 4
 BLOCK_DOCS, BLOCK_BYTES = 4096, 8 * 1024 * 1024
-"""A block holds the postings of so many documents and bytes of text at most (or of one document)."""
+"""A block is so many documents and bytes of text at most (or one document)."""
 PIECE_BYTES = 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
+"""Tasks get the texts and postings in Arrow batches of about so many bytes."""
 GROUP_BYTES = 4 * 1024 * 1024
 """Items are searched in groups of so many bytes of text; more items take more passes."""
 BUNDLE_ITEMS = 256
@@ -49,73 +50,51 @@ def term_counts(text: bytes) -> Counter:
     return found
 
 
-@dataclass
-class Postings:
-    """Occurrences of terms in the documents of a block, by term: ``terms`` with ``n`` slots each."""
-    terms: np.ndarray
-    n: np.ndarray
-    slots: np.ndarray
-    counts: np.ndarray
-
-    FIELDS = (("terms", "<i4"), ("n", "<i4"), ("slots", "<u2"), ("counts", "<i4"))
-
-    @classmethod
-    def of(cls, row: dict) -> Postings:
-        return cls(*[np.frombuffer(row[name], kind) for name, kind in cls.FIELDS])
-
-    def blobs(self) -> list[bytes]:
-        return [np.ascontiguousarray(getattr(self, name), kind).tobytes() for name, kind in self.FIELDS]
-
-    def only(self, wanted: np.ndarray) -> Postings:
-        """The postings of the terms that a mask over the vocabulary names."""
-        keep = wanted[self.terms]
-        rows = np.repeat(keep, self.n)
-        return Postings(self.terms[keep], self.n[keep], self.slots[rows], self.counts[rows])
-
-    @classmethod
-    def gathered(cls, docs: list[list[tuple[int, int]]]) -> Postings:
-        size = [len(d) for d in docs]
-        both = np.array([pair for d in docs for pair in d], np.int64).reshape(-1, 2)
-        order = np.argsort(both[:, 0], kind="stable")
-        terms, n = np.unique(both[:, 0], return_counts=True)
-        return cls(terms, n, np.repeat(np.arange(len(docs)), size)[order], both[order, 1])
+def flat(column: pa.Array | pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a binary column's rows, end to end, and how many of them each row has."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    raw, at = text_buffers(column.cast(pa.binary()))
+    numbers = raw.view(kind)
+    return numbers, np.diff(at) // numbers.itemsize
 
 
-POSTINGS = [T.StructField(name, T.BinaryType()) for name, _ in Postings.FIELDS]
+def packed(numbers: np.ndarray, n: Sequence[int] | np.ndarray, kind: str) -> pa.Array:
+    """A binary column whose rows hold the next ``n`` of the numbers each."""
+    raw = np.ascontiguousarray(numbers, kind)
+    at = np.concatenate([[0], np.cumsum(n)]) * raw.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(raw)])
 
 
 def index(docs: DataFrame, vocabulary: dict[bytes, int], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Blocks of documents: ``docs`` (their keys), ``sizes`` (terms of each), and the postings of the vocabulary."""
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("docs", T.ArrayType(docs.schema[key].dataType)),
-                           T.StructField("sizes", T.BinaryType()), T.StructField("with_terms", T.LongType()),
-                           T.StructField("all_terms", T.LongType()), *POSTINGS])
+    """One row a document: its ``block`` and ``slot`` there, ``doc`` (its key), ``size`` (its terms), and which terms of
+    the vocabulary it holds how often."""
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("slot", T.IntegerType()),
+                           T.StructField("doc", docs.schema[key].dataType), T.StructField("size", T.LongType()),
+                           T.StructField("terms", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
     most_docs, most_bytes = BLOCK_DOCS, BLOCK_BYTES
 
     def run(batches: Batches) -> Batches:
-        made = 0
-        keys, sizes, found, held = [], [], [], 0
-
-        def block() -> pa.RecordBatch:
-            values = [[(TaskContext.get().partitionId() << 33) + made], [keys], [np.array(sizes, "<i8").tobytes()],
-                      [sum(s > 0 for s in sizes)], [sum(sizes)], *[[b] for b in Postings.gathered(found).blobs()]]
-            kinds = [pa.int64(), pa.list_(kind), pa.binary(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=schema.names)
-
-        kind = pa.null()
+        block, slot, held = TaskContext.get().partitionId() << 33, 0, 0
         for b in chunks(batches, text, PIECE_BYTES):
-            kind = b.schema.field(0).type
-            for own, whole in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                if keys and (len(keys) >= most_docs or held + len(whole or b"") > most_bytes):
-                    yield block()
-                    made, keys, sizes, found, held = made + 1, [], [], [], 0
-                counts = term_counts(whole or b"")
-                keys.append(own)
+            places, sizes, found = [], [], []
+            for whole in b.column(1).cast(pa.binary()).to_pylist():
+                whole = whole or b""
+                if slot and (slot >= most_docs or held + len(whole) > most_bytes):
+                    block, slot, held = block + 1, 0, 0
+                counts = term_counts(whole)
+                places.append((block, slot))
                 sizes.append(counts.total())
                 found.append([(vocabulary[w], counts[w]) for w in counts.keys() & vocabulary.keys()])
-                held += len(whole or b"")
-        if keys:
-            yield block()
+                slot, held = slot + 1, held + len(whole)
+            n = [len(d) for d in found]
+            both = np.array([pair for d in found for pair in d], np.int64).reshape(-1, 2)
+            both = both[np.lexsort((both[:, 0], np.repeat(np.arange(len(n)), n)))]
+            blocks, slots = zip(*places, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks, pa.int64()), pa.array(slots, pa.int32()), b.column(0), pa.array(sizes, pa.int64()),
+                 packed(both[:, 0], n, "<i4"), packed(both[:, 1], n, "<i4")], names=schema.names)
 
     return map_batches(docs.select(key, text), run, schema)
 
@@ -125,12 +104,11 @@ def frequencies(blocks: DataFrame, terms: int) -> np.ndarray:
     def run(batches: Batches) -> Batches:
         total = np.zeros(terms, np.int64)
         for b in batches:
-            for own, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                total[np.frombuffer(own, "<i4")] += np.frombuffer(n, "<i4")
+            total += np.bincount(flat(b.column(0), "<i4")[0], minlength=terms)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["term", "df"])
 
-    rows = map_batches(blocks.select("terms", "n"), run, "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    rows = map_batches(blocks.select("terms"), run, "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
     found = np.zeros(terms, np.int64)
     for r in rows.collect():
         found[r["term"]] = r["df"]
@@ -172,93 +150,107 @@ class Plan:
         return cls(owner, adds, rest, docs, length)
 
 
-def owned(blocks: DataFrame, plan: Plan, owner: int, last: bool) -> DataFrame:
-    """One row a block: the factors of the owner's postings, and the documents' keys for the last owner."""
-    wanted, docs, length = plan.owner == owner, plan.docs, plan.length
-    carried = blocks.select("block", "docs" if last else F.lit(None).cast(blocks.schema["docs"].dataType).alias("docs"),
-                            "sizes", *[f.name for f in POSTINGS])
-    schema = T.StructType([*carried.schema.fields[:2], T.StructField("width", T.IntegerType()), *POSTINGS])
+def _placed(kind: T.DataType, *blobs: str) -> T.StructType:
+    """Rows of a document (its key of type ``kind``) in a bundle, with binary columns."""
+    return T.StructType([T.StructField("block", T.LongType()), T.StructField("bundle", T.IntegerType()),
+                         T.StructField("slot", T.IntegerType()), T.StructField("doc", kind),
+                         *[T.StructField(n, T.BinaryType()) for n in blobs]])
 
-    def run(batches: Batches) -> Batches:
-        for b in batches:
-            for k in range(b.num_rows):
-                row = {n: b.column(n)[k].as_py() for n in ("sizes", *[f.name for f in POSTINGS])}
-                n = np.frombuffer(row["sizes"], "<i8")
-                own = Postings.of(row).only(wanted)
-                norm = np.array([100 - 75 + 75 * s * docs // length for s in n.tolist()], np.int64)
-                tf = own.counts.astype(np.int64)
-                own.counts = 1_000_000_000 * tf // (1000 * tf + 8 * norm[own.slots])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(k, 1), b.column(1).slice(k, 1), pa.array([len(n)], pa.int32()),
-                     *[pa.array([x], pa.binary()) for x in own.blobs()]], names=schema.names)
 
-    return map_batches(carried, run, schema)
+def owned(blocks: DataFrame, plan: Plan, owner: int) -> DataFrame:
+    """One row a bundle and document: the factors of the owner's postings that the bundle's items ask for."""
+    asked = [np.array([t for t in adds if plan.owner[t] == owner], np.int64) for adds in plan.adds]
+    vocabulary, docs, length = len(plan.owner), plan.docs, plan.length
+    schema = _placed(blocks.schema["doc"].dataType, "terms", "factors")
 
+    def run(batches: Batches) -> Batches:
+        wanted = np.zeros(vocabulary, bool)
+        for b in chunks(batches, "terms", PIECE_BYTES):
+            terms, n = flat(b.column("terms"), "<i4")
+            counts, _ = flat(b.column("counts"), "<i4")
+            rows = np.repeat(np.arange(len(n)), n)
+            norm = np.array([100 - 75 + 75 * s * docs // length for s in b.column("size").to_pylist()], np.int64)
+            for bundle, own in enumerate(asked):
+                wanted[own] = True
+                keep = np.flatnonzero(wanted[terms])
+                wanted[own] = False
+                if not len(keep):
+                    continue
+                tf = counts[keep].astype(np.int64)
+                factors = 1_000_000_000 * tf // (1000 * tf + 8 * norm[rows[keep]])
+                size = np.bincount(rows[keep], minlength=len(n))
+                here = np.flatnonzero(size)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("block").take(pa.array(here)), pa.array(np.full(len(here), bundle, np.int32)),
+                     b.column("slot").take(pa.array(here)), b.column("doc").take(pa.array(here)),
+                     packed(terms[keep], size[here], "<i4"), packed(factors, size[here], "<i4")], names=schema.names)
 
-BUNDLE = T.StructType([T.StructField("block", T.LongType()), T.StructField("bundle", T.IntegerType()),
-                       *[T.StructField(n, T.BinaryType()) for n in ("items", "at", "scores")]])
+    return map_batches(blocks, run, schema)
 
 
 def pass_on(bundles: DataFrame, blocks: DataFrame, plan: Plan, owner: int, top: int = TOP) -> DataFrame:
     """Bundles meet the owner's postings of their block, add what its terms are worth, and go on.
 
     A bundle is the sparse scores of up to ``BUNDLE_ITEMS`` items for the
-    documents of one block.  Before it goes on, a document leaves an item's
+    documents of one block, a row for each document with a score: no row
+    grows with the block.  Before it goes on, a document leaves an item's
     scores if even all that later owners can add would not lift it to the
     block's ``top``-th score so far: exact, since at least ``top`` documents of
     the block end above it.  The last owner gives each item's ``top`` documents
     of the block instead.
     """
     last, each = owner + 1 == len(plan.rest[0]), BUNDLE_ITEMS
-    postings = owned(blocks, plan, owner, last)
-    kind = blocks.schema["docs"].dataType.elementType
+    kind = blocks.schema["doc"].dataType
     schema = T.StructType([T.StructField("item", T.LongType()), T.StructField("doc", kind),
-                           T.StructField("score", T.LongType())]) if last else BUNDLE
-
-    def stage(left: pa.Table, right: pa.Table) -> pa.Table:
-        came = {r["bundle"]: r for r in left.to_pylist()}
-        own = right.to_pylist()[0]
-        width, postings = own["width"], Postings.of(own)
-        ends = np.cumsum(postings.n)
-        out = []
-        for bundle, adds in enumerate(plan.adds):
-            later = plan.rest[bundle][owner]
-            scores = np.zeros((len(later), width), np.int64)
-            if bundle in came:
-                r = came[bundle]
-                scores[np.frombuffer(r["items"], "<u2"), np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["scores"], "<i8")
-            for term, n, end in zip(postings.terms.tolist(), postings.n.tolist(), ends.tolist(), strict=True):
-                if term in adds:
-                    items, worth = adds[term]
-                    scores[np.ix_(items, postings.slots[end - n:end])] += worth[:, None] * postings.counts[end - n:end]
-            if width > top:
-                least = np.partition(scores, width - top, axis=1)[:, width - top]
-                scores[scores + later[:, None] < least[:, None]] = 0
-            at, doc = np.nonzero(scores)
-            found = scores[at, doc]
-            if last:
-                out += _best(at + bundle * each, [own["docs"][d] for d in doc.tolist()], found, top)
-            elif len(at):
-                out.append((own["block"], bundle, at.astype("<u2").tobytes(), doc.astype("<u2").tobytes(),
-                            found.astype("<i8").tobytes()))
-        return pa.Table.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True) if out else [()] * len(schema), kinds,
-                                                                        strict=True)], names=schema.names)
-
-    kinds = [to_arrow_type(f.dataType) for f in schema.fields]
-    return bundles.groupBy("block").cogroup(postings.groupBy("block")).applyInArrow(stage, schema)
-
-
-def _best(items: np.ndarray, docs: list, scores: np.ndarray, top: int) -> list[tuple]:
-    """The ``top`` highest scores of each item, ties to the smaller key, null keys last."""
-    rows = sorted(zip(items.tolist(), (-scores).tolist(), [d is None for d in docs], docs, strict=True),
-                  key=lambda r: r[:3] if r[2] else r)
-    out, item, rank = [], None, 0
-    for i, score, _, doc in rows:
-        rank = rank + 1 if i == item else 1
-        item = i
-        if rank <= top:
-            out.append((i, doc, -score))
-    return out
+                           T.StructField("score", T.LongType())]) if last else bundles.schema
+
+    def stage(group: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        block, bundle = (k.as_py() for k in group)
+        adds, later = plan.adds[bundle], plan.rest[bundle][owner]
+        both = pa.concat_tables([t.select(["slot", "doc"]) for t in (left, right) if t.num_rows]).combine_chunks()
+        slots, first, at = np.unique(both["slot"].to_numpy(), return_index=True, return_inverse=True)
+        docs = both["doc"].combine_chunks().take(pa.array(first))
+        scores = np.zeros((len(later), len(slots)), np.int64)
+        if left.num_rows:
+            items, n = flat(left["items"], "<u2")
+            scores[items, np.repeat(at[:left.num_rows], n)] = flat(left["scores"], "<i8")[0]
+        if right.num_rows:
+            terms, n = flat(right["terms"], "<i4")
+            order = np.argsort(terms, kind="stable")
+            where = np.repeat(at[left.num_rows:], n)[order]
+            factors = flat(right["factors"], "<i4")[0][order].astype(np.int64)
+            found, starts = np.unique(terms[order], return_index=True)
+            for term, start, end in zip(found.tolist(), starts.tolist(), [*starts[1:].tolist(), len(terms)], strict=True):
+                items, worth = adds[term]
+                scores[np.ix_(items, where[start:end])] += worth[:, None] * factors[start:end]
+        if len(slots) > top:
+            least = np.partition(scores, len(slots) - top, axis=1)[:, len(slots) - top]
+            scores[scores + later[:, None] < least[:, None]] = 0
+        if last:
+            items, found = _best(scores, docs.to_pylist(), top)
+            return pa.Table.from_arrays([pa.array(items + bundle * each), docs.take(pa.array(found)), pa.array(scores[items, found])],
+                                        names=schema.names)
+        found, items = np.nonzero(scores.T)
+        n = np.bincount(found, minlength=len(slots))
+        here = np.flatnonzero(n)
+        return pa.Table.from_arrays(
+            [pa.array(np.full(len(here), block, np.int64)), pa.array(np.full(len(here), bundle, np.int32)),
+             pa.array(slots[here].astype(np.int32)), docs.take(pa.array(here)), packed(items, n[here], "<u2"),
+             packed(scores[items, found], n[here], "<i8")], names=schema.names)
+
+    met = ("block", "bundle")
+    return bundles.groupBy(*met).cogroup(owned(blocks, plan, owner).groupBy(*met)).applyInArrow(stage, schema)
+
+
+def _best(scores: np.ndarray, docs: list, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """(items, documents) of the ``top`` highest scores above 0 of each item, ties to the smaller key, null keys last."""
+    place = np.zeros(len(docs), np.int64)
+    place[sorted(range(len(docs)), key=lambda k: (docs[k] is None, docs[k]))] = np.arange(len(docs))
+    items, found = np.nonzero(scores)
+    order = np.lexsort((place[found], -scores[items, found], items))
+    items, found = items[order], found[order]
+    keep = np.arange(len(items)) - np.searchsorted(items, items) < top
+    return items[keep], found[keep]
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP, owners: int = OWNERS, key: str = "doc_id",
@@ -266,11 +258,11 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, owners: int = OWNE
     """Each item's ``top`` best documents: item, ``rank`` (from 1), key, ``score`` (above 0).
 
     Terms are maximal runs of digits, letters and other characters' bytes, A-Z
-    lower-cased.  Documents are cut into blocks and their postings stored; the
-    terms are dealt to owners, and bundles (items' scores for a block) pass
-    from owner to owner, each step a cogroup by block, stored in the shared
-    folder.  A block never holds more than its share of documents, however
-    frequent a term is.
+    lower-cased.  Documents are cut into blocks and their postings stored, a
+    row a document; the terms are dealt to owners, and bundles (items' scores
+    for a block) pass from owner to owner, each step a cogroup by block and
+    bundle, stored in the shared folder.  A block never holds more than its
+    share of documents, however frequent a term is.
 
     Each row of either table counts by itself, repeated keys too (an item id
     that repeats gives that many results).  Null texts have no terms: such
@@ -290,14 +282,15 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, owners: int = OWNE
         vocabulary = {w: k for k, w in enumerate(sorted({w for _, counts in rows for w in counts}))}
         if not vocabulary:
             continue
-        blocks = store(index(docs, vocabulary, key, text), "lexical-index")
-        n_docs, length = blocks.agg(F.sum("with_terms"), F.sum("all_terms")).first()
-        if not length:
-            continue
-        plan = Plan.of([counts for _, counts in rows], vocabulary, frequencies(blocks, len(vocabulary)), n_docs, length, owners)
-        bundles = spark.createDataFrame([], BUNDLE)
-        for owner in range(owners):
-            bundles = store(pass_on(bundles, blocks, plan, owner, top), "lexical-bundles")
+        with batch_bytes(spark, BATCH_BYTES):
+            blocks = store(index(docs, vocabulary, key, text), "lexical-index")
+            n_docs, length = blocks.agg(F.count_if(F.col("size") > 0), F.sum("size")).first()
+            if not length:
+                continue
+            plan = Plan.of([counts for _, counts in rows], vocabulary, frequencies(blocks, len(vocabulary)), n_docs, length, owners)
+            bundles = spark.createDataFrame([], _placed(docs.schema[key].dataType, "items", "scores"))
+            for owner in range(owners):
+                bundles = store(pass_on(bundles, blocks, plan, owner, top), "lexical-bundles")
         numbers = F.array(*[F.lit(n).cast("long") for n, _ in rows])
         results.append(bundles.withColumn("item", numbers[F.col("item").cast("int")]))
     if not results:

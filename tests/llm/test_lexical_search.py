@@ -3,7 +3,9 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import SF, duck, texts
 from mishap.llm import lexical_search
@@ -86,3 +88,47 @@ def test_empty_tables(spark):
 def test_query_equals_sql(spark):
     got = sorted((r.item_id, r.rank, r.doc_id, r.score) for r in op12_lexical_search(spark, SF).collect())
     assert got == sorted(duck().execute(ORACLE).fetchall()) and len(got) > 300
+
+
+def test_no_row_grows_with_the_block(spark, monkeypatch):
+    """Stored rows are a document's, and tasks get the texts in small batches: memory doesn't follow the size of a block."""
+    largest, batches, limits = {}, [], set()
+    store, map_batches = lexical_search.store, lexical_search.map_batches
+
+    def watched(df, name):
+        blobs = [f.name for f in df.schema.fields if f.dataType.typeName() == "binary"]
+        limits.add(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None))
+        stored = store(df, name)
+        if blobs:
+            most = stored.agg(F.max(sum(F.octet_length(c) for c in blobs))).first()[0] or 0
+            largest[name] = max(largest.get(name, 0), most)
+        return stored
+
+    def counted(df, fn, schema):
+        def sizes(found):
+            for b in found:
+                yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["bytes"])
+        batches.append(map_batches(df, sizes, "bytes long").agg(F.max("bytes")).first()[0])
+        return map_batches(df, fn, schema)
+
+    monkeypatch.setattr(lexical_search, "store", watched)
+    monkeypatch.setattr(lexical_search, "map_batches", counted)
+    monkeypatch.setattr(lexical_search, "BATCH_BYTES", 20_000)
+    docs = [(i, f"the of w{i % 50} " + "x" * 200) for i in range(1000)]
+    items = [(f"i{k}", f"the of w{k % 50}") for k in range(120)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    got = result(spark, docs, widened(items))
+    assert sorted(got) == sorted(brute(docs, items))
+    assert set(largest) == {"lexical-index", "lexical-bundles"}
+    assert max(largest.values()) <= 10 * len(items)          # what one document holds: an item and its score take ten bytes
+    assert max(b for b in batches if b) <= 40_000
+    assert "20000" in limits and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
+
+
+def test_items_beyond_a_bundle(spark, monkeypatch):
+    """Every bundle meets its own postings only: documents and items of several bundles, some without common terms."""
+    monkeypatch.setattr(lexical_search, "BLOCK_DOCS", 40)
+    monkeypatch.setattr(lexical_search, "BUNDLE_ITEMS", 2)
+    docs = [(i, f"w{i % 7} w{i % 3} " * (i % 4)) for i in range(120)] + [(None, "w1"), (None, "w1 w2")]
+    items = [(f"i{k}", f"w{k} v{k} w{k % 2}") for k in range(9)] + [("none", None), ("other", "zzz")]
+    assert sorted(map(repr, result(spark, docs, widened(items)))) == sorted(map(repr, brute(docs, items)))
